@@ -35,3 +35,14 @@ def local_session(cores: int | str = "*", name: str = "palimpsest", **settings)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Like :func:`checkpointed`, as a Parquet table: for wide results that are read column-wise later."""
+    import uuid
+
+    spark = df.sparkSession
+    checkpointed(spark.range(0))          # makes sure that a folder is set
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
