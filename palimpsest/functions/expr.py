@@ -13,6 +13,20 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def sql_text(value: str) -> str:
+    """A string literal in Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def apply_sql(value: Column, function: str) -> Column:
+    """Apply a SQL lambda ``x -> ...`` to a column, evaluated once per row.
+
+    Large expressions are written as SQL text: one call builds them, while
+    the column API makes a round trip to the JVM for every node.
+    """
+    return F.element_at(F.call_function("transform", F.array(value), F.expr(function)), 1)
+
+
 def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

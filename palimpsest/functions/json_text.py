@@ -93,7 +93,8 @@ def canonical_json():
             except (ValueError, RecursionError):
                 return None
         return pd.Series([one(t, k) for t, k in zip(raw, hidden)], dtype=object)
-    return canonical
+    # Keeps the optimizer from copying the call into other expressions.
+    return canonical.asNondeterministic()
 
 
 def json_leaf_rows():
@@ -122,4 +123,4 @@ def json_leaf_rows():
                 return []
             return found
         return pd.Series([one(t) for t in raw], dtype=object)
-    return leaves
+    return leaves.asNondeterministic()

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from palimpsest.functions.expr import let
+from palimpsest.functions.expr import apply_sql, sql_text
 from palimpsest.functions.rules import Rule, active_rules, redaction_rules
-from palimpsest.functions.urls import url_allowed
+from palimpsest.functions.urls import allowed_sql
 from palimpsest.policy import Policy
 
 #: Ordinal written by the row-local pass; the corpus ordinal replaces it later.
@@ -29,34 +29,31 @@ def digest(text: Column, salt: str = "") -> Column:
     return F.substring(F.sha2(F.concat(F.lit(salt), text) if salt else text, 256), 1, 10)
 
 
-def placeholder(tag: str | Column, text: Column, salt: str = "") -> Column:
-    tag = F.lit(tag) if isinstance(tag, str) else tag
-    return F.concat(F.lit("["), tag, F.lit(f":{NO_ORDINAL}:"), digest(text, salt), F.lit("]"))
+def _placeholder_sql(tag: str, text: str, salt: str) -> str:
+    salted = f"concat({sql_text(salt)}, {text})" if salt else text
+    return f"concat('[{tag}:{NO_ORDINAL}:', substring(sha2({salted}, 256), 1, 10), ']')"
 
 
-def weave(text: Column, pattern: str, repl) -> Column:
-    """Replace every match by a function of the match."""
-    return F.array_join(
-        F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                   lambda piece, match: F.concat(piece, F.coalesce(repl(match), F.lit("")))), "")
+def _weave_sql(text: str, pattern: str, repl: str) -> str:
+    """Replace every match by an expression over the match ``m``."""
+    p = sql_text(pattern)
+    return (f"array_join(zip_with(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), "
+            f"(g, m) -> concat(g, coalesce({repl}, ''))), '')")
 
 
-def _replaced(rule: Rule, policy: Policy, text: Column) -> Column:
+def _replaced_sql(rule: Rule, policy: Policy, text: str) -> str:
+    p = sql_text(rule.pattern)
     if not rule.stable:
-        return F.regexp_replace(text, F.lit(rule.pattern), F.lit(rule.replacement))
-    def repl(match):
-        ph = placeholder(rule.tag, match, policy.salt)
-        if rule.category == "url" and policy.url_domains:
-            return F.when(url_allowed(match, policy.url_domains), match).otherwise(ph)
-        return ph
-    return F.when(text.rlike(rule.pattern), weave(text, rule.pattern, repl)).otherwise(text)
+        return f"regexp_replace({text}, {p}, {sql_text(rule.replacement)})"
+    repl = _placeholder_sql(rule.tag, "m", policy.salt)
+    if rule.category == "url" and policy.url_domains:
+        repl = f"CASE WHEN {allowed_sql('m', policy.url_domains)} THEN m ELSE {repl} END"
+    return f"CASE WHEN rlike({text}, {p}) THEN {_weave_sql(text, rule.pattern, repl)} ELSE {text} END"
 
 
-def _switch(number: Column, cases: list, otherwise: Column) -> Column:
-    out = None
-    for key, value in cases:
-        out = F.when(number == key, value) if out is None else out.when(number == key, value)
-    return otherwise if out is None else out.otherwise(otherwise)
+def _fold_sql(rules, step, otherwise: str = "acc") -> str:
+    cases = " ".join(f"WHEN {r.ordinal} THEN {step(r)}" for r in rules)
+    return f"(acc, no) -> CASE no {cases} ELSE {otherwise} END"
 
 
 def redacted(text: Column, policy: Policy, rules: list[Rule] | None = None,
@@ -67,9 +64,8 @@ def redacted(text: Column, policy: Policy, rules: list[Rule] | None = None,
     a row share one guard test.
     """
     rules = redaction_rules(policy) if rules is None else rules
-    return F.aggregate(
-        active_rules(text, rules) if active is None else active, text,
-        lambda acc, no: _switch(no, [(r.ordinal, _replaced(r, policy, acc)) for r in rules], acc))
+    fold = _fold_sql(rules, lambda r: _replaced_sql(r, policy, "acc"))
+    return F.call_function("aggregate", active_rules(text, rules) if active is None else active, text, F.expr(fold))
 
 
 def redacted_with_hits(text: Column, policy: Policy, rules: list[Rule] | None = None,
@@ -80,32 +76,28 @@ def redacted_with_hits(text: Column, policy: Policy, rules: list[Rule] | None =
     run) and, for stable rules, the matched values in text order.
     """
     rules = redaction_rules(policy) if rules is None else rules
-    no_values = F.array().cast("array<string>")
 
-    def step(rule, acc):
-        found = F.regexp_extract_all(acc["text"], F.lit(rule.pattern), F.lit(0))
+    def step(rule):
+        found = f"regexp_extract_all(acc.text, {sql_text(rule.pattern)}, 0)"
         if rule.category == "url" and policy.url_domains:
-            found = F.filter(found, lambda m: ~url_allowed(m, policy.url_domains))
-        return let(found, lambda m: F.when(F.size(m) == 0, acc).otherwise(F.struct(
-            _replaced(rule, policy, acc["text"]).alias("text"),
-            F.concat(acc["hits"], F.array(F.struct(
-                F.lit(rule.category).alias("category"),
-                F.size(m).cast("bigint").alias("n"),
-                (m if rule.stable else no_values).alias("values")))).alias("hits"))))
+            found = f"filter({found}, m -> NOT {allowed_sql('m', policy.url_domains)})"
+        values = "f" if rule.stable else "cast(array() AS array<string>)"
+        return (f"transform(array({found}), f -> CASE WHEN size(f) = 0 THEN acc ELSE named_struct("
+                f"'text', {_replaced_sql(rule, policy, 'acc.text')}, 'hits', concat(acc.hits, array(named_struct("
+                f"'category', {sql_text(rule.category)}, 'n', cast(size(f) AS bigint), 'values', {values})))) END)[0]")
 
     start = F.struct(text.alias("text"), F.array().cast(HITS_TYPE).alias("hits"))
-    return F.aggregate(active_rules(text, rules) if active is None else active, start,
-                       lambda acc, no: _switch(no, [(r.ordinal, step(r, acc)) for r in rules], acc))
+    return F.call_function("aggregate", active_rules(text, rules) if active is None else active,
+                           start, F.expr(_fold_sql(rules, step)))
 
 
 def raw_hits(text: Column, rules: list[Rule]) -> Column:
     """``array<struct<category, pos, value>>``: each rule on the text as it is."""
-    def found(rule):
-        return F.transform(
-            F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)),
-            lambda m, i: F.struct(F.lit(rule.category).alias("category"),
-                                  i.cast("bigint").alias("pos"), m.alias("value")))
-    return F.flatten(F.transform(
-        active_rules(text, rules),
-        lambda no: _switch(no, [(r.ordinal, found(r)) for r in rules],
-                           F.array().cast("array<struct<category:string,pos:bigint,value:string>>"))))
+    kind = "array<struct<category:string,pos:bigint,value:string>>"
+
+    def step(rule):
+        return (f"concat(acc, transform(regexp_extract_all(v.text, {sql_text(rule.pattern)}, 0), (m, i) -> named_struct("
+                f"'category', {sql_text(rule.category)}, 'pos', cast(i AS bigint), 'value', m)))")
+
+    fold = f"v -> aggregate(v.active, cast(array() AS {kind}), {_fold_sql(rules, step)})"
+    return apply_sql(F.struct(text.alias("text"), active_rules(text, rules).alias("active")), fold)

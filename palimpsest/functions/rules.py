@@ -9,14 +9,14 @@ no trigger at all.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from palimpsest import catalog
 from palimpsest.functions.dialect import SPACE, WORD, alternation, java_regex, java_replacement
-from palimpsest.functions.expr import all_of, any_of, let
+from palimpsest.functions.expr import apply_sql, sql_text
 from palimpsest.policy import Policy
 
 # Characters that Python folds to ASCII letters but lower() may not.
@@ -206,51 +206,55 @@ def _outline_of(literal: str) -> str:
     return re.sub(_OUTLINE_PY, "a", literal)
 
 
-def _clause(kind: str, arg, view: Column) -> Column:
+def _any(tests) -> str:
+    return "(" + " OR ".join(tests) + ")"
+
+
+def _clause(kind: str, arg) -> str:
+    """A guard clause as SQL over the view ``v``."""
     def literal(x):
         short = _outline_of(x)
         if short == "a":
-            return F.contains(view["text"], F.lit(x))
-        in_outline = F.contains(view["outline"], F.lit(short))
-        return in_outline if short == x else in_outline & F.contains(view["text"], F.lit(x))
+            return f"contains(v.text, {sql_text(x)})"
+        in_outline = f"contains(v.outline, {sql_text(short)})"
+        return in_outline if short == x else f"({in_outline} AND contains(v.text, {sql_text(x)}))"
 
     if kind == "has":
-        return any_of(literal(x) for x in arg)
+        return _any(literal(x) for x in arg)
     if kind == "low":
-        return any_of([*(F.contains(view["low"], F.lit(x)) for x in arg), view["odd"]])
-    if kind == "decimal":
-        return view["outline"].rlike(_DECIMAL)
-    return view["outline"].rlike(arg)
+        return _any([*(f"contains(v.low, {sql_text(x)})" for x in arg), "v.odd"])
+    return f"rlike(v.outline, {sql_text(_DECIMAL if kind == 'decimal' else arg)})"
+
+
+@lru_cache(maxsize=64)
+def _active_sql(rules: tuple[Rule, ...]) -> str:
+    """SQL lambda from a text's view to the numbers of the rules that may match."""
+    # A first clause that several rules share is tested once.
+    firsts = [(r.guard[0][0], tuple(r.guard[0][1] or ())) for r in rules if r.guard and r.guard[0][0] != "like"]
+    shared = {c: f"s{i}" for i, c in enumerate(dict.fromkeys(c for c in firsts if firsts.count(c) > 1))}
+
+    def holds(rule):
+        if not rule.guard:
+            return "true"
+        (kind, arg), *others = rule.guard
+        name = None if kind == "like" else shared.get((kind, tuple(arg or ())))
+        return " AND ".join([f"t.{name}" if name else _clause(kind, arg), *(_clause(k, x) for k, x in others)])
+
+    numbers = "array_compact(array(" + ", ".join(f"CASE WHEN {holds(r)} THEN {r.ordinal} END" for r in rules) + "))"
+    tests = ", ".join(f"'{name}', {_clause(*c)}" for c, name in shared.items()) or "'none', true"
+    return f"v -> transform(array(named_struct({tests})), t -> {numbers})[0]"
 
 
 def active_rules(text: Column, rules: list[Rule]) -> Column:
     """Numbers of the rules that may match, in rule order."""
-    odd = (F.length(text) != F.octet_length(text)) & any_of(F.contains(text, F.lit(c)) for c in ODD_CASE)
-    seen = F.struct(
-        text.alias("text"), F.lower(text).alias("low"), odd.alias("odd"),
-        F.regexp_replace(text, F.lit(_OUTLINE), F.lit("a")).alias("outline"))
+    odd = _any(f"contains(x, '{c}')" for c in ODD_CASE)
+    view = (f"x -> named_struct('text', x, 'low', lower(x), 'odd', length(x) <> octet_length(x) AND {odd}, "
+            f"'outline', regexp_replace(x, {sql_text(_OUTLINE)}, 'a'))")
+    return apply_sql(apply_sql(text, view), _active_sql(tuple(_hashable(r) for r in rules)))
 
-    # A first clause that several rules share is tested once.
-    firsts = [(r.guard[0][0], tuple(r.guard[0][1] or ())) for r in rules if r.guard and r.guard[0][0] != "like"]
-    shared = {c: f"shared{i}" for i, c in enumerate(dict.fromkeys(c for c in firsts if firsts.count(c) > 1))}
-
-    def numbers(view, tests):
-        def holds(rule):
-            if not rule.guard:
-                return F.lit(True)
-            (kind, arg), *others = rule.guard
-            name = None if kind == "like" else shared.get((kind, tuple(arg or ())))
-            return all_of([tests[name] if name else _clause(kind, arg, view),
-                           *(_clause(k, x, view) for k, x in others)])
-        return F.array_compact(F.array(*[F.when(holds(r), F.lit(r.ordinal)) for r in rules]))
-
-    def with_shared(view):
-        if not shared:
-            return numbers(view, None)
-        tests = F.struct(*(_clause(*c, view).alias(name) for c, name in shared.items()))
-        return let(tests, lambda t: numbers(view, t))
-
-    return let(seen, with_shared)
+
+def _hashable(rule: Rule) -> Rule:
+    return replace(rule, guard=tuple((k, tuple(x) if isinstance(x, list) else x) for k, x in rule.guard))
 
 
 def shadowed_rules(policy: Policy) -> list[tuple[str, str]]:

@@ -119,16 +119,16 @@ def apply_review_findings(records: DataFrame, findings: DataFrame, ids: list[str
     hits = literal_hits(records, ids, literals, strings).withColumn("literals", _ordered(F.col("literals")))
     joined = records.join(hits, ids, "left").withColumn(
         "_in", F.when(F.col("literals").isNotNull() & structured, raw))
-    changed = map_json_strings(joined, "_in", lambda s, i: _rewritten(s, F.col("literals"))["text"], True, "_new")
+    changed = map_json_strings(joined, "_in", lambda s, i: _rewritten(s, F.col("literals"))["text"], True, "_rewritten")
     counted = changed.withColumn("_plain", F.when(
         F.col("literals").isNotNull() & ~structured, _rewritten(raw, F.col("literals"))))
-    inside = F.when(F.col("_new").isNotNull(), F.aggregate(
+    inside = F.when(F.col("_rewritten").isNotNull(), F.aggregate(
         json_tokens(F.col("_in"))["strings"], F.lit(0).cast("bigint"),
         lambda acc, s: acc + _rewritten(s, F.col("literals"))["n"]))
     n = F.coalesce(inside, F.col("_plain.n"), F.lit(0).cast("bigint"))
     out = counted.withColumn("replacements", n)
     if not dry_run:
-        out = out.withColumn(col, F.coalesce(F.when(F.col("replacements") > 0, F.coalesce("_new", "_plain.text")), raw))
+        out = out.withColumn(col, F.coalesce(F.when(F.col("replacements") > 0, F.coalesce("_rewritten", "_plain.text")), raw))
     return out.select(*records.columns, "replacements")
 
 

@@ -10,11 +10,10 @@ from pyspark.sql import Window as W
 
 from palimpsest import catalog
 from palimpsest.functions.dialect import SPACE, java_regex
-from palimpsest.functions.expr import let
+from palimpsest.functions.expr import apply_sql, let, sql_text
 from palimpsest.functions.paths import path_order
-from palimpsest.functions.redact import _switch
-from palimpsest.functions.rules import Rule, active_rules, scan_rules
-from palimpsest.functions.urls import url_allowed
+from palimpsest.functions.rules import active_rules, scan_rules
+from palimpsest.functions.urls import allowed_sql
 from palimpsest.policy import Policy
 
 #: Stands for a whole placeholder while scanning; in no rule's alphabet.
@@ -31,65 +30,69 @@ def mask_placeholders(text: Column) -> Column:
     return F.regexp_replace(text, PLACEHOLDER, MASK)
 
 
-def _holds_mask(text: Column) -> Column:
-    return F.contains(text, F.lit(MASK))
+def _in(value: str, options) -> str:
+    return f"{value} IN ({', '.join(sql_text(o) for o in options)})"
 
 
-def drop_url(value: Column, domains: list[str]) -> Column:
-    bracket = value.rlike(rf"[\[\]{MASK}]")
-    return value.isin(catalog.BARE_SCHEMES) | (~bracket & url_allowed(value, domains))
+def _like(value: str, pattern: str) -> str:
+    return f"rlike({value}, {sql_text(pattern)})"
 
 
-def drop_email(value: Column, left: Column) -> Column:
-    local, domain = F.substring_index(value, "@", 1), F.split_part(value, F.lit("@"), F.lit(2))
-    return (left.isin("\\", "@", "[", MASK) | (F.length(local) <= 1)
-            | F.lower(F.substring_index(domain, ".", 1)).isin(catalog.CODE_LIKE_DOMAINS))
+# False positives per rule, as SQL over the match ``x.m``, the character before
+# it ``x.l`` and the text after it ``x.r``.
 
+def url_false_positive(policy: Policy) -> str:
+    """A bare scheme, or an allowed host in a URL without any bracket."""
+    plain = f"NOT {_like('x.m', rf'[\[\]{MASK}]')}"
+    return f"({_in('x.m', catalog.BARE_SCHEMES)} OR ({plain} AND {allowed_sql('x.m', policy.url_domains)}))"
 
-def drop_name(value: Column, left: Column, right: Column) -> Column:
-    json_key = (left == '"') & F.substring(right, 1, 8).rlike(java_regex(r'^"\s*:'))
-    return json_key | F.startswith(value, F.lit("[PRIVATE_")) | F.startswith(value, F.lit("PRIVATE_"))
 
+def email_false_positive(policy: Policy) -> str:
+    """An escape or bracket before it, a one-letter name, or a domain that looks like code."""
+    first_label = "lower(substring_index(split_part(x.m, '@', 2), '.', 1))"
+    return (f"({_in('x.l', [chr(92), '@', '[', MASK])} OR length(substring_index(x.m, '@', 1)) <= 1 "
+            f"OR {_in(first_label, catalog.CODE_LIKE_DOMAINS)})")
 
-def drop_api_key(value: Column, left: Column) -> Column:
-    secret = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, r"^[^:=]*[:=]", ""), _TRIMMED, ""),
-                              r"""^["']+|["']+$""", "")
-    def harmless(v):
-        return (_holds_mask(value) | F.contains(value, F.lit("[SECRET:")) | F.contains(value, F.lit("[REDACTED:"))
-                | (left == "[") | v.isin(catalog.NON_SECRET_VALUES)
-                | F.startswith(v, F.lit("<")) | F.startswith(v, F.lit("str")) | v.rlike(r"^\**$")
-                | v.rlike(java_regex(rf"\A(?:{catalog.IDENTIFIER_VALUE})\z"))
-                | ~((F.length(v) >= 12) & v.rlike("[A-Za-z]") & v.rlike(r"\p{Nd}")))
-    return let(secret, harmless)
 
+def name_false_positive(policy: Policy) -> str:
+    """A JSON key, or one of our own placeholders."""
+    key = _like("substring(x.r, 1, 8)", java_regex(r'^"\s*:'))
+    return f"((x.l = '\"' AND {key}) OR startswith(x.m, '[PRIVATE_') OR startswith(x.m, 'PRIVATE_'))"
 
-def drop_ip(name: str, value: Column) -> Column:
-    local = F.startswith(value, F.lit("0.0.0.")) | (value == "127.0.0.1")
-    if name == "ipv4":
-        return local
-    clock = value.rlike(java_regex(r"\A\d{1,4}(?::\d{1,4})+\z"))
-    hexes = F.exists(F.split(value, ":"), lambda g: (F.length(g) >= 2) & g.rlike("[a-fA-F]"))
-    return local | clock | ~hexes
 
+def api_key_false_positive(policy: Policy) -> str:
+    """Placeholders, type names, identifiers, and values without twelve characters, a letter and a digit."""
+    value = (f"regexp_replace(regexp_replace(regexp_replace(x.m, '^[^:=]*[:=]', ''), {sql_text(_TRIMMED)}, ''), "
+             + sql_text("""^["']+|["']+$""") + ", '')")
+    identifier = java_regex(rf"\A(?:{catalog.IDENTIFIER_VALUE})\z")
+    secret = f"(length(v) >= 12 AND {_like('v', '[A-Za-z]')} AND {_like('v', chr(92) + 'p{Nd}')})"
+    harmless = (f"contains(x.m, '{MASK}') OR contains(x.m, '[SECRET:') OR contains(x.m, '[REDACTED:') OR x.l = '[' "
+                f"OR {_in('v', catalog.NON_SECRET_VALUES)} OR startswith(v, '<') OR startswith(v, 'str') "
+                f"OR {_like('v', '^[*]*$')} OR {_like('v', identifier)} OR NOT {secret}")
+    return f"transform(array({value}), v -> {harmless})[0]"
 
-def _dropped(rule: Rule, value: Column, left: Column, right: Column, policy: Policy) -> Column:
-    """The match is a known false positive of its rule."""
-    name = rule.category
-    if name == "url":
-        return drop_url(value, policy.url_domains)
-    if name == "email":
-        return drop_email(value, left)
-    if name in ("private_user_name", "private_user_compound"):
-        return drop_name(value, left, right)
-    if name == "api_key_field_value":
-        return drop_api_key(value, left)
-    if name in ("ipv4", "ipv6"):
-        return drop_ip(name, value)
-    if name in ("encrypted_content_field", "thinking_signature_field"):
-        return value.rlike(rf'^"[A-Za-z_]+"[{SPACE}]*:[{SPACE}]*"{MASK}')
-    return F.lit(False)
 
+def ipv4_false_positive(policy: Policy) -> str:
+    return "(startswith(x.m, '0.0.0.') OR x.m = '127.0.0.1')"
 
+
+def ipv6_false_positive(policy: Policy) -> str:
+    """Clock times, and groups without a letter in a group of two and more."""
+    clock = _like("x.m", java_regex(r"\A\d{1,4}(?::\d{1,4})+\z"))
+    return f"({clock} OR NOT exists(split(x.m, ':'), g -> length(g) >= 2 AND {_like('g', '[a-fA-F]')}))"
+
+
+def masked_field_false_positive(policy: Policy) -> str:
+    return _like("x.m", rf'^"[A-Za-z_]+"[{SPACE}]*:[{SPACE}]*"{MASK}')
+
+
+FALSE_POSITIVES = {
+    "url": url_false_positive, "email": email_false_positive,
+    "private_user_name": name_false_positive, "private_user_compound": name_false_positive,
+    "api_key_field_value": api_key_false_positive,
+    "ipv4": ipv4_false_positive, "ipv6": ipv6_false_positive,
+    "encrypted_content_field": masked_field_false_positive, "thinking_signature_field": masked_field_false_positive,
+}
 _NEEDS_CONTEXT = {"email", "private_user_name", "private_user_compound", "api_key_field_value"}
 _HIT = "array<struct<name:string,match:string>>"
 
@@ -103,45 +106,45 @@ def leftovers(text: Column, policy: Policy) -> Column:
     """
     rules = scan_rules(policy)
 
-    def found(rule, t):
-        context = policy.compat or rule.category in _NEEDS_CONTEXT
-        if context:
-            groups = len(re.findall(r"\((?!\?)", rule.pattern))
+    def step(rule):
+        def found(pattern, group):
+            return f"regexp_extract_all(v.text, {sql_text(pattern)}, {group})"
+        if policy.compat or rule.category in _NEEDS_CONTEXT:
             pattern = _with_context(rule.pattern)
-            parts = F.arrays_zip(*[F.regexp_extract_all(t, F.lit(pattern), F.lit(i)).alias(n)
-                                   for n, i in (("m", 0), ("l", 1), ("r", groups + 2))])
+            last = len(re.findall(r"\((?!\?)", rule.pattern)) + 2
+            parts = (f"zip_with(zip_with({found(pattern, 0)}, {found(pattern, 1)}, (m, l) -> named_struct('m', m, 'l', l)), "
+                     f"{found(pattern, last)}, (x, r) -> named_struct('m', x.m, 'l', x.l, 'r', r))")
         else:
-            parts = F.transform(F.regexp_extract_all(t, F.lit(rule.pattern), F.lit(0)),
-                                lambda m: F.struct(m.alias("m"), F.lit("").alias("l"), F.lit("").alias("r")))
+            parts = f"transform({found(rule.pattern, 0)}, m -> named_struct('m', m, 'l', '', 'r', ''))"
         if policy.compat:
-            opened = _open_bracket(F.split(t, rule.pattern, -1), F.transform(parts, lambda x: x["m"]))
-            parts = F.zip_with(parts, opened, lambda x, o: F.when(~(o & F.contains(x["r"], F.lit("]"))), x))
-            parts = F.filter(parts, lambda x: x.isNotNull())
-        kept = F.filter(parts, lambda x: ~_dropped(rule, x["m"], x["l"], x["r"], policy))
-        return F.transform(kept, lambda x: F.struct(F.lit(rule.category).alias("name"), x["m"].alias("match")))
-
-    def hits(t):
-        return F.flatten(F.transform(
-            active_rules(t, rules),
-            lambda no: _switch(no, [(r.ordinal, found(r, t)) for r in rules], F.array().cast(_HIT))))
+            parts = _outside_brackets(parts, f"split(v.text, {sql_text(rule.pattern)}, -1)")
+        drop = FALSE_POSITIVES.get(rule.category)
+        if drop:
+            parts = f"filter({parts}, x -> NOT {drop(policy)})"
+        return f"concat(acc, transform({parts}, x -> named_struct('name', '{rule.category}', 'match', x.m)))"
 
-    return let(text if policy.compat else mask_placeholders(text), hits)
+    cases = " ".join(f"WHEN {r.ordinal} THEN {step(r)}" for r in rules)
+    fold = f"v -> aggregate(v.active, cast(array() AS {_HIT}), (acc, no) -> CASE no {cases} ELSE acc END)"
+    seen = text if policy.compat else mask_placeholders(text)
+    return apply_sql(let(seen, lambda t: F.struct(t.alias("text"), active_rules(t, rules).alias("active"))), fold)
 
 
-def _open_bracket(gaps: Column, found: Column) -> Column:
-    """For every match: is the last bracket before it a ``[``?
+def _outside_brackets(parts: str, gaps: str) -> str:
+    """Keep the matches that are not between a ``[`` and a ``]``.
 
-    Brackets are found per gap (and in the match before it); matches without
-    one in between inherit it, by filling runs in a string of marks.
+    The last bracket before a match is looked for in the gap before it and in
+    the match before that; matches without one in between inherit it, by
+    filling runs in a string of marks.
     """
-    def last(s):
-        return F.regexp_extract(F.reverse(s), r"[\[\]]", 0)
-    marks = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(g.alias("g"), m.alias("m")))
-    own = F.transform(marks, lambda x, i: F.concat(
-        F.when(i > 0, F.get(marks, i - 1)["m"]).otherwise(F.lit("")), x["g"]))
-    line = F.array_join(F.transform(own, lambda s: F.when(last(s) == "", "-").otherwise(last(s))), "")
-    filled = F.regexp_replace(line, r"(?:(?<=\[)|(?!^)\G)-", "[")
-    return F.transform(F.sequence(F.lit(1), F.size(found)), lambda i: F.substring(filled, i, F.lit(1)) == "[")
+    before = "concat(CASE WHEN i > 0 THEN w.p[i - 1].m ELSE '' END, w.g[i])"
+    bracket = f"regexp_extract(reverse({before}), {sql_text('[' + chr(92) + '[' + chr(92) + ']]')}, 0)"
+    mark = f"CASE WHEN {bracket} = '' THEN '-' ELSE {bracket} END"
+    fill = sql_text(r"(?:(?<=\[)|(?!^)\G)-")
+    line = f"regexp_replace(array_join(transform(w.p, (x, i) -> {mark}), ''), {fill}, '[')"
+    keep = ("filter(transform(w.p, (x, i) -> CASE WHEN NOT (substring(s, i + 1, 1) = '[' AND contains(x.r, ']')) THEN x END), "
+            "x -> x IS NOT NULL)")
+    return (f"transform(array(named_struct('p', {parts}, 'g', {gaps})), w -> "
+            f"transform(array({line}), s -> {keep})[0])[0]")
 
 
 def _with_context(pattern: str) -> str:

@@ -280,7 +280,7 @@ def _nested(spark, sf):
         F.array(F.expr(_ADDRESS), F.col("o_orderpriority")).alias("notes"),
         F.array("c_mktsegment").alias("passwords"),
         F.create_map(F.expr(_MAIL), F.lit("a"), F.expr(_ADDRESS), F.col("c_mktsegment"),
-                     F.concat(F.expr(_ADDRESS), F.lit("1")), F.expr(_MAIL), F.lit("api-key"), F.lit("x")).alias("extra"))
+                     F.replace(F.expr(_ADDRESS), F.lit("10.0."), F.lit("10.1.")), F.expr(_MAIL), F.lit("api-key"), F.lit("x")).alias("extra"))
 
 
 _MAILED = f"{placeholder_sql('EMAIL', _MAIL)}"
@@ -476,7 +476,7 @@ _VALID_SQL = ("SELECT text_id, span_no, start, \"end\", CASE WHEN label = '' OR
 _MERGED_SQL = (f"WITH spans AS ({_SPANS_SQL}), valid AS ({_VALID_SQL}), "
                "w AS (SELECT *, max(\"end\") OVER (PARTITION BY text_id ORDER BY start, \"end\", span_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM valid), "
                "g AS (SELECT *, sum(CASE WHEN start <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY text_id ORDER BY start, \"end\", span_no) AS island FROM w), "
-               "merged AS (SELECT text_id, min(start) AS start, max(\"end\") AS \"end\", arg_min(label, (start, \"end\", span_no)) AS label FROM g GROUP BY text_id, island)")
+               "merged AS (SELECT text_id, min(start) AS start, max(\"end\") AS \"end\", arg_min(label, (start, \"end\", span_no, label)) AS label FROM g GROUP BY text_id, island)")
 
 
 def _spans(spark, sf):
@@ -607,11 +607,14 @@ def count_literals(spark, sf):
 
 _PATTERNS = review.review_patterns(extra=(r"(?i:\bentrepr)",), terms=("mail1.example.com",))
 _PATTERNS_RE2 = [re2(p) for p in _PATTERNS if "(?<!" not in p] + [r"(^|[^A-Za-z0-9_-])--[A-Za-z0-9_.-]*[A-Za-z0-9][A-Za-z0-9_.-]*--"]
-_CANDIDATE = " OR ".join(f"regexp_matches({{c}}, {quote(p)})" for p in _PATTERNS_RE2)
 
 
-@query(f"SELECT conv_id, turn, substr(text, 1, 80) AS chunk FROM conversations WHERE {_CANDIDATE.format(c='text')} "
-       f"UNION ALL SELECT event_id, -1, substr({canary_text()}, 1, 80) FROM events WHERE {_CANDIDATE.format(c=canary_text())}")
+def _candidate_sql(column: str) -> str:
+    return " OR ".join(f"regexp_matches({column}, {quote(p)})" for p in _PATTERNS_RE2)
+
+
+@query(f"SELECT conv_id, turn, substr(text, 1, 80) AS chunk FROM conversations WHERE {_candidate_sql('text')} "
+       f"UNION ALL SELECT event_id, -1, substr({canary_text()}, 1, 80) FROM events WHERE {_candidate_sql(canary_text())}")
 def review_chunks(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "text").unionByName(
         canaries(spark, sf).select(F.col("event_id").alias("conv_id"), F.lit(-1).cast("bigint").alias("turn"), "text"))
