@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.functions.expr import let
 from palimpsest.functions.fields import field_placeholder, is_sensitive_key, normalize_key
 from palimpsest.functions.json_text import canonical_json, join_tokens, json_leaf_rows, json_tokens, key_before
 from palimpsest.functions.redact import HITS_TYPE, redacted, redacted_with_hits
@@ -33,27 +34,29 @@ def split_malformed(records: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def _prepared(df: DataFrame, col: str, policy: Policy | None) -> DataFrame:
-    """Add ``_strict``, ``_json`` (compact JSON or null) and ``_tokens`` of it."""
+    """Add ``_secret_keys``, and ``_tokens`` of the record as compact JSON (null for other text).
+
+    Columns that a lambda needs are bound with ``let``: the optimizer may copy
+    a column's definition into the lambda, where it would run per element.
+    """
     text = F.col(col)
     df = df.withColumn("_strict", F.try_parse_json(text).isNotNull())
     df = df.withColumn("_tokens", F.when(F.col("_strict"), json_tokens(text)))
+    container = F.lit(False)
     if policy is None:
-        hidden, container = F.lit(None).cast("array<string>"), F.lit(False)
+        df = df.withColumn("_secret_keys", F.lit(None).cast("array<string>"))
     else:
         # Keys whose value is an object or array that has to go as a whole.
         df = df.withColumn("_secret_keys", F.coalesce(_sensitive_keys(text, policy), F.array().cast("array<string>")))
-        hidden = F.col("_secret_keys")
-        opens = F.transform(F.slice(F.col("_tokens.gaps"), F.lit(2), F.size("_tokens.gaps")),
-                            lambda g: g.rlike(r"^:[\[{]"))
-        container = F.coalesce((F.size(hidden) > 0) & F.exists(
-            F.arrays_zip(F.col("_tokens.strings").alias("s"), opens.alias("o")),
-            lambda z: z["o"] & F.array_contains(hidden, z["s"])), F.lit(False))
-    again = ~is_blank(text) & (~F.col("_strict") | container)
-    df = df.withColumn("_again", again)
-    df = df.withColumn("_parsed", canonical_json()(F.when(F.col("_again"), text), hidden))
-    df = df.withColumn("_json", F.when(F.col("_again"), F.col("_parsed")).when(F.col("_strict"), text))
-    return df.withColumn("_tokens", F.when(F.col("_again"), F.when(
-        F.col("_parsed").isNotNull(), json_tokens(F.col("_parsed")))).otherwise(F.col("_tokens")))
+        both = F.struct(F.col("_tokens").alias("t"), F.col("_secret_keys").alias("k"))
+        opens = let(both, lambda b: F.exists(
+            F.zip_with(b["t"]["strings"], F.slice(b["t"]["gaps"], F.lit(2), F.size(b["t"]["strings"])),
+                       lambda s, g: g.rlike(r"^:[\[{]") & F.array_contains(b["k"], s)), lambda x: x))
+        container = F.when(F.size("_secret_keys") > 0, F.coalesce(opens, F.lit(False))).otherwise(F.lit(False))
+    df = df.withColumn("_again", F.when(~is_blank(text) & (~F.col("_strict") | container), text))
+    df = df.withColumn("_parsed", canonical_json()("_again", "_secret_keys"))
+    return df.withColumn("_tokens", F.when(F.col("_again").isNull(), F.col("_tokens")).when(
+        F.col("_parsed").isNotNull(), json_tokens(F.col("_parsed"))))
 
 
 def _sensitive_keys(text: Column, policy: Policy) -> Column:
@@ -63,7 +66,7 @@ def _sensitive_keys(text: Column, policy: Policy) -> Column:
     return F.filter(decoded, lambda k: is_sensitive_key(k, policy))
 
 
-_HELPERS = ["_strict", "_tokens", "_secret_keys", "_again", "_parsed", "_json", "_active", "_new", "_text", "_fixed"]
+_HELPERS = ["_strict", "_tokens", "_secret_keys", "_again", "_parsed", "_active", "_new", "_text", "_fixed"]
 
 
 def redact_json(df: DataFrame, col: str, policy: Policy, out: str | None = None,
@@ -81,46 +84,55 @@ def redact_json(df: DataFrame, col: str, policy: Policy, out: str | None = None,
     # One guard test per record, on all its strings at once.
     seen = F.when(tok.isNotNull(), F.array_join(tok["strings"], "\n")).otherwise(F.col(col))
     df = df.withColumn("_active", active_rules(seen, rules))
-    active = F.col("_active")
-
-    def one(s, key):
-        if hits is None:
-            plain = redacted(s, policy, rules, active)
-            return F.when(key.isNotNull(), field_placeholder(key)).otherwise(plain)
-        nothing = F.array().cast(HITS_TYPE)
-        return F.when(key.isNotNull(), F.struct(field_placeholder(key).alias("text"), nothing.alias("hits"))).otherwise(
-            redacted_with_hits(s, policy, rules, active))
-
-    def strings(t):
-        owner = F.transform(key_before(t), lambda k: F.when(F.array_contains(F.col("_secret_keys"), k), k))
-        return F.zip_with(t["strings"], owner, one)
-
-    df = df.withColumn("_new", F.when(tok.isNotNull(), strings(tok)))
-    # Hits on sensitive fields come from the keys, whatever their value is.
+    bound = F.struct(tok.alias("t"), F.col("_active").alias("a"), F.col("_secret_keys").alias("k"))
+    nothing = F.array().cast(HITS_TYPE)
+
+    def strings(b):
+        def one(s, key):
+            secret = key.isNotNull() & F.array_contains(b["k"], key)
+            if hits is None:
+                return F.when(secret, field_placeholder(key)).when(
+                    F.size(b["a"]) == 0, s).otherwise(redacted(s, policy, rules, b["a"]))
+            plain = F.struct(s.alias("text"), nothing.alias("hits"))
+            hidden = F.struct(field_placeholder(key).alias("text"), nothing.alias("hits"))
+            return F.when(secret, hidden).when(F.size(b["a"]) == 0, plain).otherwise(
+                redacted_with_hits(s, policy, rules, b["a"]))
+        return F.zip_with(b["t"]["strings"], key_before(b["t"]), one)
+
+    df = df.withColumn("_new", F.when(tok.isNotNull(), let(bound, strings)))
     texts = F.col("_new") if hits is None else F.transform("_new", lambda x: x["text"])
     df = df.withColumn("_text", F.when(tok.isNotNull(), join_tokens(tok["gaps"], texts)))
-    renamed = F.exists(F.arrays_zip(tok["strings"].alias("a"), texts.alias("b"), tok["keys"].alias("k")),
-                       lambda z: z["k"] & (z["a"] != z["b"]))
-    df = df.withColumn("_fixed", canonical_json()(F.when(renamed, F.col("_text")), F.lit(None).cast("array<string>")))
-    blank = is_blank(F.col(col))
-    malformed = tok.isNull() & ~blank
+    # Two keys of a record may have become equal: read it again, the last one wins.
+    df = df.withColumn("_again", F.when(_keys_changed(tok, texts), F.col("_text")))
+    df = df.withColumn("_fixed", canonical_json()("_again", F.lit(None).cast("array<string>")))
+    malformed = tok.isNull() & ~is_blank(F.col(col))
     if hits is None:
-        rest = F.when(malformed, redacted(F.col(col), policy, rules, active)).otherwise(F.col(col))
-        value = F.coalesce("_fixed", "_text", rest)
-        return df.withColumn(out, value).drop(*_HELPERS)
-    df = df.withColumn("_rest", F.when(malformed, redacted_with_hits(F.col(col), policy, rules, active)))
-    fields = F.transform(
-        F.filter(F.arrays_zip(tok["strings"].alias("s"), tok["keys"].alias("k")),
-                 lambda z: z["k"] & F.array_contains(F.col("_secret_keys"), z["s"])),
-        lambda z: F.struct(F.concat(F.lit("sensitive_field_"), normalize_key(z["s"])).alias("category"),
-                           F.lit(1).cast("bigint").alias("n"), F.array().cast("array<string>").alias("values")))
-    found = F.when(tok.isNotNull(), F.concat(fields, F.flatten(F.transform("_new", lambda x: x["hits"])))).otherwise(
-        F.coalesce(F.col("_rest.hits"), F.array().cast(HITS_TYPE)))
+        rest = F.when(malformed, redacted(F.col(col), policy, rules, F.col("_active"))).otherwise(F.col(col))
+        return df.withColumn(out, F.coalesce("_fixed", "_text", rest)).drop(*_HELPERS)
+    df = df.withColumn("_rest", F.when(malformed, redacted_with_hits(F.col(col), policy, rules, F.col("_active"))))
+    # Hits on sensitive fields come from the keys, whatever their value is.
+    fields = let(bound, lambda b: F.transform(
+        F.filter(F.zip_with(b["t"]["strings"], b["t"]["keys"], lambda s, k: F.when(
+            k & F.array_contains(b["k"], s), s)), lambda s: s.isNotNull()),
+        lambda s: F.struct(F.concat(F.lit("sensitive_field_"), normalize_key(s)).alias("category"),
+                           F.lit(1).cast("bigint").alias("n"), F.array().cast("array<string>").alias("values"))))
+    found = F.when(tok.isNotNull(), F.concat(
+        F.when(F.size("_secret_keys") > 0, fields).otherwise(nothing),
+        F.flatten(F.transform("_new", lambda x: x["hits"])))).otherwise(F.coalesce(F.col("_rest.hits"), nothing))
     return (df.withColumn(hits, found)
             .withColumn(out, F.coalesce("_fixed", "_text", "_rest.text", F.col(col)))
             .drop("_rest", *_HELPERS))
 
 
+def _keys_changed(tokens: Column, texts: Column) -> Column:
+    """Some key is not what it was."""
+    def keys(strings):
+        return F.filter(strings, lambda s: s.isNotNull())
+    both = F.struct(tokens["strings"].alias("old"), tokens["keys"].alias("k"), texts.alias("new"))
+    return let(both, lambda b: keys(F.zip_with(b["old"], b["k"], lambda s, k: F.when(k, s)))
+               != keys(F.zip_with(b["new"], b["k"], lambda s, k: F.when(k, s))))
+
+
 def json_leaves(df: DataFrame, ids: list[str], col: str) -> DataFrame:
     """``(ids, leaf_no, path, key, value)``: every string value of JSON text.
 
@@ -148,13 +160,23 @@ def map_json_strings(df: DataFrame, col: str, rewrite, keys: bool, out: str) ->
     """
     df = _prepared(df, col, None)
     tok = F.col("_tokens")
-    new = F.transform(tok["strings"], lambda s, i: rewrite(s, i) if keys else F.when(
-        F.get(tok["keys"], i), s).otherwise(rewrite(s, i)))
-    df = df.withColumn("_new", F.when(tok.isNotNull(), new))
+    def mapped(t):
+        if keys:
+            return F.transform(t["strings"], rewrite)
+        return F.transform(t["strings"], lambda s, i: F.when(F.get(t["keys"], i), s).otherwise(rewrite(s, i)))
+    df = df.withColumn("_new", F.when(tok.isNotNull(), let(tok, mapped)))
     df = df.withColumn("_text", F.when(tok.isNotNull(), join_tokens(tok["gaps"], F.col("_new"))))
-    if keys:
-        renamed = F.exists(F.arrays_zip(tok["strings"].alias("a"), F.col("_new").alias("b"), tok["keys"].alias("k")),
-                           lambda z: z["k"] & (z["a"] != z["b"]))
-        df = df.withColumn("_fixed", canonical_json()(F.when(renamed, F.col("_text")), F.lit(None).cast("array<string>")))
-        return df.withColumn(out, F.coalesce("_fixed", "_text")).drop(*_HELPERS)
-    return df.withColumn(out, F.col("_text")).drop(*_HELPERS)
+    if not keys:
+        return df.withColumn(out, F.col("_text")).drop(*_HELPERS)
+    df = df.withColumn("_again", F.when(_keys_changed(tok, F.col("_new")), F.col("_text")))
+    df = df.withColumn("_fixed", canonical_json()("_again", F.lit(None).cast("array<string>")))
+    return df.withColumn(out, F.coalesce("_fixed", "_text")).drop(*_HELPERS)
+
+
+def json_values(df: DataFrame, col: str, out: str) -> DataFrame:
+    """``array<struct<at, text>>``: string values with their position; text that is no JSON is one value at 0."""
+    df = _prepared(df, col, None)
+    inside = let(F.col("_tokens"), lambda t: F.filter(F.transform(t["strings"], lambda s, i: F.struct(
+        i.alias("at"), F.when(~F.get(t["keys"], i), s).alias("text"))), lambda x: x["text"].isNotNull()))
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.col(col).alias("text")))
+    return df.withColumn(out, F.when(F.col("_tokens").isNotNull(), inside).otherwise(whole)).drop(*_HELPERS)

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from palimpsest import catalog
 from palimpsest.functions.dialect import java_regex
 from palimpsest.operators.joins import lookup
-from palimpsest.operators.json_records import apply_mapping, map_json_strings
+from palimpsest.operators.json_records import json_values, map_json_strings
 from palimpsest.policy import Policy
 
 
@@ -97,14 +97,8 @@ def model_pass(records: DataFrame, ids: list[str], col: str, spans: DataFrame, p
     Malformed lines count as one text.  Only candidate strings travel; they
     are looked up by digest and put back by record and position.
     """
-    from palimpsest.operators.json_records import _prepared
-    tokens = _prepared(records.select(*ids, F.col(col).alias("_raw")), "_raw", None)
-    tok = F.col("_tokens")
-    whole = F.array(F.struct(F.lit(0).alias("at"), F.col("_raw").alias("text")))
-    inside = F.filter(F.transform(tok["strings"], lambda s, i: F.struct(
-        i.alias("at"), F.when(~F.get(tok["keys"], i), s).alias("text"))), lambda x: x["text"].isNotNull())
-    strings = F.when(tok.isNotNull(), inside).otherwise(whole)
-    leaves = tokens.select(*ids, F.explode(F.filter(strings, lambda x: is_candidate(
+    values = json_values(records.select(*ids, F.col(col).alias("_raw")), "_raw", "_values")
+    leaves = values.select(*ids, F.explode(F.filter("_values", lambda x: is_candidate(
         x["text"], policy.span_max_chars, policy.selective))).alias("s")).select(
             *ids, "s.at", "s.text", text_id(F.col("s.text")).alias("text_id"))
     candidates = leaves.groupBy("text_id").agg(F.first("text").alias("text"))
