@@ -24,6 +24,7 @@ ODD_CASE = "ſıİK"
 
 _SECRET_WORDS = ["key", "token", "secret", "passw", "creds"]
 _DECIMAL = r"\p{Nd}\.\p{Nd}"
+_DIGIT = r"\p{Nd}"
 _STREETS = ["St", "Ave", "Road", "Rd", "Boulevard", "Blvd", "Dr", "Court", "Ct", "Pl"]
 
 # The outline of a text keeps ASCII capitals, digits and punctuation and turns
@@ -226,6 +227,22 @@ def _clause(kind: str, arg) -> str:
     return f"rlike(v.outline, {sql_text(_DECIMAL if kind == 'decimal' else arg)})"
 
 
+# Marks of guards that start with an expression.
+_LIKE_MARKS = {"iban": "digit", "street_address": "digit", "contextual_phone": "digit", "ipv6": ":"}
+
+
+def _needed_mark(rule: Rule) -> str:
+    """A punctuation character (or ``digit``) every match of the rule holds; '' if there is none."""
+    for kind, arg in rule.guard:
+        if kind == "decimal":
+            return "."
+        if kind in ("has", "low"):
+            common = set.intersection(*({c for c in x if _outline_of(c) == c and not c.isalnum()} for x in arg))
+            if common:
+                return min(common, key="@=$~\"_:/-.".find)
+    return _LIKE_MARKS.get(rule.category, "")
+
+
 @lru_cache(maxsize=64)
 def _active_sql(rules: tuple[Rule, ...]) -> str:
     """SQL lambda from a text's view to the numbers of the rules that may match."""
@@ -240,7 +257,19 @@ def _active_sql(rules: tuple[Rule, ...]) -> str:
         name = None if kind == "like" else shared.get((kind, tuple(arg or ())))
         return " AND ".join([f"t.{name}" if name else _clause(kind, arg), *(_clause(k, x) for k, x in others)])
 
-    numbers = "array_compact(array(" + ", ".join(f"CASE WHEN {holds(r)} THEN {r.ordinal} END" for r in rules) + "))"
+    # Rules that need one and the same character are asked together.
+    groups = {}
+    for rule in rules:
+        groups.setdefault(_needed_mark(rule), []).append(rule)
+    parts = []
+    for mark, members in groups.items():
+        found = "array_compact(array(" + ", ".join(f"CASE WHEN {holds(r)} THEN {r.ordinal} END" for r in members) + "))"
+        if mark == "digit":
+            found = f"CASE WHEN rlike(v.outline, {sql_text(_DIGIT)}) THEN {found} ELSE array() END"
+        elif mark:
+            found = f"CASE WHEN contains(v.outline, {sql_text(mark)}) THEN {found} ELSE array() END"
+        parts.append(found)
+    numbers = "sort_array(concat(" + ", ".join(parts) + "))"
     tests = ", ".join(f"'{name}', {_clause(*c)}" for c, name in shared.items()) or "'none', true"
     return f"v -> transform(array(named_struct({tests})), t -> {numbers})[0]"
 

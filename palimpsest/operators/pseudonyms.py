@@ -74,11 +74,10 @@ def number_placeholders(df: DataFrame, ids: list[str], col: str, dictionary: Dat
     into the text.  Placeholders the dictionary does not know stay.
     """
     holds = F.col(col).rlike(OPEN_PLACEHOLDER)
-    tokens = df.where(holds).select(*ids, F.posexplode(
+    tokens = df.where(holds).select(*[F.col(i).alias(f"_id_{n}") for n, i in enumerate(ids)], F.posexplode(
         F.regexp_extract_all(F.col(col), F.lit(OPEN_PLACEHOLDER), F.lit(0))).alias("pos", "token"))
     renamed = dictionary.select(F.col("token"), F.col("placeholder"))
-    named = lookup(tokens.select(*[F.col(i).alias(f"_id_{n}") for n, i in enumerate(ids)], "pos", "token"),
-                   renamed, "token", ["placeholder"])
+    named = lookup(tokens, renamed, "token", ["placeholder"])
     gathered = named.groupBy(*[f"_id_{n}" for n in range(len(ids))]).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("pos", F.coalesce("placeholder", "token").alias("text")))),
         lambda x: x["text"]).alias("_texts"))

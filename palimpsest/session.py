@@ -25,6 +25,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that arrives in fewer pieces than there are cores.
+
+    Redaction is bound by CPU, so one small file is worth a shuffle; tables of
+    many files come back as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_session(cores: int | str = "*", name: str = "palimpsest", **settings) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(name)
