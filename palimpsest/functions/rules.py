@@ -257,19 +257,21 @@ def _active_sql(rules: tuple[Rule, ...]) -> str:
         name = None if kind == "like" else shared.get((kind, tuple(arg or ())))
         return " AND ".join([f"t.{name}" if name else _clause(kind, arg), *(_clause(k, x) for k, x in others)])
 
-    # Rules that need one and the same character are asked together.
+    # Rules that need one and the same character are asked together.  The
+    # answer is a bit per rule: arrays are slow to build, and mostly empty.
     groups = {}
     for rule in rules:
         groups.setdefault(_needed_mark(rule), []).append(rule)
     parts = []
     for mark, members in groups.items():
-        found = "array_compact(array(" + ", ".join(f"CASE WHEN {holds(r)} THEN {r.ordinal} END" for r in members) + "))"
+        bits = " | ".join(f"if({holds(r)}, {1 << r.ordinal}L, 0L)" for r in members)
         if mark == "digit":
-            found = f"CASE WHEN rlike(v.outline, {sql_text(_DIGIT)}) THEN {found} ELSE array() END"
+            bits = f"if(rlike(v.outline, {sql_text(_DIGIT)}), {bits}, 0L)"
         elif mark:
-            found = f"CASE WHEN contains(v.outline, {sql_text(mark)}) THEN {found} ELSE array() END"
-        parts.append(found)
-    numbers = "sort_array(concat(" + ", ".join(parts) + "))"
+            bits = f"if(contains(v.outline, {sql_text(mark)}), {bits}, 0L)"
+        parts.append(bits)
+    numbers = (f"transform(array({' | '.join(parts)}), b -> if(b = 0L, cast(array() AS array<int>), "
+               f"filter(sequence(1, {max(r.ordinal for r in rules)}), i -> getbit(b, i) = 1)))[0]")
     tests = ", ".join(f"'{name}', {_clause(*c)}" for c, name in shared.items()) or "'none', true"
     return f"v -> transform(array(named_struct({tests})), t -> {numbers})[0]"
 
