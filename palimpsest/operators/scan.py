@@ -15,6 +15,7 @@ from palimpsest.functions.paths import path_order
 from palimpsest.functions.rules import active_rules, scan_rules
 from palimpsest.functions.urls import allowed_sql
 from palimpsest.policy import Policy
+from palimpsest.session import checkpointed
 
 #: Stands for a whole placeholder while scanning; in no rule's alphabet.
 MASK = "￼"
@@ -176,8 +177,9 @@ def scan_summary(hits: DataFrame, policy: Policy) -> DataFrame:
     Hits are counted per file first; the five examples are the first paths in
     path order, picked per task before any shuffle.
     """
-    per_file = hits.groupBy("name", "rel_path").agg(
-        F.count(F.lit(1)).alias("n"), F.max((F.col("place") == "path")).alias("in_path"))
+    # Read twice below; the scan behind it should run once.
+    per_file = checkpointed(hits.groupBy("name", "rel_path").agg(
+        F.count(F.lit(1)).alias("n"), F.max((F.col("place") == "path")).alias("in_path")))
     totals = per_file.groupBy("name").agg(F.sum("n").alias("matches"), F.count(F.lit(1)).alias("files"))
     first = W.partitionBy("name").orderBy(path_order(F.col("rel_path")))
     place = F.when(F.col("in_path"), "path").otherwise("content")

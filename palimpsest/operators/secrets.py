@@ -48,7 +48,8 @@ def apply_secret_findings(records: DataFrame, findings: DataFrame) -> tuple[Data
     literals = scoped.where(F.length("secret") > 0).select(
         "rel_path", F.col("finding_no").alias("no"), F.col("secret").alias("literal"),
         secret_placeholder(F.col("rule")).alias("placeholder"))
-    hits = literal_hits(records, RECORD, literals, F.array("raw")).withColumn("literals", F.sort_array("literals"))
+    hits = checkpointed(literal_hits(records, RECORD, literals, F.array("raw")).withColumn(
+        "literals", F.sort_array("literals")))
     touched = records.select(*RECORD, "raw").join(hits, RECORD)
     counts = checkpointed(touched.select(
         *RECORD, F.explode(_applied(F.col("raw"), F.col("literals"))["counts"]).alias("c"))

@@ -11,6 +11,7 @@ from palimpsest.functions.dialect import java_regex
 from palimpsest.operators.joins import lookup
 from palimpsest.operators.json_records import json_values, map_json_strings
 from palimpsest.policy import Policy
+from palimpsest.session import materialized
 
 
 def text_id(text: Column) -> Column:
@@ -101,6 +102,7 @@ def model_pass(records: DataFrame, ids: list[str], col: str, spans: DataFrame, p
     leaves = values.select(*ids, F.explode(F.filter("_values", lambda x: is_candidate(
         x["text"], policy.span_max_chars, policy.selective))).alias("s")).select(
             *ids, "s.at", "s.text", text_id(F.col("s.text")).alias("text_id"))
+    leaves = materialized(leaves)      # read three times below
     candidates = leaves.groupBy("text_id").agg(F.first("text").alias("text"))
     mapping = span_mapping(candidates, spans, policy.span_threshold)
     new = lookup(leaves.drop("text"), mapping.select(text_id(F.col("old")).alias("text_id"), "new"), "text_id", ["new"])
