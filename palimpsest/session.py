@@ -32,7 +32,8 @@ def spread(df: DataFrame) -> DataFrame:
     many files come back as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    # Several pieces per core even out rows of very different length.
+    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def local_session(cores: int | str = "*", name: str = "palimpsest", **settings) -> SparkSession:
