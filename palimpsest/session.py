@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write the rows to the cluster's checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that the driver and all executors see.
 
-    The folder comes from the context or from ``spark.checkpoint.dir``.  Only
-    a local session without either gets a temporary folder of its own.
+    That is ``spark.checkpoint.dir``; where it is unset, a folder in the
+    warehouse, which is shared as well.  Never a machine-local one.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
-            "spark.checkpoint.dir", None)
+        folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir().rstrip("/")
+
+
+def new_folder(spark: SparkSession, what: str) -> str:
+    """The path of a new, empty place in the shared folder."""
+    return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -50,10 +58,6 @@ def local_session(cores: int | str = "*", name: str = "palimpsest", **settings)
 
 def materialized(df: DataFrame) -> DataFrame:
     """Like :func:`checkpointed`, as a Parquet table: for wide results that are read column-wise later."""
-    import uuid
-
-    spark = df.sparkSession
-    checkpointed(spark.range(0))          # makes sure that a folder is set
-    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "table")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
