@@ -28,7 +28,13 @@ from pyspark.sql import functions as F
 from palimpsest.llm.common import SPACE_RUN
 from palimpsest.session import materialized, new_folder
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore."
+#: State on disk; without preallocated log files, which cost megabytes for every partition of small states.
+STATE = {
+    _STORE + "providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    _STORE + "rocksdb.changelogCheckpointing.enabled": "true",
+    _STORE + "rocksdb.allowFAllocate": "false",
+}
 #: The filter for rows with a repeated digest: so many words of 64 bits, at most 1 MB to broadcast.
 FILTER_WORDS = 1 << 16
 
@@ -60,13 +66,14 @@ def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 @contextmanager
 def disk_backed_state(spark: SparkSession):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE}
+    for key, value in STATE.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def retained(stream: DataFrame) -> DataFrame:
