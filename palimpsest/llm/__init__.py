@@ -1 +1,8 @@
 """Operators for large training corpora; nothing outside this subpackage imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need not have the package: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -21,11 +21,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import SPACE_RUN
+from palimpsest.llm.files import from_files, located, locator, maybe_in
 from palimpsest.session import materialized, new_folder
 
 _STORE = "spark.sql.streaming.stateStore."
@@ -35,9 +35,6 @@ STATE = {
     _STORE + "rocksdb.changelogCheckpointing.enabled": "true",
     _STORE + "rocksdb.allowFAllocate": "false",
 }
-#: The filter for rows with a repeated digest: so many words of 64 bits, at most 1 MB to broadcast.
-FILTER_WORDS = 1 << 16
-
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN, " ")
@@ -47,23 +44,6 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, text and a locator (file and row) by which a row's content is found again.
-
-    Rows that do not come straight from Parquet files are written to the
-    shared folder first.
-    """
-    def read(df):
-        return df.select(
-            F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-            F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string")).alias("locator"))
-
-    try:
-        return read(docs)
-    except AnalysisException:
-        return read(materialized(docs.select(id_col, text_col)))
-
-
 @contextmanager
 def disk_backed_state(spark: SparkSession):
     before = {key: spark.conf.get(key, None) for key in STATE}
@@ -108,19 +88,6 @@ def run_stream(spark: SparkSession, landing: str, schema, folder: str, files_per
             .groupBy("digest").agg(F.min("first").alias("first"), F.max("n").alias("n")))
 
 
-def _with_repeats(rows: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Rows whose locator may be among the repeated ones.
-
-    A bit table with one hash: at most FILTER_WORDS rows whatever the input.
-    Rows that slip through cost time, not correctness.
-    """
-    place = f"pmod(xxhash64(locator), {FILTER_WORDS * 64})"
-    word, bit = F.expr(f"shiftright({place}, 6)"), f"cast({place} % 64 as int)"
-    table = repeated.groupBy(word.alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_bits"))
-    return (rows.withColumn("_word", word).join(F.broadcast(table), "_word")
-            .where(F.expr(f"shiftrightunsigned(_bits, {bit}) & 1 = 1")).drop("_word", "_bits"))
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 digest: Callable[[Column], Column] = sha256, files_per_trigger: int | None = None) -> DataFrame:
     """One row per row of ``docs``: id, locator, digest, keep_id, keep_locator, group_size, kept.
@@ -142,7 +109,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Every text that shares its digest with another row, in full.  Copies in one
     # task fall together before the exchange, so a hot text is not a hot task.
     text = normalised(F.col("text"))
-    again = _with_repeats(rows, hits).select("id", "locator", text.alias("text"), digest(text).alias("digest"))
+    again = maybe_in(rows, hits).select("id", "locator", text.alias("text"), digest(text).alias("digest"))
     texts = again.groupBy("digest", "text").agg(F.count(F.lit(1)).alias("n"))
     differing = materialized(texts.groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").select("digest"))
 
@@ -162,10 +129,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    try:
-        docs.select("_metadata.file_path")
-    except AnalysisException:
-        docs = materialized(docs)
+    docs = from_files(docs)
     stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("locator").alias("_locator"))
-    at = F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
-    return docs.withColumn("_locator", at).join(stays, "_locator", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.withColumn("_locator", locator()).join(stays, "_locator", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import chat, exact_dedup, fixity, mixing, placement
+from palimpsest.llm import chat, exact_dedup, fixity, minhash, mixing, placement
 from palimpsest.llm.common import table
 
 QUERIES: dict = {}
@@ -151,6 +151,32 @@ def op6_merkle_fixity_audit(spark: SparkSession, sf: str) -> DataFrame:
     return fixity.audit(primary, damaged(primary))
 
 
+# --------------------------------------------------------------------------- 8 near duplicates
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def near_sql(size: int, share: int, source: str = "documents") -> str:
+    """All sets, all pairs that share a shingle, and what is reachable."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w FROM {source}),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - {size - 1}) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= {share} * (na.n + nb.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+m AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN m ON m.doc_id = w.doc_id
+"""
+
+
+@query(near_sql(2, 80))
+def op8_signature_coordinate_join(spark: SparkSession, sf: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 # --------------------------------------------------------------------------- 9 mixing
 
 def _mixing_sql() -> str:
