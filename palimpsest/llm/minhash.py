@@ -10,12 +10,17 @@ only these are posted, rarest first; the others are compared without merging
 their lists.  Candidates are confirmed on the full sets of words themselves.
 
 Lists of thousands of near copies must not become all pairs.  The first round
-links each document to one centre per list.  Later rounds look only into lists
-that hold several components and try documents against other components,
-``TRIES`` of each at first and eight times as many every round, until no
+links each document to one centre.  Later rounds look only into lists that
+hold several components and try documents against members of other ones, the
+``TRIES`` most alike at first and sixteen times as many every round, until no
 untried candidate between two components is left.  So every link between
 components is found, while links inside a component need not be listed.
 
+Before texts are compared, candidates must pass a bound that loses nothing: a
+document's parity sketch has a bit for each of ``PARITY`` buckets, set if an
+odd number of its shingles fall there.  Sketches differ in at most as many bits
+as sets differ in shingles, and similar sets differ in few.
+
 Copies (equal word sequences) fall together before posting.  Null and empty
 texts have no shingles and are linked with nothing; a text of fewer words than
 ``size`` has one shingle, all its words.  Rows with equal ids are separate
@@ -40,7 +45,9 @@ from palimpsest.session import materialized
 
 COORDINATES = 64
 MATCHES = 38
-TRIES = 8
+TRIES = 32
+#: Bits of a parity sketch; 4 bits of each coordinate travel with a posting besides.
+PARITY = 512
 #: Documents from whose coordinates the order of rarity is taken.  Any order gives the same result.
 ORDER_SAMPLE = 20_000
 #: Shingles hashed at a time, words kept in a worker's table.
@@ -96,8 +103,21 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity(hashes: np.ndarray) -> np.ndarray:
+    return np.packbits(np.bincount((hashes >> np.uint64(20)).astype(np.int64) % PARITY, minlength=PARITY).astype(np.uint8) & 1)
+
+
+def packed(signatures: np.ndarray, parities: np.ndarray) -> np.ndarray:
+    """What travels with a posting: 4 bits of each coordinate, then the parity sketch, as bytes."""
+    low = signatures.astype(np.uint8) & 15
+    return np.hstack([(low[:, ::2] << 4) | low[:, 1::2], parities])
+
+
 def sketches(rows: DataFrame, size: int) -> DataFrame:
-    """(id, locator, sequence, n, signature) of (id, text, locator).  ``sequence`` names the words in order, null if none."""
+    """(id, locator, sequence, n, signature) of (id, text, locator).
+
+    ``sequence`` names the words in order, null if there are none; the signature is followed by the parity sketch.
+    """
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +132,7 @@ def sketches(rows: DataFrame, size: int) -> DataFrame:
                 sequence.append(hashlib.sha256(b" ".join(w)).digest())
                 h = shingle_hashes(w, size, known)
                 n.append(len(h))
-                signatures.append(signature(h).tobytes())
+                signatures.append(signature(h).tobytes() + parity(h).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("locator"), pa.array(sequence, pa.binary()), pa.array(n, pa.int64()),
                  pa.array(signatures, pa.binary())], names=["id", "locator", "sequence", "n", "signature"])
@@ -125,8 +145,10 @@ def _tokens(signatures: np.ndarray) -> np.ndarray:
     return (np.arange(signatures.shape[1], dtype=np.int64)[None, :] << 32) | signatures.astype(np.int64)
 
 
-def _stacked(column) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in column), dtype=np.uint32).reshape(-1, COORDINATES)
+def _stacked(column) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and parity sketches of a column."""
+    both = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), -1)
+    return np.ascontiguousarray(both[:, :4 * COORDINATES]).view(np.uint32), both[:, 4 * COORDINATES:]
 
 
 def frequent_tokens(classes: DataFrame, n_classes: int) -> DataFrame:
@@ -137,13 +159,13 @@ def frequent_tokens(classes: DataFrame, n_classes: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array(_tokens(_stacked(batch.column(0))).ravel())], names=["token"])
+                yield pa.RecordBatch.from_arrays([pa.array(_tokens(_stacked(batch.column(0))[0]).ravel())], names=["token"])
 
     return sample.mapInArrow(run, "token bigint").groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 2")
 
 
 def postings(classes: DataFrame, frequent: dict[int, int]) -> DataFrame:
-    """(token, node, n, bits) under the K - T + 1 rarest pairs; bits holds 8 of each coordinate."""
+    """(token, node, n, bits) under the K - T + 1 rarest pairs; for bits see :func:`packed`."""
     keys = np.array(sorted(frequent), dtype=np.int64)
     counts = np.array([frequent[k] for k in keys.tolist()], dtype=np.int64)
     shared = classes.sparkSession.sparkContext.broadcast((keys, counts))
@@ -154,7 +176,7 @@ def postings(classes: DataFrame, frequent: dict[int, int]) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            signatures = _stacked(batch.column("signature"))
+            signatures, parities = _stacked(batch.column("signature"))
             tokens = _tokens(signatures)
             often = np.zeros(tokens.shape, dtype=np.int64)
             if len(keys):
@@ -163,14 +185,14 @@ def postings(classes: DataFrame, frequent: dict[int, int]) -> DataFrame:
             # Rarest first; ties in the order of a hash of the pair, the same for all documents.
             tie = _mixed(tokens.astype(np.uint64)) >> np.uint64(33)
             first = np.argsort((often.astype(np.uint64) << np.uint64(31)) | tie, axis=1, kind="stable")[:, :length]
-            low = signatures.astype(np.uint8)
+            bits = packed(signatures, parities)
             pick = np.repeat(np.arange(batch.num_rows), length)
             for at in range(0, len(pick), 1 << 16):
                 rows = pick[at:at + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.take_along_axis(tokens, first, 1).ravel()[at:at + (1 << 16)]),
                      batch.column("node").take(pa.array(rows)), batch.column("n").take(pa.array(rows)),
-                     pa.array([low[i].tobytes() for i in rows], pa.binary())], names=["token", "node", "n", "bits"])
+                     pa.array([bits[i].tobytes() for i in rows], pa.binary())], names=["token", "node", "n", "bits"])
 
     return classes.select("node", "n", "signature").mapInArrow(run, "token bigint, node bigint, n bigint, bits binary")
 
@@ -182,7 +204,7 @@ def _lists(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[li
     for batch in batches:
         if not batch.num_rows:
             continue
-        arrays = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES) if c == "bits"
+        arrays = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) if c == "bits"
                   else batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
         tokens = batch.column("token").to_numpy()
         starts = [0, *(np.flatnonzero(tokens[1:] != tokens[:-1]) + 1).tolist(), len(tokens)]
@@ -196,11 +218,22 @@ def _lists(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[li
         yield [np.array([token]), *[np.concatenate(x) for x in zip(*held, strict=True)]]
 
 
-def _agree(bits: np.ndarray, n: np.ndarray, i: int, others: np.ndarray, share: int) -> np.ndarray:
-    """Which others agree with i in enough coordinates and have a size that allows the similarity."""
+_HALF = COORDINATES // 2
+_EQUAL_HALVES = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], dtype=np.uint8)
+_ONES = np.array([x.bit_count() for x in range(256)], dtype=np.uint8)
+
+
+def _agree(bits: np.ndarray, n: np.ndarray, i: int, others: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which others may be similar to i, and in how many bits their parity sketches differ from its own.
+
+    They agree in enough coordinates, have a fitting size, and their sketches allow the similarity.
+    """
     small, large = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
     fits = others[100 * small >= share * large]
-    return fits[(bits[fits] == bits[i]).sum(axis=1) >= MATCHES]
+    fits = fits[_EQUAL_HALVES[bits[fits, :_HALF] ^ bits[i, :_HALF]].sum(axis=1) >= MATCHES]
+    apart = _ONES[bits[fits, _HALF:] ^ bits[i, _HALF:]].sum(axis=1).astype(np.int64)
+    may = (100 + share) * apart <= (100 - share) * (n[fits] + n[i])
+    return fits[may], apart[may]
 
 
 def _batches(rows: Iterator[tuple], names: list[str], size: int = 1 << 15) -> Iterator[pa.RecordBatch]:
@@ -223,7 +256,7 @@ def first_round(posted: DataFrame, share: int) -> DataFrame:
                 out = []
                 while len(left) > 1:
                     centre, left = left[0], left[1:]
-                    near = _agree(bits, n, centre, left, share)
+                    near, _ = _agree(bits, n, centre, left, share)
                     out.append((token[0], node[centre], node[centre]))
                     out += [(token[0], node[centre], node[i]) for i in near]
                     left = left[~np.isin(left, near)] if len(near) else left
@@ -236,33 +269,28 @@ def first_round(posted: DataFrame, share: int) -> DataFrame:
 
 
 def between_components(lists: DataFrame, share: int, tries: int) -> DataFrame:
-    """(a, b, more): candidates of different components.
+    """(token, a, b, more): candidates of different components.
 
-    For each document and other component of a list at most ``tries``, those that agree most; ``more`` says that some were
-    left for a later round.
+    Of each document at most ``tries`` per list, those whose sketches differ least; ``more`` says that some were left for a
+    later round.
     """
     def run(batches):
         def rows():
-            for _, node, n, bits, label in _lists(batches, ["node", "n", "bits", "label"]):
+            for token, node, n, bits, label in _lists(batches, ["node", "n", "bits", "label"]):
                 # Members of the largest component are only partners: a pair needs one end outside it.
                 names, counts = np.unique(label, return_counts=True)
                 largest = names[counts.argmax()]
                 everyone = np.arange(len(node))
                 for i in np.flatnonzero(label != largest):
                     others = everyone[(label != label[i]) & ((label == largest) | (everyone > i))]
-                    near = _agree(bits, n, i, others, share)
-                    if not len(near):
-                        continue
-                    same = (bits[near] == bits[i]).sum(axis=1)
-                    near = near[np.lexsort((node[near], -same, label[near]))]
-                    first = np.searchsorted(label[near], label[near], side="left")
-                    rank = np.arange(len(near)) - first
-                    more = int((rank >= tries).any())
-                    for j in near[rank < tries]:
-                        yield min(node[i], node[j]), max(node[i], node[j]), more
-        yield from _batches(rows(), ["a", "b", "more"])
+                    near, apart = _agree(bits, n, i, others, share)
+                    more = int(len(near) > tries)
+                    for j in near[np.lexsort((node[near], apart))[:tries]]:
+                        yield token[0], min(node[i], node[j]), max(node[i], node[j]), more
+        yield from _batches(rows(), ["token", "a", "b", "more"])
 
-    return lists.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "a bigint, b bigint, more bigint")
+    return lists.repartition("token").sortWithinPartitions("token", "node").mapInArrow(
+        run, "token bigint, a bigint, b bigint, more bigint")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> DataFrame:
@@ -315,17 +343,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         members = materialized(known.join(open_lists, "token", "left_semi"))
         if members.isEmpty():
             break
-        bits = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "signature")
-        candidates = materialized(between_components(members.join(low_bits(bits), "node").select("token", "node", "n", "bits", "label"), share, tries))
+        bits = low_bits(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "signature"))
+        candidates = materialized(between_components(
+            members.join(bits, "node").select("token", "node", "n", "bits", "label"), share, tries))
         new = materialized(candidates.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-        withheld = not candidates.where("more = 1").isEmpty()
         if not new.isEmpty():
             links = materialized(links.unionByName(confirmed(new, texts_of(new), size, share)))
             labels = components(links)
             tried = materialized(tried.unionByName(new))
-        if not withheld:
-            break
-        members, tries = members.select("token", "node"), tries * 8
+        # A list that gave all its candidates is finished; merged components only take candidates away.
+        unfinished = candidates.where("more = 1").select("token").distinct()
+        members, tries = members.select("token", "node").join(unfinished, "token", "left_semi"), tries * 16
     labelled = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = labelled.groupBy("label").agg(F.min("first").alias("head"))
     of_class = labelled.select("sequence", "label").join(heads, "label").select("sequence", "head")
@@ -342,8 +370,8 @@ def low_bits(classes: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                low = _stacked(batch.column("signature")).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array([x.tobytes() for x in low], pa.binary())],
+                bits = packed(*_stacked(batch.column("signature")))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array([x.tobytes() for x in bits], pa.binary())],
                                                  names=["node", "n", "bits"])
 
     return classes.mapInArrow(run, "node bigint, n bigint, bits binary")
