@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import chat, exact_dedup, fixity, minhash, mixing, placement
-from palimpsest.llm.common import table
+from palimpsest.llm import chat, exact_dedup, fixity, minhash, mixing, placement, toxicity
+from palimpsest.llm.common import remainder, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -91,6 +91,27 @@ def op2_tool_call_linking(spark: SparkSession, sf: str) -> DataFrame:
         "place", F.col("place").cast("bigint"))
 
 
+# --------------------------------------------------------------------------- 3 toxicity
+
+#: Scores from here on count as toxic.
+TOXIC = 0.7
+
+
+def toxicity_index(spark: SparkSession, docs: DataFrame, sf: str) -> toxicity.Index:
+    """Learnt from the labels of two thirds of the ids; the rest is held out."""
+    return toxicity.learn(docs, table(spark, sf, "labels"), remainder("doc_id", 3) != 1)
+
+
+@query()
+def op3_block_max_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    scored = toxicity.scored(docs, toxicity_index(spark, docs, sf))
+    return scored.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC).cast("int").alias("predicted"), F.size("labels").alias("n_neighbours"),
+                         F.aggregate("labels", F.lit(0), lambda a, b: a + b).alias("n_toxic_neighbours"),
+                         F.try_element_at("similarities", F.lit(1)).alias("nearest"))
+
+
 # --------------------------------------------------------------------------- 4 exact dedup
 
 @query(rf"""
