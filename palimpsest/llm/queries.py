@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import chat, exact_dedup, fixity, minhash, mixing, placement, toxicity
+from palimpsest.llm import chat, exact_dedup, fixity, minhash, mixing, pieces, placement, toxicity, vectors
 from palimpsest.llm.common import remainder, table
 
 QUERIES: dict = {}
@@ -25,6 +27,26 @@ _SPACES = r"[\x20\x09-\x0D]+"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
+# --------------------------------------------------------------------------- 1 SentencePiece
+
+#: Place of the vocabulary; a parameter, the file is not part of this repository.
+MODEL = os.environ.get("PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+SEGMENTATIONS = 4
+
+
+@query()
+def op1_nbest_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    vocabulary = pieces.load(MODEL)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = pieces.encode(docs, "text", vocabulary, SEGMENTATIONS)
+    rows = rows.select("doc_id", "text", F.col("nbest")[0]["ids"].alias("ids"), F.xxhash64("nbest.ids").alias("ids_digest"),
+                       F.col("nbest.score").alias("scores"))
+    return pieces.decode(rows, "ids", vocabulary).select(
+        "doc_id", F.size("ids").alias("n_pieces"), F.try_element_at("scores", F.lit(1)).alias("score"),
+        F.size("scores").alias("n_segmentations"), F.try_element_at("scores", F.lit(-1)).alias("last_score"), "ids_digest",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 # --------------------------------------------------------------------------- 2 chat formatting
 
 #: Tools on offer: tool, parameter, type, required.
@@ -172,6 +194,14 @@ def op6_merkle_fixity_audit(spark: SparkSession, sf: str) -> DataFrame:
     return fixity.audit(primary, damaged(primary))
 
 
+# --------------------------------------------------------------------------- 7 nearest neighbours
+
+@query()
+def op7_permutation_index(spark: SparkSession, sf: str) -> DataFrame:
+    found = vectors.search(table(spark, sf, "embeddings"), F.col("id") % 20 == 0, 20)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 # --------------------------------------------------------------------------- 8 near duplicates
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
