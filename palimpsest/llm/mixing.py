@@ -35,8 +35,8 @@ from palimpsest.session import materialized
 WEIGHTS = (5, 2, 1)
 RATIO = 1.5
 LIMIT = 2
-BLOCK_WORDS = 1_000_000
-SHARD_WORDS = 16_000_000
+BLOCK_WORDS = 100_000
+SHARD_WORDS = 8_000_000
 SEED = 20240
 #: Rows (some 50 bytes each) up to which a table counted before is broadcast.
 BROADCAST_ROWS = 50_000

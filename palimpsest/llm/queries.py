@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import chat, exact_dedup, fixity, minhash, mixing, pieces, placement, toxicity, vectors
+from palimpsest.llm import chat, exact_dedup, fixity, hmm, minhash, mixing, pieces, placement, toxicity, vectors
 from palimpsest.llm.common import remainder, table
 
 QUERIES: dict = {}
@@ -146,6 +146,14 @@ def op4_streaming_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+# --------------------------------------------------------------------------- 5 language model
+
+@query()
+def op5_hidden_markov_scores(spark: SparkSession, sf: str) -> DataFrame:
+    scored = hmm.language_model(table(spark, sf, "documents"), remainder("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 # --------------------------------------------------------------------------- 6 WARC fixity
 
 def damaged(records: DataFrame) -> DataFrame:
