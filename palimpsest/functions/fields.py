@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +19,8 @@ def normalize_key(key: Column) -> Column:
 
 
 def is_sensitive_key(key: Column, policy: Policy | None = None) -> Column:
-    extra = policy.extra_sensitive_keys if policy else ()
-    exact = [*catalog.SENSITIVE_KEYS, *(k for k in extra)]
+    extra = [re.sub(r"[^a-z0-9]+", "_", k.lower()).strip("_") for k in (policy.extra_sensitive_keys if policy else ())]
+    exact = [*catalog.SENSITIVE_KEYS, *extra, *(k.replace("_", "") for k in extra)]
     return let(normalize_key(key), lambda n: let(F.replace(n, F.lit("_"), F.lit("")), lambda c: (
         n.isin(exact) | c.isin(exact)
         | any_of(F.contains(n, F.lit(x)) | F.contains(c, F.lit(x))

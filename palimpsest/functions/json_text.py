@@ -28,6 +28,17 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 
+def is_json(raw: Column) -> Column:
+    """The whole text is one JSON value.
+
+    The parser ignores what follows a value.  Inside an array, in front of a
+    mark that the text cannot hold (its own digest), nothing may follow it.
+    """
+    mark = F.md5(raw.cast("binary"))
+    held = F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), mark, F.lit('"]')))
+    return F.coalesce(F.try_variant_get(held, "$[1]", "string") == mark, F.lit(False))
+
+
 def json_tokens(raw: Column) -> Column:
     """``struct<gaps, strings, keys>`` of valid JSON text.
 

@@ -106,6 +106,18 @@ JAVA_FORMS = {
 }
 
 
+#: A domain name has at most 127 labels.  Java recurses once per repetition of a group, so runs without end would
+#: overflow its stack; a longer run is still found, from a later label on.
+LABELS = 126
+
+
+def few_labels(pattern: str) -> str:
+    """The pattern with bounded runs of labels and a possessive run of path parts, which never has to give one back."""
+    return (pattern.replace(r"(?:[A-Za-z0-9-]+\.)*", rf"(?:[A-Za-z0-9-]++\.){{0,{LABELS}}}")
+            .replace(r"(?:\.[A-Za-z0-9-]+)+", rf"(?:\.[A-Za-z0-9-]+){{1,{LABELS}}}")
+            .replace("(?:-[A-Za-z0-9_.]+)*--", "(?:-[A-Za-z0-9_.]++)*+--"))
+
+
 @dataclass(frozen=True)
 class Rule:
     ordinal: int
@@ -185,7 +197,7 @@ def _build(entries, policy: Policy) -> list[Rule]:
             # Take the whole URL: otherwise host and path stay readable.
             pattern += r"[^\s'\"<>`)}\]]*"
             replacement = r"\1[SECRET:BASIC_AUTH]"
-        java = JAVA_FORMS.get(category) or java_regex(pattern, trusted=True)
+        java = JAVA_FORMS.get(category) or java_regex(few_labels(pattern), trusted=True)
         if category == "env_secret_default":
             java = java.replace("(?iu)", "(?iu)(?<![A-Z0-9_])", 1)
         guard = GUARDS.get(category) or _policy_guard(category, policy, written)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.expr import let
 from palimpsest.functions.fields import field_placeholder, is_sensitive_key, normalize_key
-from palimpsest.functions.json_text import canonical_json, join_tokens, json_leaf_rows, json_tokens, key_before
+from palimpsest.functions.json_text import canonical_json, is_json, join_tokens, json_leaf_rows, json_tokens, key_before
 from palimpsest.functions.redact import HITS_TYPE, redacted, redacted_with_hits
 from palimpsest.functions.rules import active_rules, redaction_rules
 from palimpsest.operators.joins import lookup
@@ -25,7 +25,7 @@ def split_malformed(records: DataFrame, raw: str = "raw") -> DataFrame:
     nesting) is read again the lenient way.
     """
     text = F.col(raw)
-    strict = F.try_parse_json(text).isNotNull()
+    strict = is_json(text)
     lenient = canonical_json()(F.when(~strict & ~is_blank(text), text), F.lit(None).cast("array<string>"))
     return (records.withColumn("is_blank", is_blank(text))
             .withColumn("_lenient", lenient)
@@ -40,7 +40,7 @@ def _prepared(df: DataFrame, col: str, policy: Policy | None) -> DataFrame:
     a column's definition into the lambda, where it would run per element.
     """
     text = F.col(col)
-    df = df.withColumn("_strict", F.try_parse_json(text).isNotNull())
+    df = df.withColumn("_strict", is_json(text))
     df = df.withColumn("_tokens", F.when(F.col("_strict"), json_tokens(text)))
     container = F.lit(False)
     if policy is None:
@@ -105,7 +105,8 @@ def redact_json(df: DataFrame, col: str, policy: Policy, out: str | None = None,
     # Two keys of a record may have become equal: read it again, the last one wins.
     df = df.withColumn("_again", F.when(_keys_changed(tok, texts), F.col("_text")))
     df = df.withColumn("_fixed", canonical_json()("_again", F.lit(None).cast("array<string>")))
-    malformed = tok.isNull() & ~is_blank(F.col(col))
+    # Whatever could not be put together again is redacted as plain text, never passed on.
+    malformed = F.col("_fixed").isNull() & F.col("_text").isNull() & ~is_blank(F.col(col))
     if hits is None:
         rest = F.when(malformed, redacted(F.col(col), policy, rules, F.col("_active"))).otherwise(F.col(col))
         return df.withColumn(out, F.coalesce("_fixed", "_text", rest)).drop(*_HELPERS)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from palimpsest.catalog import REVIEW_MAX_BYTES, REVIEW_MAX_CHARS, REVIEW_PATTERNS
 from palimpsest.functions.dialect import java_regex
 from palimpsest.functions.expr import any_of, count_literal, let
-from palimpsest.functions.json_text import json_tokens
+from palimpsest.functions.json_text import is_json, json_tokens
 from palimpsest.operators.json_records import map_json_strings
 from palimpsest.operators.literals import literal_hits
 
@@ -111,7 +111,7 @@ def apply_review_findings(records: DataFrame, findings: DataFrame, ids: list[str
     ids = ids or ["rel_path", "line_no"]
     structured = F.col("rel_path").rlike(r"\.jsonl?$")
     raw = F.col(col)
-    strings = F.when(structured, F.when(F.try_parse_json(raw).isNotNull(), json_tokens(raw)["strings"])
+    strings = F.when(structured, F.when(is_json(raw), json_tokens(raw)["strings"])
                      .otherwise(F.array(raw))).otherwise(F.array(raw))
     literals = dedupe_findings(findings).select(
         "rel_path", F.col("no").cast("bigint").alias("no"), F.col("text").alias("literal"),

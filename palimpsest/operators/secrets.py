@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.functions.expr import count_literal, json_quote, let
+from palimpsest.functions.json_text import is_json
 from palimpsest.operators.literals import literal_hits
 from palimpsest.session import checkpointed
 
@@ -95,7 +96,7 @@ def _outcomes(findings: DataFrame, counts: DataFrame, tombs: DataFrame) -> DataF
 
 def tombstone_text(raw: Column, rule: Column) -> Column:
     """The record that takes the place of one whose secret could not be cut out; its type stays."""
-    value = F.try_parse_json(raw)
+    value = F.when(is_json(raw), F.try_parse_json(raw))
     kind = F.to_json(F.try_variant_get(value, "$.type", "variant"))
     return F.concat(F.lit('{"type":'), F.coalesce(kind, F.lit('"redacted_record"')),
                     F.lit(',"redacted":true,"redaction_reason":'),

@@ -347,6 +347,17 @@ _RECORDS_SQL = (f"SELECT event_type AS source, event_type || '/' || CAST(user_id
                 f"event_id AS line_no, {_BROKEN} AS raw FROM events")
 
 
+_TRAILING = ("case event_id % 6 when 0 then concat(props, ' x') when 1 then '[1] /home/a' when 2 then '12 y' when 3 then '1,2' "
+             "when 4 then concat('[', props, ']] z') else props end")
+
+
+@query(f"SELECT event_id, json_valid(raw) AS is_valid FROM (SELECT event_id, {_TRAILING} AS raw FROM events)")
+def trailing_text(spark, sf):
+    """Lines with text behind a complete value are malformed."""
+    rows = table(spark, sf, "events").select("event_id", F.expr(_TRAILING).alias("raw"))
+    return json_records.split_malformed(rows).select("event_id", "is_valid")
+
+
 @query(f"WITH r AS ({_RECORDS_SQL}) SELECT line_no, trim(raw) = '' AS is_blank, trim(raw) <> '' AND json_valid(raw) AS is_valid FROM r")
 def malformed_rows(spark, sf):
     return json_records.split_malformed(_records(spark, sf)).select("line_no", "is_blank", "is_valid")
