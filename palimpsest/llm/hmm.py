@@ -35,7 +35,9 @@ from palimpsest.session import materialized
 
 FREQUENT, CLASSES, STATES, ROUNDS = 60_000, 1024, 8, 6
 #: Weight of the prior in emissions (tokens per state) and transitions.
-PRIOR, SEED = 200.0, 5
+PRIOR, SEED = 2000.0, 5
+#: Rarer words are always in classes, so that classes have the weight of words seen once or never.
+LEAST_COUNT = 3
 #: Words a task counts before it passes them on; tokens that are run through the recursions at a time.
 FLUSH, TOKENS = 1 << 19, 300_000
 END = b""
@@ -78,6 +80,7 @@ class Symbols:
         self.number = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(words)}
         self.counts = np.array([ends, *[c for _, c in words]], dtype=np.float64)
         self.total, self.distinct = total, distinct
+        self.class_counts = np.zeros(CLASSES)
         self.n = len(self.number) + CLASSES
 
     def base(self, counts):
@@ -88,7 +91,7 @@ class Symbols:
 def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
     """All words whose count is at least a limit, chosen so that FREQUENT words at most are left."""
     step = F.floor(F.log2("c") * 16)
-    words = counts.where(F.length("word") > 0)
+    words = counts.where((F.length("word") > 0) & (F.col("c") >= LEAST_COUNT))
     sizes = sorted(((r["step"], r["count"]) for r in words.groupBy(step.alias("step")).count().collect()), reverse=True)   # a few hundred rows
     have, least = 0, None
     for s, n in sizes:
@@ -149,7 +152,7 @@ def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
     flat = np.concatenate(texts).astype(np.int64) if len(texts) else np.zeros(0, dtype=np.int64)
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])[order] if len(texts) else np.zeros(0, dtype=np.int64)
     active = np.searchsorted(-lengths[order], -np.arange(lengths.max() if len(texts) else 0), side="left")
-    total, alphas, scales = np.zeros(len(texts)), [], []
+    total, alphas, scales, emitted = np.zeros(len(texts)), [], [], []
     alpha = None
     for t, n in enumerate(active.tolist()):
         b = emit[flat[begins[:n] + t]]
@@ -158,15 +161,15 @@ def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
         alpha /= scale[:, None]
         total[:n] += np.log10(scale)
         if keep:
-            alphas.append(alpha), scales.append(scale)
+            alphas.append(alpha), scales.append(scale), emitted.append(b)
     out = np.zeros(len(texts))
     out[order] = total
-    return (out, flat, begins, active, alphas, scales) if keep else out
+    return (out, flat, begins, active, alphas, scales, emitted) if keep else out
 
 
 def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray):
     """Expected counts of first states, transitions and (symbol, state), and the log10 probability."""
-    total, flat, begins, active, alphas, scales = forward(texts, start, move, emit, True)
+    total, flat, begins, active, alphas, scales, emitted = forward(texts, start, move, emit, True)
     k = len(start)
     moves, gammas, places = np.zeros((k, k)), [], []
     beta = None
@@ -175,7 +178,7 @@ def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
         full = np.ones((n, k))
         if beta is not None:
             m = len(beta)
-            w = emit[flat[begins[:m] + t + 1]] * beta / scales[t + 1][:, None]
+            w = emitted[t + 1] * beta / scales[t + 1][:, None]
             moves += alphas[t][:m].T @ w
             full[:m] = w @ move.T
         beta = full
@@ -204,17 +207,7 @@ def train(texts: DataFrame, symbols: Symbols, states: int = STATES, rounds: int
     spark = texts.sparkSession
     rng, symbols_n = np.random.default_rng(SEED), symbols.n
 
-    def count(batches):
-        out = np.zeros(symbols_n, dtype=np.float64)
-        for batch in batches:
-            for c in batch.column(0).to_pylist():
-                out += np.bincount(np.frombuffer(c, dtype=np.uint16), minlength=symbols_n)
-        at = np.flatnonzero(out)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(out[at])], names=["symbol", "n"])
-
-    seen = texts.mapInArrow(count, "symbol bigint, n double").groupBy("symbol").agg(F.sum("n").alias("n")).toArrow()
-    prior = np.ones(symbols_n)
-    prior[seen.column("symbol").to_numpy()] += seen.column("n").to_numpy()
+    prior = np.concatenate([symbols.counts, symbols.class_counts]) + 1
     prior /= prior.sum()
     start = np.full(states, 1 / states)
     move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * (0.9 - (0.1 / max(1, states - 1)))
@@ -282,14 +275,16 @@ def language_model(docs: DataFrame, is_train: Column, id_col: str = "doc_id", te
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.length("word") == 0, F.col("c"))).alias("ends")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
     symbols = Symbols(frequent_words(counts), sums["ends"] or 0, total, distinct)
+    least = float(symbols.counts[1:].min()) if len(symbols.counts) > 1 else float("inf")
+    own_class = F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % CLASSES
+    rest = counts.where((F.length("word") > 0) & (F.col("c") < least)).withColumn("class", own_class)
+    classes = materialized(rest.groupBy("class").agg(F.sum("c").alias("class_c"), F.count(F.lit(1)).alias("class_v")))   # CLASSES rows
+    for r in classes.collect():
+        symbols.class_counts[r["class"]] = r["class_c"]
     coded = materialized(encoded(rows, symbols).withColumn("row", F.monotonically_increasing_id()))
     model = train(coded.where("train").select("symbols"), symbols, states, rounds)
 
     # Words within classes: counts by a join on the word, then sums per text.
-    least = float(symbols.counts[1:].min()) if len(symbols.counts) > 1 else float("inf")
-    own_class = F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % CLASSES
-    rest = counts.where((F.length("word") > 0) & (F.col("c") < least)).withColumn("class", own_class)
-    classes = rest.groupBy("class").agg(F.sum("c").alias("class_c"), F.count(F.lit(1)).alias("class_v"))   # CLASSES rows
     rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     found = (rare.join(rest.select("word", "c"), "word", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("class", own_class)
              .join(F.broadcast(classes), "class", "left"))
