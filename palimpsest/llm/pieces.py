@@ -45,7 +45,7 @@ class Vocabulary:
     pieces: dict[str, tuple[int, float]]
     bytes_: list[int]                       # ids of the 256 bytes
     unknown: float                          # score of a character without a piece
-    surface: list[bytes | None]             # what an id decodes to
+    surface: list[bytes]                    # what an id decodes to
     prefix: bool                            # a blank is put before the text
 
 
@@ -68,7 +68,7 @@ def load(path: str) -> Vocabulary:
             pieces[p.piece] = (i, p.score)
             surface.append(p.piece.replace(BLANK, " ").encode())
         else:
-            surface.append(None)
+            surface.append(b"")
     if any(BLANK in p.lstrip(BLANK) for p in pieces):
         raise ValueError("pieces with a blank behind another character are not supported")
     least = min((s for p, (_, s) in pieces.items() if len(p) == 1 and not p.isspace() and p != BLANK), default=0.0)
@@ -78,7 +78,6 @@ def load(path: str) -> Vocabulary:
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, n: int):
         self.v, self.n = vocabulary, n
-        self.longest = max(map(len, vocabulary.pieces), default=1)
         # Scores of pieces, None for what only starts one: a walk from a place ends where no piece goes on.
         self.scores: dict[str, float | None] = {}
         for piece, (_, score) in vocabulary.pieces.items():
@@ -93,19 +92,23 @@ class Encoder:
 
     def lattice(self, word: str) -> tuple[list[float], list[list[tuple[int, tuple[int, ...], float]]]]:
         """Best score up to each place, and the edges that end there."""
-        n, get = len(word), self.v.pieces.get
+        n, get = len(word), self.scores.get
         alpha, ends = [0.0] + [-np.inf] * n, [[] for _ in range(n + 1)]
         for i in range(n):
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                p = get(word[i:j])
-                if p is not None:
-                    edge = (i, (p[0],), p[1])
+            for j in range(i + 1, n + 1):
+                s = get(word[i:j], False)
+                if s is not False and s is not None:
+                    edge = (i, (self.v.pieces[word[i:j]][0],), s)
                 elif j == i + 1:
                     edge = (i, tuple(self.v.bytes_[b] for b in word[i].encode("utf-8", "surrogatepass")), self.v.unknown)
-                else:
+                elif s is None:
                     continue
+                else:
+                    break
                 ends[j].append(edge)
                 alpha[j] = max(alpha[j], alpha[i] + edge[2])
+                if s is False:
+                    break
         return alpha, ends
 
     def best(self, word: str) -> tuple[bytes, float, float]:
@@ -176,12 +179,12 @@ class Encoder:
         words = self.words.findall(((BLANK if self.v.prefix else "") + text).replace(" ", BLANK))
         known, best = self.known, self.best
         rows = [known.get(w) or best(w) for w in words]
-        parts = [r[0] for r in rows]
-        total = float(sum(r[1] for r in rows))
+        parts, scores, gaps = map(list, zip(*rows, strict=True))
+        total = float(sum(scores))
         out = [(total, b"".join(parts))]
         if self.n == 1:
             return out
-        gaps = np.array([r[2] for r in rows])
+        gaps = np.array(gaps)
         near = np.argsort(gaps, kind="stable")[:self.n - 1]
         near = sorted(near[np.isfinite(gaps[near])].tolist())
         choices = [self.n_best(words[i]) for i in near]
@@ -244,8 +247,9 @@ def encode(df: DataFrame, text_col: str, vocabulary: Vocabulary, n: int = 1, out
 
 
 def decode_ids(ids: list[int], v: Vocabulary) -> str:
-    parts = [v.surface[i] for i in ids if 0 <= i < len(v.surface)]
-    text = b"".join(p for p in parts if p is not None).decode("utf-8", "replace")
+    if ids and (min(ids) < 0 or max(ids) >= len(v.surface)):
+        ids = [i for i in ids if 0 <= i < len(v.surface)]
+    text = b"".join(map(v.surface.__getitem__, ids)).decode("utf-8", "replace")
     return text[1:] if v.prefix and text.startswith(" ") else text
 
 
