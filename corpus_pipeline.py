@@ -16,6 +16,9 @@ from palimpsest.llm.queries import MODEL, TOXIC, toxicity_index
 from palimpsest.session import materialized
 
 SHINGLE_WORDS, SIMILARITY, SEGMENTATIONS = 5, 80, 2
+#: Words of an output shard, a few megabytes of text: the next stage has a task for each.  The driver holds a quota for every
+#: (source, shard), so tables of many terabytes take larger shards.
+SHARD_WORDS = 1_000_000
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every drawn copy, in shards."""
-    return mixing.mix(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return mixing.mix(docs, shard_words=SHARD_WORDS).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
