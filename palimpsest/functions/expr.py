@@ -41,6 +41,16 @@ def count_literal(text: Column, literal: Column) -> Column:
     return F.when(F.length(literal) > 0, (removed / F.length(literal)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
 
 
+def overlapping(text: Column, max_chars: int, overlap: int) -> Column:
+    """The whole text as ``array<struct<offset,piece>>``: pieces of ``max_chars``, neighbours share ``overlap`` characters."""
+    step = max_chars - overlap
+    if overlap < 0 or step < 1:
+        raise ValueError("overlap must be smaller than max_chars")
+    last = F.greatest(F.ceil((F.length(text) - overlap) / step) - 1, F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
+        (i * step).alias("offset"), F.substring(text, i * step + 1, F.lit(max_chars)).alias("piece")))
+
+
 def json_quote(text: Column) -> Column:
     """A JSON string literal: only quotes, backslashes and control characters are escaped."""
     quoted = text

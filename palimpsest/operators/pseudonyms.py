@@ -44,9 +44,7 @@ def assign_ordinals(values: DataFrame, order: list[str], salt: str = "",
     waiting = entries.where(F.col("value").rlike(OPEN_PLACEHOLDER))
     # A value can only hold placeholders of earlier rules, so depth is bounded
     # by the number of stable rules; most corpora need no round at all.
-    for _ in range(8):
-        if waiting.isEmpty():
-            break
+    while not waiting.isEmpty():
         numbered = number_placeholders(waiting.withColumn("final", F.col("value")), ["token"], "final", done)
         numbered = checkpointed(numbered)
         missing = F.col("final").rlike(OPEN_PLACEHOLDER)

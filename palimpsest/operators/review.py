@@ -10,15 +10,18 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.catalog import REVIEW_MAX_BYTES, REVIEW_MAX_CHARS, REVIEW_PATTERNS
+from palimpsest.catalog import REVIEW_MAX_CHARS, REVIEW_PATTERNS
 from palimpsest.functions.dialect import java_regex
-from palimpsest.functions.expr import any_of, count_literal, let
+from palimpsest.functions.expr import any_of, count_literal, let, overlapping
 from palimpsest.functions.json_text import is_json, json_tokens
 from palimpsest.operators.json_records import map_json_strings
 from palimpsest.operators.literals import literal_hits
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Characters that neighbouring pieces of a long line share.
+REVIEW_OVERLAP = 200
+
 
 def review_patterns(extra: tuple[str, ...] = (), terms: tuple[str, ...] = ()) -> list[str]:
     return [*REVIEW_PATTERNS, *extra, *(re.escape(t) for t in terms)]
@@ -29,9 +32,21 @@ def is_review_candidate(text: Column, patterns: list[str]) -> Column:
 
 
 def limit_files(df: DataFrame, size: str = "file_size", path: str = "rel_path",
-                max_bytes: int = REVIEW_MAX_BYTES) -> DataFrame:
-    """Leave out very large files and compiled ones."""
-    return df.where((F.col(size) <= max_bytes) & ~F.endswith(path, F.lit(".pyc")))
+                max_bytes: int | None = None) -> DataFrame:
+    """Leave out compiled files and, only if asked for, those above ``max_bytes``; unknown sizes stay."""
+    return df.where(~_skipped(size, path, max_bytes))
+
+
+def skipped_files(df: DataFrame, size: str = "file_size", path: str = "rel_path",
+                  max_bytes: int | None = None) -> DataFrame:
+    """What :func:`limit_files` leaves out, with the ``reason``: ``compiled`` or ``size``."""
+    compiled = F.coalesce(F.endswith(path, F.lit(".pyc")), F.lit(False))
+    return df.where(_skipped(size, path, max_bytes)).withColumn("reason", F.when(compiled, "compiled").otherwise("size"))
+
+
+def _skipped(size: str, path: str, max_bytes: int | None) -> Column:
+    compiled = F.coalesce(F.endswith(path, F.lit(".pyc")), F.lit(False))
+    return compiled if max_bytes is None else compiled | F.coalesce(F.col(size) > max_bytes, F.lit(False))
 
 
 def limit_chunks(chunks: DataFrame, order: list[str], max_chunks: int = 0) -> DataFrame:
@@ -40,10 +55,15 @@ def limit_chunks(chunks: DataFrame, order: list[str], max_chunks: int = 0) -> Da
 
 
 def review_chunks(records: DataFrame, patterns: list[str], col: str = "raw",
-                  max_chars: int = REVIEW_MAX_CHARS) -> DataFrame:
-    """Line mode: lines with a candidate, cut to ``max_chars`` for the reviewer."""
-    return records.where(is_review_candidate(F.col(col), patterns)).withColumn(
-        "chunk", F.substring(F.col(col), 1, max_chars))
+                  max_chars: int = REVIEW_MAX_CHARS, overlap: int = REVIEW_OVERLAP) -> DataFrame:
+    """Line mode: ``(.., chunk_no, chunk)``, the whole of every line with a candidate.
+
+    A long line is cut into pieces of ``max_chars`` that share ``overlap``
+    characters, so a finding of at most ``overlap`` characters lies whole in one.
+    """
+    picked = records.where(is_review_candidate(F.col(col), patterns))
+    return picked.select("*", F.posexplode(overlapping(F.col(col), max_chars, overlap)).alias("chunk_no", "_piece")).select(
+        *records.columns, "chunk_no", F.col("_piece.piece").alias("chunk"))
 
 
 def review_windows(documents: DataFrame, ids: list[str], col: str, patterns: list[str],

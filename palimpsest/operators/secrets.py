@@ -148,13 +148,12 @@ def summary_by_rule(outcomes: DataFrame) -> DataFrame:
 
 
 def apply_secret_rounds(records: DataFrame, rounds: list[DataFrame]):
-    """Apply up to three findings tables; ``(records, summaries, status)``.
+    """Apply all given findings tables; ``(records, summaries, status)``.
 
     Each round is one more scan of the result.  An empty table means clean.
     """
-    from palimpsest.catalog import SECRET_ROUNDS
     summaries, status = [], "max_rounds_reached"
-    for number, findings in enumerate(rounds[:SECRET_ROUNDS], 1):
+    for number, findings in enumerate(rounds, 1):
         if findings.isEmpty():
             status = "clean"
             break

@@ -8,36 +8,50 @@ from pyspark.sql import Window as W
 
 from palimpsest import catalog
 from palimpsest.functions.dialect import java_regex
+from palimpsest.functions.expr import overlapping
 from palimpsest.operators.joins import lookup
 from palimpsest.operators.json_records import json_values, map_json_strings
 from palimpsest.policy import Policy
 from palimpsest.session import materialized
 
 
+#: Characters that neighbouring pieces of a long text share.
+SPAN_OVERLAP = 200
+
+
 def text_id(text: Column) -> Column:
     """Equal texts share one id, so each is reviewed once."""
     return F.sha2(text, 256)
 
 
-def is_candidate(text: Column, max_chars: int, selective: bool) -> Column:
-    fits = F.length(text).between(1, max_chars)
-    return fits & text.rlike(java_regex(catalog.CUE_PATTERN)) if selective else fits
+def is_candidate(text: Column, selective: bool) -> Column:
+    given = F.length(text) > 0
+    return given & text.rlike(java_regex(catalog.CUE_PATTERN)) if selective else given
 
 
-def select_candidates(df: DataFrame, col: str, max_chars: int = catalog.SPAN_MAX_CHARS,
-                      selective: bool = True) -> DataFrame:
-    """Rows worth showing to a detector: not too long, with a cue word."""
-    return df.where(is_candidate(F.col(col), max_chars, selective))
+def select_candidates(df: DataFrame, col: str, selective: bool = True) -> DataFrame:
+    """Rows worth showing to a detector: not empty, with a cue word.  Of any length; see :func:`detector_pieces`."""
+    return df.where(is_candidate(F.col(col), selective))
 
 
-def distinct_candidates(df: DataFrame, col: str, max_chars: int = catalog.SPAN_MAX_CHARS,
-                        selective: bool = True) -> DataFrame:
+def distinct_candidates(df: DataFrame, col: str, selective: bool = True) -> DataFrame:
     """``(text_id, text)``: every candidate text once."""
-    picked = select_candidates(df, col, max_chars, selective).select(F.col(col).alias("text"))
+    picked = select_candidates(df, col, selective).select(F.col(col).alias("text"))
     # Grouping on the digest keeps the shuffled key short and of even length.
     return picked.groupBy(text_id(F.col("text")).alias("text_id")).agg(F.first("text").alias("text"))
 
 
+def detector_pieces(candidates: DataFrame, max_chars: int = catalog.SPAN_MAX_CHARS, overlap: int = SPAN_OVERLAP) -> DataFrame:
+    """``(text_id, offset, text)``: whole texts in overlapping pieces that a detector can take."""
+    pieces = candidates.select("text_id", F.explode(overlapping(F.col("text"), max_chars, overlap)).alias("p"))
+    return pieces.select("text_id", "p.offset", F.col("p.piece").alias("text"))
+
+
+def spans_of_pieces(spans: DataFrame) -> DataFrame:
+    """Spans of pieces, which carry the piece's ``offset``, as spans of whole texts; repeats in overlaps are merged later."""
+    return spans.withColumn("start", F.col("start") + F.col("offset")).withColumn("end", F.col("end") + F.col("offset")).drop("offset")
+
+
 def valid_spans(spans: DataFrame, threshold: float = catalog.SPAN_THRESHOLD) -> DataFrame:
     """Drop weak, empty, inverted and incomplete spans; labels in upper case, ``PII`` by default."""
     label = F.upper(F.when(F.col("label") != "", F.col("label")))
@@ -95,13 +109,14 @@ def span_mapping(candidates: DataFrame, spans: DataFrame, threshold: float = cat
 def model_pass(records: DataFrame, ids: list[str], col: str, spans: DataFrame, policy: Policy) -> DataFrame:
     """Apply a detector's spans to the string values (not the keys) of JSON records.
 
-    Malformed lines count as one text.  Only candidate strings travel; they
-    are looked up by digest and put back by record and position.
+    Malformed lines count as one text.  Every supplied span is applied, also to
+    long texts and those without a cue word.  Only strings with spans travel;
+    they are looked up by digest and put back by record and position.
     """
     values = json_values(records.select(*ids, F.col(col).alias("_raw")), "_raw", "_values")
-    leaves = values.select(*ids, F.explode(F.filter("_values", lambda x: is_candidate(
-        x["text"], policy.span_max_chars, policy.selective))).alias("s")).select(
-            *ids, "s.at", "s.text", text_id(F.col("s.text")).alias("text_id"))
+    leaves = values.select(*ids, F.explode(F.filter("_values", lambda x: is_candidate(x["text"], False))).alias("s")).select(
+        *ids, "s.at", "s.text", text_id(F.col("s.text")).alias("text_id"))
+    leaves = leaves.join(spans.select("text_id").distinct(), "text_id", "left_semi")
     leaves = materialized(leaves)      # read three times below
     candidates = leaves.groupBy("text_id").agg(F.first("text").alias("text"))
     mapping = span_mapping(candidates, spans, policy.span_threshold)

@@ -13,15 +13,15 @@ def review(records: DataFrame, find, patterns: list[str] | None = None, max_char
            max_chunks: int = 0, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(records, summary)``.
 
-    ``find`` turns ``chunks(chunk_id, rel_path, line_no, chunk)`` into
+    ``find`` turns ``chunks(chunk_id, rel_path, line_no, chunk_no, chunk)`` into
     ``findings(finding_no, chunk_id, rel_path, text, category)``: any
     DataFrame function, for instance a ``mapInPandas`` around a reader.
     """
     patterns = patterns or R.review_patterns()
     chunks = R.review_chunks(records, patterns, max_chars=max_chars)
-    chunks = R.limit_chunks(chunks, ["rel_path", "line_no"], max_chunks)
+    chunks = R.limit_chunks(chunks, ["rel_path", "line_no", "chunk_no"], max_chunks)
     chunks = materialized(chunks.select(
-        F.xxhash64("rel_path", "line_no").alias("chunk_id"), "rel_path", "line_no", "chunk"))
+        F.sha2(F.to_json(F.struct("rel_path", "line_no", "chunk_no")), 256).alias("chunk_id"), "rel_path", "line_no", "chunk_no", "chunk"))
     findings = materialized(R.valid_findings(find(chunks), chunks))
     applied = materialized(R.apply_review_findings(records, findings, dry_run=dry_run))
     return applied.drop("replacements"), R.review_summary(chunks, findings, applied, dry_run)

@@ -471,8 +471,8 @@ def embedded_terms(spark, sf):
 _CUE = re2(catalog.CUE_PATTERN)
 
 
-@query(f"SELECT 'documents' AS origin, doc_id AS id FROM documents WHERE length(text) BETWEEN 1 AND 12000 AND regexp_matches(text, {quote(_CUE)}) "
-       f"UNION ALL SELECT 'conversations', conv_id * 1000 + turn FROM conversations WHERE length(text) BETWEEN 1 AND 12000 AND regexp_matches(text, {quote(_CUE)}) "
+@query(f"SELECT 'documents' AS origin, doc_id AS id FROM documents WHERE length(text) > 0 AND regexp_matches(text, {quote(_CUE)}) "
+       f"UNION ALL SELECT 'conversations', conv_id * 1000 + turn FROM conversations WHERE length(text) > 0 AND regexp_matches(text, {quote(_CUE)}) "
        f"UNION ALL SELECT 'events', event_id FROM events WHERE regexp_matches({canary_text()}, {quote(_CUE)})")
 def cue_candidates(spark, sf):
     d = spans.select_candidates(table(spark, sf, "documents"), "text").select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"))
@@ -482,12 +482,20 @@ def cue_candidates(spark, sf):
     return d.unionByName(c).unionByName(e)
 
 
-@query("SELECT DISTINCT sha256(text) AS text_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE length(text) BETWEEN 1 AND 12000")
+@query("SELECT DISTINCT sha256(text) AS text_id, CAST(length(text) AS INTEGER) AS n_chars FROM documents WHERE length(text) > 0")
 def distinct_candidates(spark, sf):
     return spans.distinct_candidates(table(spark, sf, "documents"), "text", selective=False).select(
         "text_id", F.length("text").alias("n_chars"))
 
 
+@query("WITH t AS (SELECT DISTINCT text FROM documents WHERE length(text) > 0), "
+       "p AS (SELECT text, unnest(range(0, greatest(1, CAST(ceil((length(text) - 200) / 11800.0) AS BIGINT)))) AS i FROM t) "
+       "SELECT sha256(text) AS text_id, CAST(i * 11800 AS INTEGER) AS \"offset\", md5(substr(text, i * 11800 + 1, 12000)) AS piece FROM p")
+def detector_pieces(spark, sf):
+    whole = spans.distinct_candidates(table(spark, sf, "documents"), "text", selective=False)
+    return spans.detector_pieces(whole).select("text_id", "offset", F.md5("text").alias("piece"))
+
+
 _SPANS_SQL = ("SELECT l_orderkey AS text_id, l_linenumber AS span_no, CAST((l_partkey * 7) % 180 AS INTEGER) AS start, "
               "CAST(CASE WHEN l_linenumber = 6 THEN NULL ELSE (l_partkey * 7) % 180 + l_suppkey % 30 - 2 END AS INTEGER) AS \"end\", "
               "CASE WHEN l_linestatus = 'O' THEN '' ELSE lower(l_returnflag) END AS label, l_discount * 10 + 0.55 AS score FROM lineitem")
@@ -534,7 +542,7 @@ def apply_spans(spark, sf):
     return spans.apply_spans(documents, merged).select(F.col("text_id").alias("doc_id"), F.col("redacted").alias("text"))
 
 
-_CUED = "concat('my name is ', role, ' ', cast(turn % 3 as string), ' ', substr(replace(replace(text, '\"', ' '), chr(10), ' '), 1, 40))"
+_CUED = "concat('my name is ', role, ' ', cast(turn % 3 as string), ' ', replace(replace(replace(text, chr(92), ' '), '\"', ' '), chr(10), ' '))"
 
 
 @query(f"WITH c AS (SELECT conv_id, turn, role, {_CUED} AS t FROM conversations) "
@@ -633,12 +641,14 @@ def _candidate_sql(column: str) -> str:
     return " OR ".join(f"regexp_matches({column}, {quote(p)})" for p in _PATTERNS_RE2)
 
 
-@query(f"SELECT conv_id, turn, substr(text, 1, 80) AS chunk FROM conversations WHERE {_candidate_sql('text')} "
-       f"UNION ALL SELECT event_id, -1, substr({canary_text()}, 1, 80) FROM events WHERE {_candidate_sql(canary_text())}")
+@query(f"WITH r AS (SELECT conv_id, turn, text FROM conversations WHERE {_candidate_sql('text')} "
+       f"UNION ALL SELECT event_id, -1, {canary_text()} FROM events WHERE {_candidate_sql(canary_text())}), "
+       "p AS (SELECT *, unnest(range(0, greatest(1, CAST(ceil((length(text) - 20) / 60.0) AS BIGINT)))) AS i FROM r) "
+       "SELECT conv_id, turn, CAST(i AS INTEGER) AS chunk_no, substr(text, i * 60 + 1, 80) AS chunk FROM p")
 def review_chunks(spark, sf):
     rows = table(spark, sf, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "text").unionByName(
         canaries(spark, sf).select(F.col("event_id").alias("conv_id"), F.lit(-1).cast("bigint").alias("turn"), "text"))
-    return review.review_chunks(rows, _PATTERNS, "text", 80).select("conv_id", "turn", "chunk")
+    return review.review_chunks(rows, _PATTERNS, "text", 80, 20).select("conv_id", "turn", "chunk_no", "chunk")
 
 
 _WINDOW = r"https?://[^\s'\"<>`)}\]]+|@mail"
@@ -654,12 +664,12 @@ def review_windows(spark, sf):
 
 
 @query("WITH c AS (SELECT conv_id * 1000 + turn AS chunk_id, role || '/' || (conv_id % 7) || '.jsonl' AS rel_path, text FROM conversations) "
-       "SELECT chunk_id, rel_path FROM (SELECT * FROM c WHERE length(text) <= 400) ORDER BY rel_path, chunk_id LIMIT 20")
+       "SELECT chunk_id, rel_path FROM c")
 def limit_chunks(spark, sf):
     rows = table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("chunk_id"),
         F.concat("role", F.lit("/"), (F.col("conv_id") % 7).cast("string"), F.lit(".jsonl")).alias("rel_path"), F.length("text").cast("bigint").alias("file_size"))
-    return review.limit_chunks(review.limit_files(rows, max_bytes=400), ["rel_path", "chunk_id"], 20).select("chunk_id", "rel_path")
+    return review.limit_chunks(review.limit_files(rows), ["rel_path", "chunk_id"]).select("chunk_id", "rel_path")
 
 
 # Findings made from the texts: the first and the last word, with some that do not qualify.
