@@ -9,8 +9,9 @@ plain content.
 
 * Calls and results meet by a join on (conv_id, id).
 * Calls are ordered topologically over ``after``: level 0 needs nothing, a
-  call's level is one above the highest it needs.  Levels are peeled for all
-  chats at once, one job per level; calls on a cycle or behind one have none.
+  call's level is one above the highest it needs.  Chains of needs are
+  shortened for all chats at once, by half a round; calls on a cycle or behind
+  one have none.
 * Arguments are checked against a table of schemas (tool, parameter, type,
   required).  Types: string, integer, number, boolean, array, object.
 * A linked call becomes one canonical JSON line: keys in order, no blanks, each
@@ -57,33 +58,53 @@ def results_of(messages: DataFrame) -> DataFrame:
                        F.try_variant_get("v", "$.content", "variant").alias("result"))
 
 
-def levels(calls: DataFrame, max_jobs: int | None = None) -> DataFrame:
+def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) for (conv_id, call_id, after); level is null on and behind cycles.
 
-    Each round settles the calls whose needs are all settled, for all chats;
-    rounds = the longest chain of calls.
+    A call's level is the maximum of a constant and, for each need, a distance
+    plus that need's level.  In every round, for all chats at once, a need that
+    is settled joins the constant, and a need that waits for one other call
+    only is replaced by that call, at the summed distance.  So distances double
+    along a chain: a chat of n turns takes about log2(n) rounds, and no call
+    ever has more needs than it named.  A distance no chat is long enough for
+    is a cycle; calls that wait for each other along several ways make a round
+    without a change, which ends the search.
     """
     known = calls.select("conv_id", "call_id")
-    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct("after")).alias("needs"))
-    edges = materialized(edges.join(known.withColumnRenamed("call_id", "needs"), ["conv_id", "needs"], "left_semi"))
-    settled = materialized(calls.select("conv_id", "call_id").join(edges, ["conv_id", "call_id"], "left_anti")
-                           .withColumn("level", F.lit(0)))
-    front, waiting, level = settled, edges, 0
-    done = [settled]
-    while not waiting.isEmpty() and (max_jobs is None or level < max_jobs):
-        level += 1
-        met = front.select("conv_id", F.col("call_id").alias("needs"))
-        rest = waiting.join(met, ["conv_id", "needs"], "left_anti")
-        was = waiting.select("conv_id", "call_id").distinct()
-        front = materialized(was.join(rest, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(level)))
-        if front.isEmpty():
-            break
-        done.append(front)
-        waiting = materialized(rest.join(front, ["conv_id", "call_id"], "left_anti"))
+    longest = known.groupBy("conv_id").count().agg(F.max("count")).head()[0] or 0
+    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct("after")).alias("need"))
+    edges = edges.join(known.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_semi")
+    waiting = materialized(edges.groupBy("conv_id", "call_id").agg(
+        F.collect_list(F.struct("need", F.lit(1).alias("far"))).alias("needs")).withColumn("least", F.lit(0)).withColumn("moved", F.lit(True)))
+    # A settled call has no needs; its level is `least`, or none if it is cyclic
+    done = [materialized(known.join(waiting, ["conv_id", "call_id"], "left_anti").withColumn("least", F.lit(0)))]
+    state = waiting
+    while state.where("moved").limit(1).count():
+        only = F.array_distinct("needs.need")
+        others = waiting.select("conv_id", F.col("call_id").alias("need"), F.col("least").alias("least_of"), F.lit(False).alias("settled"),
+                                F.when(F.size(only) == 1, only[0]).alias("onward"), F.array_max("needs.far").alias("onward_far"))
+        for settled in done:
+            others = others.unionByName(settled.select("conv_id", F.col("call_id").alias("need"), F.col("least").alias("least_of"),
+                                                       F.lit(True).alias("settled")), allowMissingColumns=True)
+        steps = (waiting.select("conv_id", "call_id", "least", F.explode("needs").alias("n"))
+                 .select("conv_id", "call_id", "least", "n.need", "n.far").join(others, ["conv_id", "need"]))
+        jumps = ~F.col("settled") & F.col("onward").isNotNull()
+        far = F.col("far") + F.when(jumps, F.col("onward_far")).otherwise(0)
+        cyclic = (F.col("settled") & F.col("least_of").isNull()) | (far >= longest)
+        steps = steps.select(
+            "conv_id", "call_id", "least", "settled", jumps.alias("jumps"), cyclic.alias("cyclic"), (F.col("far") + F.col("least_of")).alias("through"),
+            F.when(~F.col("settled"), F.struct(F.when(jumps, F.col("onward")).otherwise(F.col("need")).alias("need"), far.alias("far"))).alias("n"))
+        is_through = F.col("settled") | F.col("jumps")
+        state = materialized(steps.groupBy("conv_id", "call_id").agg(
+            F.collect_list("n").alias("needs"), F.max(F.greatest("least", F.when(is_through, F.col("through")))).alias("least"),
+            F.bool_or(is_through).alias("moved"), F.bool_or("cyclic").alias("cyclic")))
+        ends = F.col("cyclic") | (F.size("needs") == 0)
+        done.append(state.where(ends).select("conv_id", "call_id", F.when(~F.col("cyclic"), F.col("least")).alias("least")))
+        waiting = state.where(~ends).drop("cyclic")
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return known.join(out, ["conv_id", "call_id"], "left")
+    return known.join(out.withColumnRenamed("least", "level"), ["conv_id", "call_id"], "left")
 
 
 def argument_errors(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -125,16 +146,16 @@ def link(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     calls = calls_of(messages)
     # Repeated ids: the first call stands for the id.  A struct's minimum is pre-aggregated.
     body = F.struct("turn", "place", "name", F.to_json("arguments").alias("arguments"), "after")
-    named = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(
+    named = calls.where("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min(body).alias("c"), F.count(F.lit(1)).alias("n_calls")).select("conv_id", "call_id", "c.*", "n_calls")
-    nameless = calls.where("call_id is null").select(
+    nameless = calls.where("conv_id is null or call_id is null").select(
         "conv_id", "call_id", "turn", "place", "name", F.to_json("arguments").alias("arguments"), "after", F.lit(1).cast("bigint").alias("n_calls"))
     named = materialized(named)
     results = results_of(messages)
-    answers = results.where("call_id is not null").groupBy("conv_id", "call_id").agg(
+    answers = results.where("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min(F.struct("result_turn", F.to_json("result").alias("result"))).alias("r"), F.count(F.lit(1)).alias("n_results"))
     answers = answers.select("conv_id", "call_id", "r.*", "n_results")
-    lost = results.where("call_id is null").select(
+    lost = results.where("conv_id is null or call_id is null").select(
         "conv_id", "call_id", "result_turn", F.to_json("result").alias("result"), F.lit(1).cast("bigint").alias("n_results"))
 
     missing = (named.select("conv_id", "call_id", F.explode("after").alias("needs"))

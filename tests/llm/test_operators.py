@@ -1,6 +1,7 @@
 """Operators against brute force, and on odd tables."""
 
 import itertools
+import random
 import zlib
 from collections import Counter
 
@@ -92,6 +93,32 @@ def test_tool_calls(spark):
     assert linked(spark, [(9, 0, "user", "hi")]) == []
 
 
+def test_levels_of_chains_forks_and_cycles(spark):
+    rng = random.Random(4)
+    calls = [(1, f"c{i}", [f"c{i - 1}"] if i else []) for i in range(70)]
+    calls += [(2, f"c{i}", [f"c{rng.randrange(i)}" for _ in range(rng.randrange(4))] if i else []) for i in range(60)]
+    calls += [(3, f"c{i}", [f"c{i - 1}", f"c{i - 2}"] if i > 1 else []) for i in range(20)]
+    calls += [(4, f"c{i}", [f"c{(i + 1) % 5}"]) for i in range(5)] + [(4, "behind", ["c3", "free"]), (4, "free", []), (4, "self", ["self"])]
+    calls += [(5, a, [b for b in "xyz" if b != a]) for a in "xyz"] + [(5, "late", ["x", "free", None, "none"]), (5, "free", [])]
+    want = {}
+    for chat_id in {c[0] for c in calls}:
+        needs = {c: {n for n in after if n} for conv, c, after in calls if conv == chat_id}
+        needs = {c: {n for n in after if n in needs} for c, after in needs.items()}
+        level = 0
+        while front := [c for c, after in needs.items() if (chat_id, c) not in want and all((chat_id, n) in want for n in after)]:
+            want |= {(chat_id, c): level for c in front}
+            level += 1
+        want |= {(chat_id, c): None for c in needs if (chat_id, c) not in want}
+    rows = chat.levels(spark.createDataFrame(calls, "conv_id long, call_id string, after array<string>")).collect()
+    assert len(rows) == len(calls) and {(r["conv_id"], r["call_id"]): r["level"] for r in rows} == want
+
+
+def test_calls_without_a_chat(spark):
+    rows = linked(spark, [(None, 0, "assistant", '{"tool_calls":[{"id":"a","name":"f","arguments":{"b":"x"}}]}'),
+                          (None, 1, "tool", '{"tool_call_id":"a","content":1}')])
+    assert sorted((r["status"], r["level"] is None) for r in rows) == [("orphan", True), ("unanswered", False)]
+
+
 # --------------------------------------------------------------------------- 3
 
 def test_block_max_search_is_exact():
