@@ -1,13 +1,13 @@
 """Hidden Markov language model of word sequences.
 
-A token is a word (ASCII letters lower-cased) or the end of its text.  The
-``FREQUENT`` most frequent words, the end, and ``CLASSES`` classes of all other
-words (by a hash of their last three bytes) are the symbols that states emit;
-so what is trained and broadcast has a fixed size, whatever the vocabulary.  A
-word within its class has the probability (c + 1) / (C + V + 1), from the
-counts c of the word, C of the class and its V distinct words in the training
-texts; the + 1 leaves room for unseen words.  Every count comes from all
-training texts.
+A token is a word (ASCII letters lower-cased) or the end of its text.  Every
+word seen ``LEAST_COUNT`` times, the end, and ``CLASSES`` classes of the words
+seen less or never (by a hash of their last three bytes) are the symbols that
+states emit; their number follows the vocabulary, and so does what is trained
+and broadcast: a number per state and symbol.  A word within its class has the
+probability (c + 1) / (C + V + 1), from the counts c of the word, C of the class
+and its V distinct words in the training texts; the + 1 leaves room for unseen
+words.  Every count comes from all training texts.
 
 Training is Baum-Welch: each task runs the scaled forward and backward
 recursions over its texts and adds up expected counts per symbol and state; one
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.session import materialized
 
-FREQUENT, CLASSES, STATES, ROUNDS = 60_000, 1024, 8, 6
+CLASSES, STATES, ROUNDS = 1024, 8, 6
 #: Weight of the prior in emissions (tokens per state) and transitions.
 PRIOR, SEED = 2000.0, 5
 #: Rarer words are always in classes, so that classes have the weight of words seen once or never.
@@ -89,23 +89,13 @@ class Symbols:
 
 
 def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
-    """All words whose count is at least a limit, chosen so that FREQUENT words at most are left."""
-    step = F.floor(F.log2("c") * 16)
-    words = counts.where((F.length("word") > 0) & (F.col("c") >= LEAST_COUNT))
-    sizes = sorted(((r["step"], r["count"]) for r in words.groupBy(step.alias("step")).count().collect()), reverse=True)   # a few hundred rows
-    have, least = 0, None
-    for s, n in sizes:
-        if have + n > FREQUENT:
-            break
-        have, least = have + n, s
-    if least is None:
-        return []
-    table = words.where(step >= least).select("word", "c").toArrow()
+    """All words seen LEAST_COUNT times or more, the most frequent first."""
+    table = counts.where((F.length("word") > 0) & (F.col("c") >= LEAST_COUNT)).select("word", "c").toArrow()
     return sorted(zip(map(bytes, table.column("word").to_pylist()), table.column("c").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
 
 
 def encoded(rows: DataFrame, symbols: Symbols) -> DataFrame:
-    """(id, train, n_tokens, n_frequent, base, symbols, rare): a text as 16-bit symbols, and its words within classes."""
+    """(id, train, n_tokens, n_frequent, base, symbols, rare): a text as 32-bit symbols, and its words within classes."""
     kind = rows.schema["id"].dataType.simpleString()
     shared = rows.sparkSession.sparkContext.broadcast((symbols.number, symbols.base(symbols.counts), symbols.counts > 0))
     rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
@@ -129,7 +119,7 @@ def encoded(rows: DataFrame, symbols: Symbols) -> DataFrame:
                     words += rare.keys()
                     times += rare.values()
                 edges.append(len(words))
-                codes.append(a.astype(np.uint16).tobytes())
+                codes.append(a.astype(np.uint32).tobytes())
             structs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("train"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(basis, pa.float64()),
@@ -194,12 +184,28 @@ def chunks(codes: list[bytes]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     part, size = [], 0
     for i in order.tolist():
         part.append(i)
-        size += len(codes[i]) // 2
+        size += len(codes[i]) // 4
         if size >= TOKENS:
-            yield np.array(part), [np.frombuffer(codes[j], dtype=np.uint16) for j in part]
+            yield np.array(part), [np.frombuffer(codes[j], dtype=np.uint32) for j in part]
             part, size = [], 0
     if part:
-        yield np.array(part), [np.frombuffer(codes[j], dtype=np.uint16) for j in part]
+        yield np.array(part), [np.frombuffer(codes[j], dtype=np.uint32) for j in part]
+
+
+class Compact:
+    """Numbers the symbols of some texts anew, so that tables over them follow the texts and not the vocabulary."""
+
+    def __init__(self, n: int):
+        self.seen, self.number = np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
+
+    def __call__(self, texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The symbols that occur, and the texts as places among them."""
+        flat = np.concatenate(texts)
+        self.seen[flat] = True
+        used = np.flatnonzero(self.seen)
+        self.seen[used] = False
+        self.number[used] = np.arange(len(used))
+        return used, np.split(self.number[flat], np.cumsum([len(t) for t in texts])[:-1])
 
 
 def train(texts: DataFrame, symbols: Symbols, states: int = STATES, rounds: int = ROUNDS):
@@ -221,12 +227,14 @@ def train(texts: DataFrame, symbols: Symbols, states: int = STATES, rounds: int
         def run(batches):
             start, move, emit = shared.value
             first, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((symbols_n, states))
+            compact = Compact(symbols_n)
             for batch in batches:
                 for _, part in chunks(batch.column(0).to_pylist()):
-                    f, m, c, _ = expected(part, start, move, emit)
+                    used, part = compact(part)
+                    f, m, c, _ = expected(part, start, move, emit[used])
                     first += f
                     moves += m
-                    counts += c
+                    counts[used] += c
             at = np.flatnonzero(counts.any(axis=1))
             key = np.concatenate([at, -1 - np.arange(states), [-1000]])
             values = np.vstack([counts[at], moves, first])

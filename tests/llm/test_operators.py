@@ -207,6 +207,17 @@ def test_language_model(spark, sf, nothing):
     assert hmm.language_model(nothing, F.lit(True), rounds=1).count() == 0
 
 
+def test_every_repeated_word_has_a_symbol(spark):
+    n = 70_000
+    counts = spark.range(n).select(F.concat(F.lit("w"), F.col("id").cast("string")).cast("binary").alias("word"), F.lit(3).cast("bigint").alias("c"))
+    words = hmm.frequent_words(counts)
+    assert len(words) == n
+    symbols = hmm.Symbols(words, 1, 3 * n + 1, n + 1)
+    text = " ".join(w.decode() for w, _ in words)
+    row = hmm.encoded(spark.createDataFrame([(1, True, text)], "id long, train boolean, text string"), symbols).first()
+    assert np.frombuffer(row["symbols"], np.uint32).tolist() == [*range(1, n + 1), 0] and row["rare"] == []
+
+
 # --------------------------------------------------------------------------- 6
 
 def test_fixity(spark):
