@@ -11,8 +11,8 @@ arrive at the start are the N best.
 No edge crosses from another character to a blank, so a text falls into words
 that are searched one by one, each distinct word once.  The N best of the text
 differ from the best in the N - 1 words at most whose second best is nearest;
-these words' lists are merged, again best first.  Any text, of any length, takes
-time linear in its length.
+these words' lists are merged, again best first.  Partial segmentations are chains
+of links, so a word of any length, like any text, takes space linear in its length.
 
 For models whose scores are merge ranks (BPE) the lattice is scored with these
 ranks; that is a segmentation of its own, not the greedy merge order.
@@ -75,6 +75,31 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(pieces, bytes_, least - 10, surface, spec.add_dummy_prefix)
 
 
+class _Link:
+    """The ids of an edge and the links of all edges behind it; ordered as the ids from here on."""
+
+    __slots__ = ("own", "behind")
+
+    def __init__(self, own: tuple[int, ...], behind: _Link | None):
+        self.own, self.behind = own, behind
+
+    def ids(self) -> Iterator[int]:
+        link = self
+        while link is not None:
+            yield from link.own
+            link = link.behind
+
+    def __lt__(self, other: _Link) -> bool:
+        a, b = self, other
+        while a is not None and b is not None and a is not b:
+            if a.own != b.own:
+                if len(a.own) != len(b.own):
+                    return tuple(a.ids()) < tuple(b.ids())
+                return a.own < b.own
+            a, b = a.behind, b.behind
+        return a is None and b is not None
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, n: int):
         self.v, self.n = vocabulary, n
@@ -158,15 +183,16 @@ class Encoder:
         got = self.lists.get(word)
         if got is None:
             alpha, ends = self.lattice(word)
-            heap = [(-alpha[-1], len(word), (), 0.0)]
+            # An entry is a link: the ids of its edge and the entry behind it.  Ids are put together on arrival only.
+            heap = [(-alpha[-1], len(word), _Link((), None), 0.0)]
             got = []
             while heap and len(got) < self.n:
-                _, at, ids, behind = heapq.heappop(heap)
+                _, at, link, behind = heapq.heappop(heap)
                 if at == 0:
-                    got.append((behind, np.array(ids, dtype=np.int32).tobytes()))
+                    got.append((behind, array("i", link.ids()).tobytes()))
                     continue
                 for i, own, s in ends[at]:
-                    heapq.heappush(heap, (-(alpha[i] + s + behind), i, own + ids, s + behind))
+                    heapq.heappush(heap, (-(alpha[i] + s + behind), i, _Link(own, link), s + behind))
             if len(self.lists) >= KNOWN_WORDS // 8:
                 self.lists.clear()
             self.lists[word] = got

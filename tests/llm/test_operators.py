@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -66,6 +67,19 @@ def test_pieces_on_odd_rows(spark, odd, nothing, vocabulary):
     assert pieces.encode(nothing, "text", vocabulary, 2).count() == 0
 
 
+def test_n_best_of_a_long_word_takes_linear_memory(vocabulary):
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8_000))
+    encoder = pieces.Encoder(vocabulary, 4)
+    tracemalloc.start()
+    got = encoder.encode(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    assert len({ids for _, ids in got}) == 4 and sorted((s for s, _ in got), reverse=True) == [s for s, _ in got]
+    assert all(pieces.decode_ids(np.frombuffer(ids, np.int32).tolist(), vocabulary) == text for _, ids in got)
+
+
 # --------------------------------------------------------------------------- 2
 
 SCHEMA = [("f", "b", "string", True), ("f", "z", "integer", False)]
