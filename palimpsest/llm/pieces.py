@@ -220,7 +220,7 @@ class Encoder:
         while heap and len(out) < self.n:
             lost, pick = heapq.heappop(heap)
             for i, c, k in zip(near, choices, pick, strict=True):
-                parts[i] = c[k][1] if k else rows[i][0]
+                parts[i] = c[k][1]
             out.append((total - lost, b"".join(parts)))
             for d in range(len(pick)):
                 more = pick[:d] + (pick[d] + 1,) + pick[d + 1:]
