@@ -3,9 +3,10 @@
 Learning.  Of labelled training texts the terms that tell the labels apart are
 kept (chi-squared of at least ``LEAST_CHI`` and ``LEAST_LIFT`` times as frequent
 with one label; the ``TERMS`` strongest at most).  Inverse document frequencies
-count all documents.  Examples are a sample of at most ``EXAMPLES`` training
-texts per label that hold such terms, drawn by a hash of the text; the index is
-therefore bounded and broadcast.
+count all documents.  Examples are a sample of at most ``EXAMPLES`` distinct
+vectors per label over such terms, drawn by a hash of the vector and weighted
+with the training texts that have it; the index is therefore bounded and
+broadcast, and copies take no places of their own.
 
 Scoring.  Texts and examples are TF-IDF vectors over those terms, and the
 ``NEIGHBOURS`` examples of the largest cosine are found exactly: posting lists
@@ -13,7 +14,8 @@ are cut into blocks of ``BLOCK`` examples, each with the largest weight of every
 term; blocks are visited in the order of their upper bounds until no bound can
 reach the last neighbour.  Neighbours vote with their similarity (and with how
 many training texts each stands for).  Votes become scores by a monotone table
-that says how often examples, left out in turn, with such a vote were toxic.
+that says how often examples, left out in turn with all their copies, with such
+a vote were toxic.
 
 Only the text is an input of a score.  Null and empty texts, and texts without
 any of the terms, get the score of such training texts.  Equal similarities are
@@ -215,24 +217,24 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "doc_
         for batch in batches:
             at, counts = [], []
             for text in batch.column("text"):
-                c = Counter(t for t in terms(text.as_py()) if t in place)
-                at.append([place[t] for t in c]), counts.append(list(c.values()))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("h"), pa.array(at, pa.list_(pa.int64())),
-                                              pa.array(counts, pa.list_(pa.int64()))], names=["label", "h", "at", "counts"])
+                c = sorted(Counter(place[t] for t in terms(text.as_py()) if t in place).items())
+                at.append([t for t, _ in c]), counts.append([k for _, k in c])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(at, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))],
+                                             names=["label", "at", "counts"])
 
-    vectors = materialized(texts.select(F.col("label"), F.xxhash64("text").alias("h"), "text").mapInArrow(
-        run, "label int, h bigint, at array<bigint>, counts array<bigint>"))
+    vectors = texts.select((F.col("label") > 0).cast("int").alias("label"), "text").mapInArrow(run, "label int, at array<bigint>, counts array<bigint>")
+    vectors = materialized(vectors.groupBy("label", "at", "counts").agg(F.count(F.lit(1)).alias("copies")))
     with_terms = vectors.where(F.size("at") > 0)
-    empty = {r["label"]: r["count"] for r in vectors.where(F.size("at") == 0).groupBy((F.col("label") > 0).cast("int").alias("label")).count().collect()}
+    empty = {r["label"]: r["copies"] for r in vectors.where(F.size("at") == 0).collect()}      # a row per label
     nothing = empty.get(1, 0) / max(1, empty.get(0, 0) + empty.get(1, 0))
     out, marks, stands = [], [], []
     for label in (0, 1):
-        own = with_terms.where((F.col("label") > 0).cast("int") == label)
-        picked = own.orderBy("h", "at", "counts").limit(EXAMPLES).collect()           # the documented bound
-        held = n.get(label, 0) - empty.get(label, 0)
+        own = with_terms.where(F.col("label") == label)
+        picked = own.orderBy(F.xxhash64("at", "counts"), "at", "counts").limit(EXAMPLES).collect()           # the documented bound
+        held, drawn = n.get(label, 0) - empty.get(label, 0), sum(r["copies"] for r in picked)
         for r in picked:
             v = weigh(np.array(r["at"], dtype=np.int64), np.array(r["counts"], dtype=np.float64), idf)
-            out.append(v), marks.append(label), stands.append(held / len(picked))
+            out.append(v), marks.append(label), stands.append(r["copies"] * held / drawn)
     return build(out, marks, stands, vocabulary, idf, nothing)
 
 

@@ -177,6 +177,20 @@ def test_toxicity_learns_and_survives(spark, odd, nothing):
     assert toxicity.accepted_rows(odd, index, 0.7).columns == odd.columns
 
 
+def test_copies_take_one_place_among_the_examples(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "EXAMPLES", 20)
+    bad, good = [f"bad{chr(97 + k)}" for k in range(8)], [f"good{chr(97 + k)}" for k in range(8)]
+    texts = [(1, f"{bad[k % 8]} {bad[(k + 1 + k // 8 % 7) % 8]}") for k in range(120)] + [(0, f"{good[k % 8]} {good[(k + 1 + k // 8 % 7) % 8]}") for k in range(2_400)]
+    texts += [(1, bad[k % 8]) for k in range(8 * 300)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, toxic) for i, (toxic, _) in enumerate(texts)], "doc_id long, quality int, toxic int")
+    index = toxicity.learn(docs, labels, F.lit(True))
+    toxic = np.flatnonzero(index.labels == 1)
+    held = {tuple(sorted((t, w[ids == i].item()) for t, (ids, w, _) in enumerate(index.postings) if i in ids)) for i in toxic}
+    assert len(toxic) == len(held) == 20                          # distinct vectors, not copies
+    assert index.weights[toxic].sum() == pytest.approx(120 + 8 * 300) and len(set(index.weights[toxic].round(6))) > 1
+
+
 # --------------------------------------------------------------------------- 4
 
 @pytest.mark.parametrize("bits", [64, 1])
