@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.llm import chat, exact_dedup, fixity, hmm, minhash, mixing, pieces, placement, toxicity, vectors
+from palimpsest.llm import (
+    centroids, chat, exact_dedup, fim, fixity, hmm, minhash, mixing, pieces, placement, simhash, toxicity, vectors)
 from palimpsest.llm.common import remainder, table
 
 QUERIES: dict = {}
@@ -286,3 +287,65 @@ def op10_sql() -> str:
 @query(op10_sql())
 def op10_permutation_table_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return placement.place(table(spark, sf, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
+# --------------------------------------------------------------------------- 11 fingerprints
+
+@query()
+def op11_covering_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "fingerprint", "component_id")
+
+
+# --------------------------------------------------------------------------- 12 clustering
+
+def _cluster_sql() -> str:
+    """All distances in every round; whole numbers below 2 ** 53, so doubles are exact."""
+    inner = "list_inner_product"
+    steps = [f"""
+v AS (SELECT vec_id, list_transform(embedding, lambda x: floor({centroids.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('{centroids.SEED}:' || vec_id) AS h, v FROM v ORDER BY h LIMIT {centroids.K}))"""]
+    for i in range(centroids.ROUNDS + 1):
+        steps.append(f"""a{i} AS (SELECT vec_id, v.v AS v, min((CAST({inner}(v.v, v.v) - 2 * {inner}(v.v, k.v) + {inner}(k.v, k.v) AS BIGINT), k.c)) AS b
+  FROM v, c{i} k GROUP BY ALL)""")
+        if i < centroids.ROUNDS:
+            steps.append(f"""s{i} AS (SELECT c, i, floor(sum(x) / count(*)) AS x FROM (SELECT b[2] AS c, unnest(range(1, {centroids.DIMS} + 1)) AS i, unnest(v) AS x FROM a{i}) GROUP BY c, i),
+c{i + 1} AS (SELECT k.c, coalesce(m.v, k.v) AS v FROM c{i} k LEFT JOIN (SELECT c, list(x ORDER BY i) AS v FROM s{i} GROUP BY c) m ON m.c = k.c)""")
+    last = centroids.ROUNDS
+    return f"""WITH {', '.join(steps)}
+SELECT vec_id, CAST(b[2] AS INTEGER) AS cluster, b[1] AS distance, CAST(sum(b[1]) OVER (PARTITION BY b[2]) AS BIGINT) AS cluster_inertia,
+  CAST(sum(b[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(k.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} k ON k.c = b[2]
+"""
+
+
+@query(_cluster_sql())
+def op12_geometric_bounds_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                        centroids.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+# --------------------------------------------------------------------------- 13 fill-in-middle
+
+@query(rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{fim.SEED}:' || doc_id) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '{_SPACES[:-1]}*{_WORDS}|{_SPACES}') AS u,
+  [CAST('0x' || substr(h, 1 + 8 * CAST(i AS INTEGER), 8) AS BIGINT) FOR i IN range(4)] AS k FROM t),
+f AS (SELECT *, len(u) AS n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR k[3] % 100 >= {fim.RATE} THEN 'plain'
+  WHEN k[4] % 100 < {fim.SPM_SHARE} THEN 'spm' ELSE 'psm' END AS form FROM u),
+g AS (SELECT *, least(k[1] % (n + 1), k[2] % (n + 1)) AS a, greatest(k[1] % (n + 1), k[2] % (n + 1)) AS b FROM f),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid, coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM g)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+""")
+def op13_counted_quantifier_infill(spark: SparkSession, sf: str) -> DataFrame:
+    cut = fim.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return cut.select("doc_id", "n", "form", F.length("prefix").cast("bigint").alias("prefix_chars"),
+                      F.length("middle").cast("bigint").alias("middle_chars"), digest(F.col("output")).alias("output_sha256"),
+                      digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
