@@ -64,3 +64,11 @@ def json_quote(text: Column) -> Column:
         return q
     escaped = let(quoted, lambda q: F.when(q.rlike(r"[\x00-\x1f]"), others(q)).otherwise(q))
     return F.concat(F.lit('"'), escaped, F.lit('"'))
+
+
+def fresh(df, name: str) -> str:
+    """The name, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

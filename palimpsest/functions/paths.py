@@ -9,12 +9,12 @@ from palimpsest.functions.redact import redacted, redacted_with_hits
 from palimpsest.policy import Policy
 
 
-def _clean(component: Column) -> Column:
+def clean_component(component: Column) -> Column:
     return F.translate(component, "/\\", "__")
 
 
 def redacted_path(path: Column, policy: Policy) -> Column:
-    return F.array_join(F.transform(F.split(path, "/"), lambda c: _clean(redacted(c, policy))), "/")
+    return F.array_join(F.transform(F.split(path, "/"), lambda c: clean_component(redacted(c, policy))), "/")
 
 
 def redacted_path_with_hits(path: Column, policy: Policy) -> Column:
@@ -22,7 +22,7 @@ def redacted_path_with_hits(path: Column, policy: Policy) -> Column:
     from palimpsest.functions.expr import let
     parts = F.transform(F.split(path, "/"), lambda c: redacted_with_hits(c, policy))
     return let(parts, lambda p: F.struct(
-        F.array_join(F.transform(p, lambda x: _clean(x["text"])), "/").alias("text"),
+        F.array_join(F.transform(p, lambda x: clean_component(x["text"])), "/").alias("text"),
         F.flatten(F.transform(p, lambda x: x["hits"])).alias("hits")))
 
 

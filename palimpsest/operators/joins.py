@@ -10,6 +10,8 @@ from palimpsest.session import checkpointed
 
 #: Most frequent keys that are looked up without a shuffle; bounds the broadcast.
 HOT_KEYS = 1000
+#: Words of 64 bits of a row filter: at most so many rows (8 MB) are broadcast, whatever the input.
+FILTER_WORDS = 1 << 18
 #: Broadcast limit for tables whose size is counted first.
 SMALL_ROWS = 10_000
 
@@ -33,6 +35,18 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, values: list[str]) -> Da
                          *[F.coalesce(F.col("_hot")[v], F.col("_cold")[v]).alias(v) for v in values])
 
 
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows whose 64-bit ``key`` may be among those of ``wanted``: a bit table of fixed size, so the rest need not be shuffled.
+
+    What slips through costs time only; the caller joins in full.
+    """
+    place = f"pmod({key}, {FILTER_WORDS * 64}L)"
+    word, bit = F.expr(f"shiftright({place}, 6)"), f"cast({place} % 64 as int)"
+    table = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_bits"))
+    return (rows.withColumn("_word", word).join(F.broadcast(table), "_word")
+            .where(F.expr(f"shiftrightunsigned(_bits, {bit}) & 1 = 1")).drop("_word", "_bits"))
+
+
 def ranked(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
     """``row_number`` within groups of any size, without one task per group.
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions.expr import let
+from palimpsest.functions.expr import fresh, let
 from palimpsest.functions.fields import field_placeholder, is_sensitive_key, normalize_key
 from palimpsest.functions.json_text import canonical_json, is_json, join_tokens, json_leaf_rows, json_tokens, key_before
 from palimpsest.functions.redact import HITS_TYPE, redacted, redacted_with_hits
 from palimpsest.functions.rules import active_rules, redaction_rules
 from palimpsest.operators.joins import lookup
+from palimpsest.operators.term_index import TermIndex, redact_strings
 from palimpsest.policy import Policy
 
 
@@ -70,14 +71,19 @@ _HELPERS = ["_strict", "_tokens", "_secret_keys", "_again", "_parsed", "_active"
 
 
 def redact_json(df: DataFrame, col: str, policy: Policy, out: str | None = None,
-                hits: str | None = None) -> DataFrame:
+                hits: str | None = None, terms: TermIndex | None = None) -> DataFrame:
     """Redact every string and key of JSON text; other text is redacted as it is.
 
     Row-local.  Key order and the way numbers are written stay; repeated or
     newly equal keys keep the last value.  ``hits`` collects what was found,
-    sensitive fields included.
+    sensitive fields included.  ``terms`` takes the place of the rule for
+    private terms, for lists of any length.
     """
     out = out or col
+    if terms is not None:
+        hidden = hits or fresh(df, "_hits")
+        df = _json_with_terms(df, col, policy, out, hidden, terms)
+        return df if hits else df.drop(hidden)
     rules = redaction_rules(policy)
     df = _prepared(df, col, policy)
     tok = F.col("_tokens")
@@ -111,12 +117,7 @@ def redact_json(df: DataFrame, col: str, policy: Policy, out: str | None = None,
         rest = F.when(malformed, redacted(F.col(col), policy, rules, F.col("_active"))).otherwise(F.col(col))
         return df.withColumn(out, F.coalesce("_fixed", "_text", rest)).drop(*_HELPERS)
     df = df.withColumn("_rest", F.when(malformed, redacted_with_hits(F.col(col), policy, rules, F.col("_active"))))
-    # Hits on sensitive fields come from the keys, whatever their value is.
-    fields = let(bound, lambda b: F.transform(
-        F.filter(F.zip_with(b["t"]["strings"], b["t"]["keys"], lambda s, k: F.when(
-            k & F.array_contains(b["k"], s), s)), lambda s: s.isNotNull()),
-        lambda s: F.struct(F.concat(F.lit("sensitive_field_"), normalize_key(s)).alias("category"),
-                           F.lit(1).cast("bigint").alias("n"), F.array().cast("array<string>").alias("values"))))
+    fields = _field_hits(bound)
     found = F.when(tok.isNotNull(), F.concat(
         F.when(F.size("_secret_keys") > 0, fields).otherwise(nothing),
         F.flatten(F.transform("_new", lambda x: x["hits"])))).otherwise(F.coalesce(F.col("_rest.hits"), nothing))
@@ -125,6 +126,38 @@ def redact_json(df: DataFrame, col: str, policy: Policy, out: str | None = None,
             .drop("_rest", *_HELPERS))
 
 
+def _field_hits(bound: Column) -> Column:
+    """Hits on sensitive fields come from the keys, whatever their value is."""
+    return let(bound, lambda b: F.transform(
+        F.filter(F.zip_with(b["t"]["strings"], b["t"]["keys"], lambda s, k: F.when(
+            k & F.array_contains(b["k"], s), s)), lambda s: s.isNotNull()),
+        lambda s: F.struct(F.concat(F.lit("sensitive_field_"), normalize_key(s)).alias("category"),
+                           F.lit(1).cast("bigint").alias("n"), F.array().cast("array<string>").alias("values"))))
+
+
+def _json_with_terms(df: DataFrame, col: str, policy: Policy, out: str, hits: str, terms: TermIndex) -> DataFrame:
+    """All strings of a record go through the rules and the term index together; values of sensitive keys do not."""
+    df = _prepared(df, col, policy)
+    tok, nothing = F.col("_tokens"), F.array().cast(HITS_TYPE)
+    bound = F.struct(tok.alias("t"), F.col("_secret_keys").alias("k"))
+    open_ = let(bound, lambda b: F.zip_with(b["t"]["strings"], key_before(b["t"]), lambda s, key: F.when(
+        ~(key.isNotNull() & F.array_contains(b["k"], key)), s)))
+    texts = F.when(tok.isNotNull(), open_).when(~is_blank(F.col(col)), F.array(col))
+    df = redact_strings(df, texts, "_new", terms)
+    # A string that was left out is the value of a sensitive key.
+    both = F.struct(tok.alias("t"), F.transform("_new", lambda x: x["text"]).alias("n"))
+    shown = let(both, lambda b: F.zip_with(b["n"], key_before(b["t"]), lambda s, key: F.coalesce(s, field_placeholder(key))))
+    df = df.withColumn("_active", F.when(tok.isNotNull(), shown))
+    df = df.withColumn("_text", F.when(tok.isNotNull(), join_tokens(tok["gaps"], F.col("_active"))))
+    df = df.withColumn("_again", F.when(_keys_changed(tok, F.col("_active")), F.col("_text")))
+    df = df.withColumn("_fixed", canonical_json()("_again", F.lit(None).cast("array<string>")))
+    inside = F.concat(F.when(F.size("_secret_keys") > 0, _field_hits(bound)).otherwise(nothing),
+                      F.flatten(F.transform("_new", lambda x: F.coalesce(x["hits"], nothing))))
+    found = F.when(tok.isNotNull(), inside).otherwise(F.coalesce(F.col("_new")[0]["hits"], nothing))
+    plain = F.when(tok.isNull() & F.col("_new").isNotNull(), F.col("_new")[0]["text"])
+    return df.withColumn(hits, found).withColumn(out, F.coalesce("_fixed", "_text", plain, F.col(col))).drop(*_HELPERS)
+
+
 def _keys_changed(tokens: Column, texts: Column) -> Column:
     """Some key is not what it was."""
     def keys(strings):

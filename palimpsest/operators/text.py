@@ -5,28 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.functions.paths import redacted_path
-from palimpsest.functions.redact import raw_hits, redacted, redacted_with_hits
+from palimpsest.functions.expr import fresh
+from palimpsest.functions.paths import clean_component, redacted_path, redacted_path_with_hits
+from palimpsest.functions.redact import HITS_TYPE, raw_hits, redacted, redacted_with_hits
 from palimpsest.functions.rules import redaction_rules
+from palimpsest.operators.term_index import TermIndex, redact_strings
 from palimpsest.policy import Policy
 
 
 def redact_text(df: DataFrame, col: str, policy: Policy, out: str | None = None,
-                hits: str | None = None) -> DataFrame:
+                hits: str | None = None, terms: TermIndex | None = None) -> DataFrame:
     """Rewrite a text column; ``hits`` names a column for what was found.
 
     Row-local: works on streams as well.  Placeholders carry no corpus
-    ordinal yet, see ``operators.pseudonyms``.
+    ordinal yet, see ``operators.pseudonyms``.  ``terms`` takes the place of
+    the rule for private terms, for lists of any length.
     """
     out = out or col
+    if terms is not None:
+        return _with_terms(df, col, out, hits, terms)
     if hits is None:
         return df.withColumn(out, redacted(F.col(col), policy))
-    return (df.withColumn("_found", redacted_with_hits(F.col(col), policy))
-            .withColumn(out, F.col("_found.text")).withColumn(hits, F.col("_found.hits")).drop("_found"))
-
-
-def redact_path(df: DataFrame, col: str, policy: Policy, out: str | None = None) -> DataFrame:
-    return df.withColumn(out or col, redacted_path(F.col(col), policy))
+    found = fresh(df, "_found")
+    return (df.withColumn(found, redacted_with_hits(F.col(col), policy))
+            .withColumn(out, F.col(f"{found}.text")).withColumn(hits, F.col(f"{found}.hits")).drop(found))
+
+
+def _with_terms(df: DataFrame, col: str, out: str, hits: str | None, index: TermIndex) -> DataFrame:
+    found = fresh(df, "_found")
+    df = redact_strings(df, F.when(F.col(col).isNotNull(), F.array(col)), found, index)
+    first = F.col(found)[0]
+    if hits is not None:
+        df = df.withColumn(hits, F.coalesce(first["hits"], F.array().cast(HITS_TYPE)))
+    return df.withColumn(out, first["text"]).drop(found)
+
+
+def redact_path(df: DataFrame, col: str, policy: Policy, out: str | None = None, hits: str | None = None,
+                terms: TermIndex | None = None) -> DataFrame:
+    """Every component is redacted as a text of its own."""
+    if terms is None and hits is None:
+        return df.withColumn(out or col, redacted_path(F.col(col), policy))
+    found = fresh(df, "_found")
+    if terms is None:
+        df = df.withColumn(found, redacted_path_with_hits(F.col(col), policy))
+    else:
+        df = redact_strings(df, F.split(col, "/"), found, terms)
+        df = df.withColumn(found, F.when(F.col(found).isNotNull(), F.struct(
+            F.array_join(F.transform(found, lambda x: clean_component(x["text"])), "/").alias("text"),
+            F.flatten(F.transform(found, lambda x: x["hits"])).alias("hits"))))
+    if hits is not None:
+        df = df.withColumn(hits, F.col(f"{found}.hits"))
+    return df.withColumn(out or col, F.col(f"{found}.text")).drop(found)
 
 
 def detect(df: DataFrame, ids: list[str], col: str, policy: Policy) -> DataFrame:

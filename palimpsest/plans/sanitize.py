@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest import catalog
-from palimpsest.functions.paths import path_order, redacted_path_with_hits
+from palimpsest.functions.paths import path_order
 from palimpsest.operators import pseudonyms, secrets, spans, stats, tables
 from palimpsest.operators.json_records import redact_json, split_malformed
+from palimpsest.operators.term_index import TermIndex, term_index
+from palimpsest.operators.terms import derive_terms
+from palimpsest.operators.text import redact_path
 from palimpsest.policy import Policy
 from palimpsest.session import materialized
 
@@ -43,22 +46,23 @@ def table_records(exported: dict[str, DataFrame], policy: Policy) -> DataFrame |
 
 
 def sanitize(records: DataFrame, policy: Policy, exported: dict[str, DataFrame] | None = None,
-             model_spans: DataFrame | None = None, secret_findings: list[DataFrame] | None = None) -> Sanitized:
+             model_spans: DataFrame | None = None, secret_findings: list[DataFrame] | None = None,
+             hints: DataFrame | None = None, terms: DataFrame | None = None) -> Sanitized:
     """Redact records and tables, number the placeholders, apply findings, count.
 
     The expressions run once: their result is written as a table that the
-    dictionary, the counts and the numbering all read.
+    dictionary, the counts and the numbering all read.  Private terms are those
+    of the policy and of ``terms(term)``; unless ``policy.auto_discover`` is off, also those found
+    in ``hints(kind, value)`` and in the folder names of the sessions.
     """
     spark = records.sparkSession
+    policy, index = private_terms(records, policy, hints, terms)
     from_tables = table_records(exported or {}, policy)
     everything = records.select(*RECORD, "raw")
     if from_tables is not None:
         everything = everything.unionByName(from_tables)
-    local = materialized(redact_json(split_malformed(everything), "raw", policy, hits="hits"))
-    files = materialized(
-        local.select("source", "rel_path").distinct()
-        .withColumn("_p", redacted_path_with_hits(F.col("rel_path"), policy))
-        .select("source", "rel_path", F.col("_p.text").alias("new_path"), F.col("_p.hits").alias("hits")))
+    local = materialized(redact_json(split_malformed(everything), "raw", policy, hits="hits", terms=index))
+    files = materialized(redact_path(local.select("source", "rel_path").distinct(), "rel_path", policy, "new_path", "hits", index))
 
     dictionary, numbered, paths = None, local.drop("hits"), files.drop("hits")
     if policy.ordinals:
@@ -83,7 +87,7 @@ def sanitize(records: DataFrame, policy: Policy, exported: dict[str, DataFrame]
     if model_spans is not None:
         result = spans.model_pass(result, RECORD, "raw", model_spans, policy).drop("strings_changed")
         result = materialized(result)
-    again, safety = safety_pass(result, policy)
+    again, safety = safety_pass(result, policy, index)
     rounds, status = [], "skipped"
     if secret_findings is not None:
         again, rounds, status = secrets.apply_secret_rounds(again, secret_findings)
@@ -97,13 +101,39 @@ def sanitize(records: DataFrame, policy: Policy, exported: dict[str, DataFrame]
                      stats.table_stats(table_rows, skipped), safety, rounds, status)
 
 
-def safety_pass(records: DataFrame, policy: Policy) -> tuple[DataFrame, DataFrame]:
+#: Discovered terms up to which the rule stays an alternation, which needs no Python; more go into an index.
+FEW_TERMS = 200
+#: The source whose top folders name projects.
+PATH_SOURCE = "pi_sessions"
+
+
+def private_terms(records: DataFrame, policy: Policy, hints: DataFrame | None = None,
+                  terms: DataFrame | None = None) -> tuple[Policy, TermIndex | None]:
+    """The policy with all private terms, or with an index of them where they are many."""
+    spark = records.sparkSession
+    given = spark.createDataFrame([(t,) for t in policy.private_terms] or [("",)], "term string").where("term <> ''")
+    if terms is not None:
+        given = given.unionByName(terms.select("term"))
+    if policy.auto_discover:
+        own = spark.createDataFrame([("user", policy.user), ("home", policy.home_name)], "kind string, value string")
+        paths = records.where(F.col("source") == PATH_SOURCE).select("rel_path")
+        given = derive_terms(paths, own if hints is None else hints.select("kind", "value").unionByName(own), given)
+    elif terms is None:
+        return policy, None
+    found = materialized(given.where(F.length("term") > 0).select("term").distinct())
+    few = found.limit(FEW_TERMS + 1).collect()
+    if len(few) > FEW_TERMS:
+        return policy, term_index(found, policy)
+    return policy.with_terms(sorted((r["term"] for r in few), key=lambda t: (-len(t), t.lower(), t))), None
+
+
+def safety_pass(records: DataFrame, policy: Policy, index: TermIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """Run the rules over their own output; ``(records, files scanned and changed)``.
 
     What the second pass writes is digest-only and rare; the counts of the
     first pass stay as they are.
     """
-    again = redact_json(records.withColumn("_before", F.col("raw")), "raw", policy)
+    again = redact_json(records.withColumn("_before", F.col("raw")), "raw", policy, terms=index)
     again = materialized(again)
     per_file = again.groupBy("source", "rel_path").agg(F.bool_or(F.col("raw") != F.col("_before")).alias("changed"))
     stats_row = per_file.agg(F.count(F.lit(1)).alias("files_scanned"), F.count(F.when(F.col("changed"), 1)).alias("files_changed"))

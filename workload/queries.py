@@ -11,7 +11,7 @@ from palimpsest.functions.fields import field_placeholder, is_sensitive_key, nor
 from palimpsest.functions.redact import digest, redacted_with_hits
 from palimpsest.functions.urls import url_allowed, url_host
 from palimpsest.operators import (
-    frames, json_records, pseudonyms, review, scan, secrets, spans, stats, tables, terms, text)
+    frames, json_records, pseudonyms, review, scan, secrets, spans, stats, tables, term_index, terms, text)
 from palimpsest.plans import sanitize as sanitize_plan
 from palimpsest.policy import Policy
 from palimpsest.session import materialized, spread
@@ -139,6 +139,37 @@ def safety_repass(spark, sf):
     return twice.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("again") != F.col("text"), 1)).alias("changed"))
 
 
+# A long list of terms: every long word of the benchmark items.
+_LONG_WORD = "[A-Za-z0-9_]{9,}"
+_TERM_LIST_SQL = (
+    f"WITH terms AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '{_LONG_WORD}'))) AS term FROM benchmark "
+    "UNION SELECT unnest(['canuser', 'canuserlab'])), "
+    "toks AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_]')) AS tok, "
+    "generate_subscripts(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_]'), 1) AS i FROM documents), "
+    "new AS (SELECT doc_id, string_agg(CASE WHEN term IS NULL THEN tok ELSE '[PRIVATE_TERM]' END, '' ORDER BY i) AS t, count(term) AS n "
+    "FROM toks LEFT JOIN terms ON term = lower(tok) GROUP BY doc_id) "
+    "SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END AS text, CAST(coalesce(n, 0) AS BIGINT) AS n_terms "
+    "FROM documents d LEFT JOIN new ON new.doc_id = d.doc_id")
+
+
+def _term_list(spark, sf):
+    return table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(_LONG_WORD), F.lit(0))).alias("term")).distinct()
+
+
+@query(_TERM_LIST_SQL)
+def index_term_list(spark, sf):
+    index = term_index.term_index(_term_list(spark, sf), POLICY)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = docs.withColumn("found", term_index.replace_terms(F.array("text"), index))
+    return found.select("doc_id", F.col("found")[0]["text"].alias("text"), F.col("found")[0]["n"].alias("n_terms"))
+
+
+@query(_TERM_LIST_SQL)
+def join_term_list(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return term_index.redact_terms_joined(docs, ["doc_id"], "text", _term_list(spark, sf), POLICY)
+
+
 # --------------------------------------------------------------------------- urls and paths
 
 @query(f"SELECT page_id, {host_sql('url')} AS host, {allowed_sql('url', DOMAINS)} AS allowed FROM pages")
