@@ -11,7 +11,7 @@ from palimpsest.functions.fields import field_placeholder, is_sensitive_key, nor
 from palimpsest.functions.redact import digest, redacted_with_hits
 from palimpsest.functions.urls import url_allowed, url_host
 from palimpsest.operators import (
-    frames, json_records, pseudonyms, review, scan, secrets, spans, stats, tables, term_index, terms, text)
+    frames, json_records, literals, pseudonyms, review, scan, secrets, spans, stats, tables, term_index, terms, text)
 from palimpsest.plans import sanitize as sanitize_plan
 from palimpsest.policy import Policy
 from palimpsest.session import materialized, spread
@@ -641,6 +641,18 @@ def findings_summary(spark, sf):
     return secrets.summary_by_rule(secrets.apply_secret_findings(_log(spark, sf), _secret_findings(spark, sf))[1])
 
 
+# Every long word of the benchmark items, looked for in every log.
+@query(f"WITH log AS ({_LOG_SQL}), w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{_LONG_WORD}')) AS literal FROM benchmark) "
+       "SELECT rel_path, literal, CAST(count(*) AS BIGINT) AS n FROM log JOIN w ON contains(raw, literal) GROUP BY ALL")
+def literal_join(spark, sf):
+    log = _log(spark, sf)
+    files = log.select("rel_path").distinct().crossJoin(_term_list(spark, sf).withColumnRenamed("term", "literal"))
+    wanted = files.select("rel_path", F.abs(F.xxhash64("rel_path", "literal")).alias("no"), "literal", F.lit("[X]").alias("placeholder"))
+    hits = literals.joined_hits(log, ["rel_path", "line_no"], literals.anchored(materialized(wanted)), F.array("raw"), "rel_path")
+    return (hits.select("rel_path", "line_no", F.explode("literals.literal").alias("literal")).distinct()
+            .groupBy("rel_path", "literal").agg(F.count(F.lit(1)).alias("n")))
+
+
 @query(f"WITH {_FINDINGS_SQL} SELECT CASE WHEN count(*) = 0 THEN 'clean' ELSE 'findings_or_error' END AS status, CAST(count(*) AS BIGINT) AS findings FROM scoped")
 def scan_status(spark, sf):
     return secrets.scan_status(secrets.scope_findings(_secret_findings(spark, sf), _log(spark, sf)))
