@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from palimpsest.operators.joins import is_small
+from palimpsest.session import checkpointed
 
 #: File splits (not rows) up to which line offsets are broadcast: 32 bytes each.
 SMALL_SPLITS = 1_000_000
@@ -25,19 +26,17 @@ def read_event_logs(spark: SparkSession, root: str, source: str = "logs") -> Dat
 
     Splits of a file are read by different tasks.  A line's number is its
     place in its split plus the lines of the file's earlier splits, so a huge
-    file needs no single task.
+    file needs no single task.  Lines are counted once, in a pass that decodes no text.
     """
     single = root.endswith(".jsonl")
     reader = spark.read if single else spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
-    lines = reader.text(root).select(
-        F.make_valid_utf8("value").alias("raw"),
-        _relative(root, single).alias("rel_path"),
-        F.xxhash64("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_place"))
-    splits = lines.groupBy("_file", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    text = reader.text(root)
+    split = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+             F.monotonically_increasing_id().alias("_place")]
+    lines = text.select(F.make_valid_utf8("value").alias("raw"), _relative(root, single).alias("rel_path"), *split)
+    splits = text.select(*split).groupBy("_file", "_block").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    offsets = checkpointed(splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
     if is_small(offsets, SMALL_SPLITS):
         offsets = F.broadcast(offsets)
     return lines.join(offsets, ["_file", "_block"]).select(

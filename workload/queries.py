@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from palimpsest import catalog
 from palimpsest.functions.expr import count_literal
 from palimpsest.functions.fields import field_placeholder, is_sensitive_key, normalize_key, redact_field
-from palimpsest.functions.redact import digest, redacted_with_hits
+from palimpsest.functions.redact import HITS_TYPE, digest, redacted_with_hits
 from palimpsest.functions.urls import url_allowed, url_host
 from palimpsest.operators import (
     frames, json_records, literals, pseudonyms, review, scan, secrets, spans, stats, tables, term_index, terms, text)
+from palimpsest.operators.joins import ranked
 from palimpsest.plans import sanitize as sanitize_plan
 from palimpsest.policy import Policy
-from palimpsest.session import materialized, spread
+from palimpsest.session import materialized, new_folder, spread
+from palimpsest.sources.logs import read_event_logs
+from palimpsest.sources.tree import write_tree
 from pyspark.sql import types as T
 from workload.canaries import CANARIES, canary_text
 from workload.re2 import allowed_sql, chain, host_sql, placeholder_sql, quote, re2, weave_sql
@@ -613,7 +616,6 @@ def _secret_findings(spark, sf):
     found = (log.select("rel_path", "line_no", F.explode(F.regexp_extract_all("raw", F.lit(_TOKEN), F.lit(1))).alias("secret"))
              .unionByName(mail.select(F.lit("gone.jsonl").alias("rel_path"), "line_no", F.concat(F.lit("x"), "rel_path").alias("secret")))
              .unionByName(mail.select("rel_path", "line_no", F.concat(F.lit("absent"), F.col("line_no").cast("string")).alias("secret"))))
-    from palimpsest.operators.joins import ranked
     numbered = ranked(found.withColumn("_all", F.lit(0)), ["_all"], ["line_no", "secret", "rel_path"], "finding_no")
     return numbered.select("finding_no", "rel_path", "line_no", F.when(F.startswith("secret", F.lit("absent")), "jwt-like").otherwise("generic.api-key").alias("rule"), "secret")
 
@@ -845,6 +847,46 @@ def scan_redacted(spark, sf):
     return scan.scan_summary(scan.scan(clean, POLICY), POLICY).drop("examples")
 
 
+# --------------------------------------------------------------------------- files
+
+_LINES_SQL = ("SELECT 'codex/sessions/' || source || '/' || lang || '.jsonl' AS rel_path, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS line_no, "
+              "regexp_replace(text, '[\\r\\n]', ' ', 'g') AS raw FROM documents")
+
+
+@query(_LINES_SQL)
+def tree_round_trip(spark, sf):
+    """Documents written as a tree of logs and read again."""
+    numbered = ranked(table(spark, sf, "documents"), ["source", "lang"], ["doc_id"], "line_no")
+    records = numbered.select(
+        F.lit("codex_sessions").alias("source"), F.concat("source", F.lit("/"), "lang", F.lit(".jsonl")).alias("rel_path"), "line_no",
+        F.regexp_replace("text", r"[\r\n]", " ").alias("raw"))
+    out = new_folder(spark, "tree")
+    write_tree(records, out)
+    return read_event_logs(spark, out).select("rel_path", "line_no", "raw")
+
+
+_ORDER_SQL = """
+WITH found AS (SELECT 1 AS t, c_custkey AS k, 0 AS i, 'm' || (c_custkey * 7 % 400) || '@mail.example' AS v FROM customer
+  UNION ALL SELECT 2, s_suppkey, 0, 'm' || s_suppkey || '@mail.example' FROM supplier),
+firsts AS (SELECT v, min((t, k, i)) AS first, count(*) AS n FROM found GROUP BY v)
+SELECT substr(sha256(v), 1, 10) AS digest, row_number() OVER (ORDER BY first) AS ordinal, CAST(n AS BIGINT) AS n FROM firsts"""
+
+
+@query(_ORDER_SQL)
+def table_ordinals(spark, sf):
+    """Numbers of mail addresses in tables, whose rows come in no order."""
+    names = [t for t in POLICY.allow_tables if t in ("session", "message")]
+    mails = {names[0]: table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.concat(F.lit("m"), (F.col("c_custkey") * 7 % 400).cast("string"), F.lit("@mail.example")).alias("title")),
+        names[1]: table(spark, sf, "supplier").select(
+            F.col("s_suppkey").alias("id"), F.concat(F.lit("m"), F.col("s_suppkey").cast("string"), F.lit("@mail.example")).alias("title"))}
+    records = sanitize_plan.table_records({n: t.repartition(5, F.xxhash64("id")) for n, t in mails.items()}, POLICY)
+    local = materialized(json_records.redact_json(records, "raw", POLICY, hits="hits"))
+    files = local.select("source", "rel_path").distinct().withColumn("hits", F.array().cast(HITS_TYPE))
+    dictionary = sanitize_plan.dictionary_of(local, files, POLICY)
+    return dictionary.where("category = 'email'").select("digest", "ordinal", "n")
+
+
 # --------------------------------------------------------------------------- jobs
 
 @query(f"WITH r AS ({_RECORDS_SQL}), n AS (SELECT count(*) AS n FROM events), "
