@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.expr import fresh, let
 from palimpsest.functions.fields import field_placeholder, is_sensitive_key, normalize_key
-from palimpsest.functions.json_text import canonical_json, is_json, join_tokens, json_leaf_rows, json_tokens, key_before
+from palimpsest.functions.json_text import canonical_json, is_json, join_tokens, json_leaf_array, json_tokens, key_before
 from palimpsest.functions.redact import HITS_TYPE, redacted, redacted_with_hits
 from palimpsest.functions.rules import active_rules, redaction_rules
 from palimpsest.operators.joins import lookup
@@ -173,8 +173,8 @@ def json_leaves(df: DataFrame, ids: list[str], col: str) -> DataFrame:
     Keys are visited, not listed.  ``leaf_no`` counts from 0 in text order;
     malformed text has no leaves.
     """
-    return (df.select(*ids, F.explode(json_leaf_rows()(F.col(col))).alias("leaf"))
-            .select(*ids, "leaf.leaf_no", "leaf.path", "leaf.key", "leaf.value"))
+    return (df.select(*ids, F.posexplode(json_leaf_array(F.col(col))).alias("leaf_no", "leaf"))
+            .select(*ids, "leaf_no", "leaf.path", "leaf.key", "leaf.value"))
 
 
 def apply_mapping(leaves: DataFrame, mapping: DataFrame, value: str = "value") -> DataFrame:

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import re
-import sys
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +14,6 @@ from palimpsest.functions.json_text import is_json, json_tokens
 from palimpsest.operators.json_records import map_json_strings
 from palimpsest.operators.literals import literal_hits
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 #: Characters that neighbouring pieces of a long line share.
 REVIEW_OVERLAP = 200
 
@@ -70,19 +65,38 @@ def review_windows(documents: DataFrame, ids: list[str], col: str, patterns: lis
                    max_chars: int = REVIEW_MAX_CHARS) -> DataFrame:
     """Window mode: ``(ids, chunk_no, chunk)`` around every candidate, overlaps kept.
 
-    Slicing by offset needs random access to the text, which SQL strings do
-    not offer, so the cutting is vectorised Python behind a native filter.
+    Where a match begins follows from the lengths of what lies before it.  A
+    window is cut from the two or three blocks of the text that it touches, so a
+    long text is not walked from its beginning for every match.
     """
-    union = "|".join(f"(?:{p})" for p in patterns)
+    union = java_regex("|".join(f"(?:{p})" for p in patterns))
     half = max_chars // 2
-
-    @F.pandas_udf("array<string>")
-    def windows(texts: pd.Series) -> pd.Series:
-        found = re.compile(union).finditer
-        return pd.Series([[t[max(0, m.start() - half):m.end() + half] for m in found(t)] for t in texts], dtype=object)
-
-    picked = documents.where(is_review_candidate(F.col(col), patterns))
-    return picked.select(*ids, F.posexplode(windows(F.col(col))).alias("chunk_no", "chunk"))
+    block = max(4 * max_chars, 1024)
+    text = F.col(col)
+    found = F.regexp_extract_all(text, F.lit(union), F.lit(0))
+    between = F.split(text, union, -1)
+    lengths = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda g, m: F.struct(
+        F.length(g).alias("gap"), F.length(m).alias("n")))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("at"))
+
+    def placed(acc, x):
+        begin = acc["end"] + x["gap"]
+        return F.struct((begin + x["n"]).alias("end"), F.concat(acc["at"], F.array(F.struct(
+            F.greatest(begin - half, F.lit(0)).alias("start"), (begin + x["n"] + half).alias("end")))).alias("at"))
+    # The text in pieces; a short one is a single piece.
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / block).cast("int")),
+                         lambda i: F.substring(text, i * block + 1, F.lit(block)))
+    both = F.struct(F.aggregate(lengths, start, placed)["at"].alias("at"), blocks.alias("b"))
+
+    def cut(v):
+        def window(w):
+            first, last = F.floor(w["start"] / block).cast("int"), F.floor((w["end"] - 1) / block).cast("int")
+            part = F.array_join(F.slice(v["b"], first + 1, last - first + 1), "")
+            return F.substring(part, w["start"] - first * block + 1, w["end"] - w["start"])
+        return F.transform(v["at"], window)
+
+    picked = documents.where(is_review_candidate(text, patterns))
+    return picked.select(*ids, F.posexplode(let(both, cut)).alias("chunk_no", "chunk"))
 
 
 def valid_findings(findings: DataFrame, chunks: DataFrame) -> DataFrame:

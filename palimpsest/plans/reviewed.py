@@ -13,12 +13,16 @@ def review(records: DataFrame, find, patterns: list[str] | None = None, max_char
            max_chunks: int = 0, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(records, summary)``.
 
-    ``find`` turns ``chunks(chunk_id, rel_path, line_no, chunk_no, chunk)`` into
+    Records of ``.jsonl`` files are lines and reviewed whole; any other record is the text of a
+    document and reviewed in windows around its candidates.  ``find`` turns ``chunks(chunk_id, rel_path, line_no, chunk_no, chunk)`` into
     ``findings(finding_no, chunk_id, rel_path, text, category)``: any
     DataFrame function, for instance a ``mapInPandas`` around a reader.
     """
     patterns = patterns or R.review_patterns()
-    chunks = R.review_chunks(records, patterns, max_chars=max_chars)
+    is_line = F.endswith("rel_path", F.lit(".jsonl"))
+    columns = ["rel_path", "line_no", "chunk_no", "chunk"]
+    chunks = R.review_chunks(records.where(is_line), patterns, max_chars=max_chars).select(*columns).unionByName(
+        R.review_windows(records.where(~is_line), ["rel_path", "line_no"], "raw", patterns, max_chars).select(*columns))
     chunks = R.limit_chunks(chunks, ["rel_path", "line_no", "chunk_no"], max_chunks)
     chunks = materialized(chunks.select(
         F.sha2(F.to_json(F.struct("rel_path", "line_no", "chunk_no")), 256).alias("chunk_id"), "rel_path", "line_no", "chunk_no", "chunk"))
