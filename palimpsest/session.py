@@ -11,17 +11,25 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate data that the driver and all executors see.
 
     That is ``spark.checkpoint.dir``; where it is unset, a folder in the
-    warehouse, which is shared as well.  Never a machine-local one.
+    warehouse.  On a cluster that must not be a machine-local one: executors
+    would write where nobody else reads, so it is refused.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+            if is_machine_local(folder) and not context.master.startswith("local"):
+                raise ValueError(f"{folder} is a machine-local folder; set spark.checkpoint.dir to one that all executors share")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir().rstrip("/")
 
 
+def is_machine_local(folder: str) -> bool:
+    """A path without a scheme, or below ``file:``."""
+    return folder.startswith("file:") or "://" not in folder
+
+
 def new_folder(spark: SparkSession, what: str) -> str:
     """The path of a new, empty place in the shared folder."""
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
