@@ -8,18 +8,19 @@ left, which is an exact heuristic for a search from the right: A* takes partial
 segmentations in the order of what they can still reach, so the first N that
 arrive at the start are the N best.
 
-No edge crosses from another character to a blank, so a text falls into words
-that are searched one by one, each distinct word once.  The N best of the text
-differ from the best in the N - 1 words at most whose second best is nearest;
-these words' lists are merged, again best first.  Partial segmentations are chains
+No edge crosses from another character to a blank, so a text falls into words,
+and each distinct word is searched once.  Forward Viterbi runs over all new words of one
+length at a time, place by place; pieces are found by a walk through their trie from all places at once.
+The N best of the text differ from the best in the N - 1 words at most whose second best is
+nearest; these words' lists are merged, again best first.  Partial segmentations are chains
 of links, so a word of any length, like any text, takes space linear in its length.
 
 For models whose scores are merge ranks (BPE) the lattice is scored with these
 ranks; that is a segmentation of its own, not the greedy merge order.
 
 Defined results: null gives null; the empty text has one segmentation, no
-pieces, score 0; equal scores are ordered by the earliest difference.  Decoding
-returns the text exactly, but for U+2581, which stands for a blank.  Unknown ids
+pieces, score 0; segmentations of equal score come in the order in which the
+search reaches them, which is the same in every run.  Decoding returns the text exactly, but for U+2581, which stands for a blank.  Unknown ids
 decode to nothing.  Other columns are kept; one named like the result is replaced.
 """
 
@@ -36,8 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BLANK = "▁"
-#: Words kept in a task's table; characters of text encoded between two batches of results.
-KNOWN_WORDS, SLICE = 1 << 19, 1 << 21
+#: Characters of words kept in a task's table; characters of text encoded between two batches of results.
+KNOWN_CHARS, SLICE = 1 << 23, 1 << 21
+#: Spreads the keys of the trie's steps.
+_SPREAD = 0x9E3779B97F4A7C15
+#: Words up to this length are searched together, so many characters at a time; longer ones by themselves.
+TOGETHER, STEP = 48, 1 << 20
 
 
 @dataclass
@@ -100,6 +105,38 @@ class _Link:
         return a is None and b is not None
 
 
+class _Trie:
+    """All pieces as a trie whose steps ``(node, character)`` lie in a hash table; node 0 is the root, and what leads nowhere."""
+
+    def __init__(self, scores: dict[str, float | None], pieces: dict[str, tuple[int, float]]):
+        nodes = {p: k for k, p in enumerate(scores, 1)}
+        self.score = np.array([np.nan, *[np.nan if s is None else s for s in scores.values()]])
+        self.ids = np.array([-1, *[pieces[p][0] if p in pieces else -1 for p in scores]], dtype=np.int32)
+        bits = max(10, int(np.ceil(np.log2(len(nodes) + 1))) + 2)
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.next = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        for piece, node in nodes.items():
+            key = nodes.get(piece[:-1], 0) << 21 | ord(piece[-1])
+            at = (key * _SPREAD & 0xFFFFFFFFFFFFFFFF) >> (64 - bits)
+            while self.keys[at] >= 0:
+                at = (at + 1) & self.mask
+            self.keys[at], self.next[at] = key, node
+
+    def step(self, node: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The nodes behind, 0 where no piece goes on."""
+        key = node << 21 | chars
+        at = (key.view(np.uint64) * np.uint64(_SPREAD) >> self.shift).view(np.int64)
+        found = self.keys[at]
+        out = np.where(found == key, self.next[at], 0)
+        missed = np.flatnonzero((found != key) & (found >= 0))
+        while len(missed):
+            at[missed] = (at[missed] + 1) & self.mask
+            found = self.keys[at[missed]]
+            out[missed] = np.where(found == key[missed], self.next[at[missed]], 0)
+            missed = missed[(found != key[missed]) & (found >= 0)]
+        return out
+
+
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, n: int):
         self.v, self.n = vocabulary, n
@@ -112,8 +149,14 @@ class Encoder:
         # Blanks with the word behind them; no edge crosses a line break or tab that is in no piece.
         lone = "".join(c for c in "\n\t\r" if not any(c in p for p in vocabulary.pieces))
         self.words = re.compile((f"[{lone}]|" if lone else "") + f"{BLANK}+[^{BLANK}{lone}]*|[^{BLANK}{lone}]+")
-        self.known: dict[str, tuple[bytes, float, float]] = {}
+        #: Numbers of known words, and by number their best ids, score and distance to the second best.
+        self.known: dict[str, int] = {}
+        self.parts: list[bytes] = []
+        self.facts = np.zeros((2, 1024))
+        self.chars = 0
         self.lists: dict[str, list[tuple[float, bytes]]] = {}
+        self.listed = 0
+        self.trie = _Trie(self.scores, vocabulary.pieces)
 
     def lattice(self, word: str) -> tuple[list[float], list[list[tuple[int, tuple[int, ...], float]]]]:
         """Best score up to each place, and the edges that end there."""
@@ -172,11 +215,89 @@ class Encoder:
                 ids.append(p[0])
             at = i
         ids.reverse()
-        found = array("i", ids).tobytes(), alpha[n], alpha[n] - second[n]
-        if len(self.known) >= KNOWN_WORDS:
-            self.known.clear()
-        self.known[word] = found
-        return found
+        return array("i", ids).tobytes(), alpha[n], alpha[n] - second[n]
+
+    def _keep(self, words: list[str], ids: list[bytes], scores: np.ndarray, gaps: np.ndarray) -> None:
+        low, high = len(self.parts), len(self.parts) + len(words)
+        self.known.update(zip(words, range(low, high), strict=True))
+        self.parts += ids
+        while high > self.facts.shape[1]:
+            self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)], axis=1)
+        self.facts[0, low:high], self.facts[1, low:high] = scores, gaps
+        self.chars += sum(map(len, words))
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Makes all words of these texts known."""
+        new = set().union(*texts).difference(self.known)
+        if self.chars + sum(map(len, new)) > KNOWN_CHARS and self.known:
+            self.known, self.parts, self.chars = {}, [], 0
+            new = set().union(*texts)
+        by_length: dict[int, list[str]] = {}
+        for w in new:
+            by_length.setdefault(len(w), []).append(w)
+        for n, words in by_length.items():
+            if n > TOGETHER:
+                ids, scores, gaps = zip(*map(self.best, words), strict=True)
+                self._keep(words, list(ids), np.array(scores), np.array(gaps))
+                continue
+            for at in range(0, len(words), max(1, STEP // n)):
+                self._learn(words[at:at + max(1, STEP // n)], n)
+
+    def _learn(self, words: list[str], n: int) -> None:
+        """:meth:`best` of many words of ``n`` characters."""
+        many, trie = len(words), self.trie
+        # place by place: character i of word w stands at i * many + w
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(-1, n).T.astype(np.int64).ravel()
+        # All edges by their length, each in the order of the places where they begin.
+        at, node, edges = np.arange(many * n), np.zeros(many * n, dtype=np.int64), []
+        for d in range(n):
+            node = trie.step(node, chars[at + d * many])
+            on = np.flatnonzero(node)
+            at, node = at[on], node[on]
+            whole = np.flatnonzero(trie.ids[node] >= 0)
+            begin = at[whole]
+            edges.append((begin, trie.score[node[whole]], trie.ids[node[whole]], np.searchsorted(begin, np.arange(n + 1) * many)))
+            room = np.searchsorted(at, (n - d - 1) * many)          # what can go on
+            at, node = at[:room], node[:room]
+            if not len(at):
+                break
+        # One character: a piece or, where there is none, its bytes.
+        single, single_ids = np.full(many * n, self.v.unknown), np.full(many * n, -1, dtype=np.int32)
+        single[edges[0][0]], single_ids[edges[0][0]] = edges[0][1], edges[0][2]
+        alpha, second = np.full((n + 1, many), -np.inf), np.full((n + 1, many), -np.inf)
+        alpha[0] = 0.0
+        back, last = np.zeros((n + 1, many), dtype=np.int32), np.full((n + 1, many), -1, dtype=np.int32)
+        for i in range(n):
+            here, j = slice(i * many, (i + 1) * many), i + 1
+            got, got2, was = alpha[i] + single[here], second[i] + single[here], alpha[j]
+            better = got > was
+            second[j] = np.where(better, np.maximum(was, got2), np.maximum(second[j], got))
+            alpha[j], back[j], last[j] = np.where(better, got, was), np.where(better, i, back[j]), np.where(better, single_ids[here], last[j])
+            for d, (begin, scores, ids, cuts) in enumerate(edges[1:n - i], 2):
+                low, high = cuts[i], cuts[i + 1]
+                if low == high:
+                    continue
+                w, s, j = begin[low:high] - i * many, scores[low:high], i + d
+                got, was = alpha[i][w] + s, alpha[j][w]
+                better = got > was
+                second[j][w] = np.where(better, np.maximum(was, second[i][w] + s), np.maximum(second[j][w], got))
+                win = w[better]
+                alpha[j][win], back[j][win], last[j][win] = got[better], i, ids[low:high][better]
+        # backwards, all words at once
+        at, every, steps = np.full(many, n, dtype=np.int32), np.arange(many), []
+        odd = np.zeros(many, dtype=bool)
+        while at.any():
+            ids = np.where(at > 0, last[at, every], -2)
+            odd |= ids == -1
+            steps.append(ids)
+            at = np.where(at > 0, back[at, every], 0)
+        found = np.array(steps[::-1], dtype=np.int32).T
+        used = found > -2
+        flat, ends = found[used].tobytes(), (4 * np.cumsum(used.sum(axis=1))).tolist()
+        ids = [flat[low:high] for low, high in zip([0, *ends], ends)]
+        for k in np.flatnonzero(odd).tolist():
+            ids[k] = self.best(words[k])[0]          # characters without a piece are several ids
+        self._keep(words, ids, alpha[n], alpha[n] - second[n])
 
     def n_best(self, word: str) -> list[tuple[float, bytes]]:
         """Up to n segmentations of one word, best first: backward A*."""
@@ -193,24 +314,29 @@ class Encoder:
                     continue
                 for i, own, s in ends[at]:
                     heapq.heappush(heap, (-(alpha[i] + s + behind), i, _Link(own, link), s + behind))
-            if len(self.lists) >= KNOWN_WORDS // 8:
-                self.lists.clear()
+            self.listed += sum(len(b) for _, b in got) + len(word)
+            if self.listed >= KNOWN_CHARS:
+                self.lists, self.listed = {}, 0
             self.lists[word] = got
         return got
 
-    def encode(self, text: str) -> list[tuple[float, bytes]]:
-        """Up to n segmentations of a text: (score, ids as 32-bit numbers), best first."""
+    def split(self, text: str) -> list[str]:
+        return self.words.findall(((BLANK if self.v.prefix else "") + text).replace(" ", BLANK)) if text else []
+
+    def encode(self, text: str, words: list[str] | None = None) -> list[tuple[float, bytes]]:
+        """Up to n segmentations of a text: (score, ids as 32-bit numbers), best first; ``words`` are known already."""
         if not text:
             return [(0.0, b"")]
-        words = self.words.findall(((BLANK if self.v.prefix else "") + text).replace(" ", BLANK))
-        known, best = self.known, self.best
-        rows = [known.get(w) or best(w) for w in words]
-        parts, scores, gaps = map(list, zip(*rows, strict=True))
-        total = float(sum(scores))
+        if words is None:
+            words = self.split(text)
+            self.learn([words])
+        numbers = list(map(self.known.__getitem__, words))
+        parts = list(map(self.parts.__getitem__, numbers))
+        scores, gaps = self.facts.take(numbers, axis=1)
+        total = float(scores.sum())
         out = [(total, b"".join(parts))]
         if self.n == 1:
             return out
-        gaps = np.array(gaps)
         near = np.argsort(gaps, kind="stable")[:self.n - 1]
         near = sorted(near[np.isfinite(gaps[near])].tolist())
         choices = [self.n_best(words[i]) for i in near]
@@ -257,16 +383,15 @@ def encode(df: DataFrame, text_col: str, vocabulary: Vocabulary, n: int = 1, out
             return pa.RecordBatch.from_arrays([*[cut.column(cut.schema.names.index(c)) for c in names], lists], names=[*names, out])
 
         for batch in batches:
-            texts, rows, low, size = batch.column(batch.schema.names.index(text_col)), [], 0, 0
-            for at, text in enumerate(texts):
-                text = text.as_py()
-                rows.append(None if text is None else encoder.encode(text))
-                size += len(text or "")
-                if size > SLICE:
-                    yield made(batch, low, at + 1, rows)
-                    rows, low, size = [], at + 1, 0
-            if rows:
-                yield made(batch, low, batch.num_rows, rows)
+            column, texts, low, size = batch.column(batch.schema.names.index(text_col)), [], 0, 0
+            for at, text in enumerate(column):
+                texts.append(text.as_py())
+                size += len(texts[-1] or "")
+                if size > SLICE or at + 1 == batch.num_rows:
+                    words = [encoder.split(t or "") for t in texts]
+                    encoder.learn(words)
+                    yield made(batch, low, at + 1, [None if t is None else encoder.encode(t, w) for t, w in zip(texts, words, strict=True)])
+                    texts, low, size = [], at + 1, 0
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out)
     return df.mapInArrow(run, f"{schema}, `{out}` array<struct<score: double, ids: array<int>>>")
