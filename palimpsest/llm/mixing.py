@@ -18,8 +18,9 @@ The driver sees one row per source and the quotas of (source, shard), never
 documents or blocks.  All randomness comes from the seed, so reruns agree.
 
 Null texts have no words.  A null source is a source of its own, the last one.
-Documents with equal (or null) ids are drawn alike.  Sources without words have
-target 0.  Columns of the input named like added ones are replaced.
+Rows are told apart by id and text: only those with the same of both are drawn alike.
+Sources without words have target 0.  A long text is one document, however long; texts are
+read, never cut.  Columns of the input named like added ones are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -42,6 +43,10 @@ SEED = 20240
 BROADCAST_ROWS = 50_000
 
 
+#: Columns that are added to the rows; columns of the input with these names are replaced.
+_DRAWN = ("size", "source_size", "target", "block", "shards")
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, ratio: float = RATIO, limit: int = LIMIT) -> DataFrame:
     """Adds weight, cap, target to (source, source_size).  The windows see one row per source."""
     by_name = W.orderBy(F.col("source").asc_nulls_last())
@@ -96,17 +101,20 @@ def draws(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
           shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """``docs`` with size, source_size, target, block and shards: the output shard of every copy drawn."""
     spark = docs.sparkSession
-    added = ("size", "source_size", "target", "block", "shards")
-    kept = [c for c in docs.columns if c.lower() not in added]
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c in kept], n_words(text_col).alias("size"),
-                       F.col(source_col).cast("string").alias("_source"), hashed(F.lit(seed), F.col(id_col)).alias("_key"))
+    kept = [c for c in docs.columns if c.lower() not in _DRAWN]
+    # The caller's columns travel as one, so that none is taken for a column of this operator.
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(row, n_words(f"`{text_col}`").alias("size"), F.col(f"`{source_col}`").cast("string").alias("_source"),
+                       hashed(F.lit(seed), F.col(f"`{id_col}`"), F.md5(text.cast("binary"))).alias("_key"))
+    own = [F.col("_row").getField(c).alias(c) for c in kept]
     slim = materialized(rows.select("_source", "_key", "size"))       # texts are read once for this, once for the result
     sizes = slim.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     per_source = targets(sizes, weights, ratio, limit).withColumn(
         "n_blocks", F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)))
     known = per_source.collect()                                      # one row per source
     if not known:
-        return rows.select(*[F.col(f"`{c}`") for c in kept], "size", F.lit(0).cast("bigint").alias("source_size"),
+        return rows.select(*own, "size", F.lit(0).cast("bigint").alias("source_size"),
                            F.lit(0.0).alias("target"), F.lit(0).cast("bigint").alias("block"),
                            F.array().cast("array<int>").alias("shards"))
     sources = spark.createDataFrame(
@@ -158,13 +166,20 @@ def draws(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows = _joined(rows, cut, ["_source"], len(known))
     left_out = F.col("part").isNotNull() & ~F.coalesce(F.col("_key") <= F.col("cut"), F.lit(False))
     shards = F.when(left_out, F.slice("full", F.lit(1), F.size("full") - 1)).otherwise(F.col("full"))
-    return rows.select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", "block", shards.alias("shards"))
+    return rows.select(*own, "size", "source_size", "target", "block", shards.alias("shards"))
+
+
+def dealt(drawn: DataFrame, id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
+    """One row per copy of the rows of :func:`draws`, with copy and shard; rows of a shard are together and shuffled."""
+    own = [c for c in drawn.columns if c.lower() not in ("copy", "shard", "shards")]
+    copies = drawn.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"), F.posexplode("shards").alias("copy", "shard"))
+    order = hashed(F.lit(seed), F.col("shard"), F.col("copy"), F.col("_row").getField(id_col))
+    return (copies.repartition("shard").withColumn("_order", order).sortWithinPartitions("shard", "_order")
+            .select(*[F.col("_row").getField(c).alias(c) for c in own], "copy", "shard"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", seed: int = SEED, **options) -> DataFrame:
     """One row per copy drawn: the columns of ``docs``, copy and shard; rows of a shard are together and shuffled."""
     drawn = draws(docs, id_col, seed=seed, **options)
-    own = [F.col(f"`{c}`") for c in docs.columns if c in drawn.columns and c.lower() not in ("size", "source_size", "target", "block", "shards", "copy", "shard")]
-    copies = drawn.select(*own, F.posexplode("shards").alias("copy", "shard"))
-    return (copies.repartition("shard").withColumn("_order", hashed(F.lit(seed), F.col("shard"), F.col("copy"), F.col(id_col)))
-            .sortWithinPartitions("shard", "_order").drop("_order"))
+    own = [c for c in docs.columns if c.lower() not in (*_DRAWN, "copy", "shard")]
+    return dealt(drawn.select(*[F.col(f"`{c}`") for c in own], "shards"), id_col, seed)

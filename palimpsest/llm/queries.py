@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from palimpsest.llm import (
     centroids, chat, exact_dedup, fim, fixity, hmm, minhash, mixing, pieces, placement, simhash, toxicity, vectors)
 from palimpsest.llm.common import remainder, table
+from palimpsest.session import materialized
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -243,7 +244,7 @@ def _mixing_sql() -> str:
     key = lambda *parts: "CAST('0x' || substr(md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({p} AS VARCHAR), '')" for p in parts) + ")), 1, 15) AS BIGINT)"
     w = ", ".join(map(str, mixing.WEIGHTS))
     return rf"""
-WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS BIGINT) AS size, {key(mixing.SEED, 'doc_id')} AS k FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORDS}')) AS BIGINT) AS size, {key(mixing.SEED, 'doc_id', "md5(coalesce(text, ''))")} AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, [{w}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS weight, source_size * {mixing.LIMIT} AS cap FROM s),
 s2 AS (SELECT *, ((SELECT sum(source_size) FROM s) * CAST({mixing.RATIO} AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -269,7 +270,10 @@ FROM x
 @query(_mixing_sql())
 def op9_splitting_tree_mix(spark: SparkSession, sf: str) -> DataFrame:
     drawn = mixing.draws(table(spark, sf, "documents").select("doc_id", "text", "source"))
-    return drawn.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("shards")).alias("taken"))
+    rows = materialized(drawn.select("doc_id", "size", "source_size", "target", "shards", F.monotonically_increasing_id().alias("row")))
+    # Words are counted over the copies in the shards of the mix.
+    taken = mixing.dealt(rows, "row").groupBy("row").agg(F.sum("size").alias("taken"))
+    return rows.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
 
 
 # --------------------------------------------------------------------------- 10 sharding

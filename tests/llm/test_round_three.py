@@ -219,3 +219,26 @@ def test_infill_of_a_very_long_text(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     for r in fim.fill_in_middle(docs).withColumn("back", fim.restored(F.col("output"), F.col("form"))).collect():
         assert r["back"] == texts[r["doc_id"]] and r["output"] == plain_infill(r["doc_id"], r["text"])[2]
+
+
+# --------------------------------------------------------------------------- 9
+
+def test_mix_with_clashing_names_and_without_ids(spark):
+    from palimpsest.llm import mixing
+    words = spark.range(600).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"),
+                                    F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source"))
+    for name in ("part", "full", "cut", "n_blocks", "_key", "_source", "_row", "_order", "_block", "ends", "words", "_end", "place", "rest", "quota"):
+        words = words.withColumn(name, F.lit(name))
+    kept = words.columns
+    mixed = mixing.mix(words.withColumn("size", F.lit("x")).withColumn("shard", F.lit("y")), block_words=50, shard_words=300)
+    assert mixed.columns == [*kept, "copy", "shard"]
+    rows = mixed.collect()
+    assert all(r[name] == name for r in rows for name in ("part", "_row", "_order", "ends"))
+    drawn = mixing.draws(words, block_words=50, shard_words=300).collect()
+    taken, target = {}, {r["source"]: r["target"] for r in drawn}
+    for r in rows:
+        taken[r["source"]] = taken.get(r["source"], 0) + 2
+    # rows without an id are told apart by their text: the miss is below one document
+    assert all(abs(taken[s] - target[s]) <= 2 for s in target) and sum(target.values()) == 1800
+    assert len({r["shard"] for r in rows}) > 3
+    assert sorted(r["text"] for r in mixing.mix(words.repartition(5), block_words=50, shard_words=300).collect()) == sorted(r["text"] for r in rows)
