@@ -24,6 +24,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.functions.expr import fresh
 from palimpsest.llm.common import SPACE_RUN
 from palimpsest.llm.files import from_files, located, locator, maybe_in
 from palimpsest.session import materialized, new_folder
@@ -130,5 +131,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     docs = from_files(docs)
-    stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("locator").alias("_locator"))
-    return docs.withColumn("_locator", locator()).join(stays, "_locator", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = fresh(docs, "_locator")
+    stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("locator").alias(own))
+    return docs.withColumn(own, locator()).join(stays, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from palimpsest.functions.expr import fresh
 from palimpsest.llm.files import from_files, located, locator, maybe_in
 from palimpsest.llm.graph import components
 from palimpsest.session import materialized
@@ -380,5 +381,6 @@ def low_bits(classes: DataFrame) -> DataFrame:
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, share: int = 80) -> DataFrame:
     """One row of every group of near duplicates, with all columns: the one with the smallest id."""
     docs = from_files(docs)
-    stays = near_duplicates(docs, id_col, text_col, size, share).where("first").select(F.col("locator").alias("_locator"))
-    return docs.withColumn("_locator", locator()).join(stays, "_locator", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = fresh(docs, "_locator")
+    stays = near_duplicates(docs, id_col, text_col, size, share).where("first").select(F.col("locator").alias(own))
+    return docs.withColumn(own, locator()).join(stays, own, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

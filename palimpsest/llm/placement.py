@@ -19,6 +19,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palimpsest.functions.expr import fresh
 from palimpsest.llm.common import hashed
 
 #: Slots of the table; a prime well over a hundred times the usual number of shards.
@@ -58,10 +59,11 @@ def lookup_table(spark: SparkSession, shards: dict[str, int], slots: int = SLOTS
 def place(docs: DataFrame, key: str, shards: dict[str, int], slots: int = SLOTS) -> DataFrame:
     """``docs`` with the columns slot and shard.  No exchange of ``docs``."""
     table = lookup_table(docs.sparkSession, shards, slots)
-    rows = docs.withColumn("_slot", (hashed(F.col(key)) % slots).cast("int"))
+    slot, shard = fresh(docs, "_slot"), fresh(docs, "_shard")
+    rows = docs.withColumn(slot, (hashed(F.col(f"`{key}`")) % slots).cast("int"))
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("slot", "shard")]
-    return (rows.join(F.broadcast(table.withColumnsRenamed({"slot": "_slot", "shard": "_shard"})), "_slot", "left")
-            .select(*own, F.col("_slot").alias("slot"), F.col("_shard").alias("shard")))
+    return (rows.join(F.broadcast(table.withColumnsRenamed({"slot": slot, "shard": shard})), slot, "left")
+            .select(*own, F.col(slot).alias("slot"), F.col(shard).alias("shard")))
 
 
 def moved(docs: DataFrame, key: str, before: dict[str, int], after: dict[str, int], slots: int = SLOTS) -> DataFrame:

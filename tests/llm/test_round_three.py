@@ -242,3 +242,12 @@ def test_mix_with_clashing_names_and_without_ids(spark):
     assert all(abs(taken[s] - target[s]) <= 2 for s in target) and sum(target.values()) == 1800
     assert len({r["shard"] for r in rows}) > 3
     assert sorted(r["text"] for r in mixing.mix(words.repartition(5), block_words=50, shard_words=300).collect()) == sorted(r["text"] for r in rows)
+
+
+def test_helper_names_of_the_caller_stay(spark, odd):
+    from palimpsest.llm import exact_dedup, minhash, placement
+    rows = odd.withColumn("_locator", F.lit(-5)).withColumn("_slot", F.lit(-6)).withColumn("_shard", F.lit("own"))
+    assert {r["_locator"] for r in exact_dedup.kept_rows(rows).collect()} == {-5}
+    assert {r["_locator"] for r in minhash.kept_rows(rows).collect()} == {-5}
+    placed = placement.place(rows, "doc_id", {"a": 1, "b": 2}).collect()
+    assert {(r["_slot"], r["_shard"]) for r in placed} == {(-6, "own")} and {r["shard"] for r in placed} <= {"a", "b"}
