@@ -38,11 +38,11 @@ from pyspark.sql import DataFrame
 
 BLANK = "▁"
 #: Characters of words kept in a task's table; characters of text encoded between two batches of results.
-KNOWN_CHARS, SLICE = 1 << 23, 1 << 21
+KNOWN_CHARS, SLICE = 1 << 22, 1 << 20
 #: Spreads the keys of the trie's steps.
 _SPREAD = 0x9E3779B97F4A7C15
 #: Words up to this length are searched together, so many characters at a time; longer ones by themselves.
-TOGETHER, STEP = 48, 1 << 20
+TOGETHER, STEP = 48, 1 << 18
 
 
 @dataclass
