@@ -119,9 +119,9 @@ def redact_frame(df: DataFrame, policy: Policy, keep_types: bool = False) -> Dat
     row = fresh(df, "_row_rules")
     texts = [_strings(F.col(f"`{f.name}`"), f.dataType, names) for f in df.schema.fields if f.name not in names.placeholder]
     texts = _together([t for t in texts if t is not None])
-    if texts is not None:
-        # One guard test per row, on all its strings at once.
-        df = df.withColumn(row, active_rules(F.array_join(texts, "\n"), names.rules))
+    # One guard test per row, on all its strings at once.
+    active = F.array().cast("array<int>") if texts is None else active_rules(F.array_join(texts, "\n"), names.rules)
+    df = df.withColumn(row, active)
     columns = []
     for f in df.schema.fields:
         if f.name == row:
