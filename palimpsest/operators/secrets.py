@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,8 @@ from palimpsest.operators.literals import literal_hits
 from palimpsest.session import checkpointed
 
 RECORD = ["rel_path", "line_no"]
+#: Hits of findings that hang on one another, up to which one task solves a file.
+FOLD_HITS = 1_000_000
 
 
 def secret_placeholder(rule: Column) -> Column:
@@ -64,19 +67,77 @@ def _tombstones(findings: DataFrame, counts: DataFrame, records: DataFrame) -> D
     """``(rel_path, line_no, no, rule)``: findings that end up as tombstones.
 
     A finding fails if every record it could change was a tombstone before its
-    turn.  Failing adds tombstones for later findings only, so repeating the
-    test reaches the one answer; mostly after one round.
+    turn.  One whose secret is in its own record can only fail after that record
+    became a tombstone, so the first tombstone of every record comes from a
+    *stray*: a finding whose own record does not hold its secret.
     """
     lines = records.where(F.endswith("rel_path", F.lit(".jsonl"))).select(*RECORD)
     placed = findings.join(lines, RECORD, "left_semi").select(*RECORD, F.col("finding_no").alias("no"), "rule")
+    key = [*RECORD, "no"]
+    strays = checkpointed(placed.select(*key).join(counts.select(*key), key, "left_anti"))
+    first = _first_tombs(strays, counts.select(*key))
+    return checkpointed(placed.join(_alive(counts, first).select("no").distinct(), "no", "left_anti"))
+
+
+def _alive(hits: DataFrame, first: DataFrame) -> DataFrame:
+    """The hits that come before the first tombstone ``(rel_path, line_no, _tomb)`` of their record, or are it."""
+    return hits.join(first, RECORD, "left").where(F.col("_tomb").isNull() | (F.col("no") <= F.col("_tomb"))).drop("_tomb")
+
+
+def _first_tombs(strays: DataFrame, hits: DataFrame) -> DataFrame:
+    """``(rel_path, line_no, _tomb)``: the first failing finding placed at each record.
+
+    Strays without a hit fail, strays that hit a record without an earlier stray
+    do not; both are found by joins.  The others hang on one another, in the
+    order of their numbers and within one file: files of up to ``FOLD_HITS`` such
+    hits are each solved in one ordered pass, larger ones by repeated joins.
+    """
+    def firsts(rows):
+        return rows.groupBy(*RECORD).agg(F.min("no").alias("_tomb"))
+
+    hits = checkpointed(hits.join(strays.select("no"), "no", "left_semi").select(*RECORD, "no"))
+    lost = strays.join(hits.select("no").distinct(), "no", "left_anti")
+    earlier = hits.join(firsts(strays), RECORD, "left")
+    safe = earlier.where(F.col("_tomb").isNull() | (F.col("_tomb") >= F.col("no"))).select("no").distinct()
+    open_hits = checkpointed(hits.join(safe, "no", "left_anti"))
+    if open_hits.isEmpty():
+        return checkpointed(firsts(lost))
+    lost = checkpointed(lost)
+    large = checkpointed(open_hits.groupBy("rel_path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FOLD_HITS).select("rel_path"))
+    small = open_hits.join(large, "rel_path", "left_anti")
+    known = firsts(lost).join(small.select(*RECORD).distinct(), RECORD, "left_semi")
+    placed = strays.select("rel_path", F.col("line_no").alias("at"), "no")
+    rows = small.join(placed, ["rel_path", "no"]).select(*RECORD, "no", "at").unionByName(
+        known.select(*RECORD, F.col("_tomb").alias("no"), F.lit(None).cast("bigint").alias("at")))
+    failed = rows.groupBy("rel_path").applyInPandas(_ordered_pass, "rel_path string, line_no bigint, no bigint")
+    failed = checkpointed(failed.unionByName(lost))
+    if not large.isEmpty():
+        rest = checkpointed(open_hits.join(large, "rel_path", "left_semi"))
+        failed = checkpointed(failed.unionByName(_closure(strays, rest, lost)))
+    return checkpointed(firsts(failed))
+
+
+def _ordered_pass(file: pd.DataFrame) -> pd.DataFrame:
+    """The failing strays of one file, from (rel_path, line_no hit, no, at); rows without ``at`` are known tombstones."""
+    known = file[file["at"].isna()]
+    first = dict(zip(known["line_no"].tolist(), known["no"].tolist(), strict=True))
+    failed = []
+    for no, own in file[file["at"].notna()].groupby("no", sort=True):
+        if all(first.get(line, no) < no for line in own["line_no"].tolist()):
+            at = int(own["at"].iloc[0])
+            failed.append((file["rel_path"].iloc[0], at, no))
+            first[at] = min(first.get(at, no), no)
+    return pd.DataFrame(failed, columns=["rel_path", "line_no", "no"])
+
+
+def _closure(strays: DataFrame, hits: DataFrame, lost: DataFrame) -> DataFrame:
+    """What :func:`_ordered_pass` finds, by as many joins as the longest chain has links."""
     failed, size = None, -1
+    asked = strays.join(hits.select("no").distinct(), "no", "left_semi")
     while True:
-        if failed is None:
-            alive = counts
-        else:
-            first = failed.groupBy(*RECORD).agg(F.min("no").alias("_tomb"))
-            alive = counts.join(first, RECORD, "left").where(F.col("_tomb").isNull() | (F.col("no") <= F.col("_tomb")))
-        failed = checkpointed(placed.join(alive.select("no").distinct(), "no", "left_anti"))
+        tombs = lost if failed is None else lost.unionByName(failed)
+        alive = _alive(hits, tombs.groupBy(*RECORD).agg(F.min("no").alias("_tomb")))
+        failed = checkpointed(asked.join(alive.select("no").distinct(), "no", "left_anti").select(*RECORD, "no"))
         now = failed.count()
         if now == size or now == 0:
             return failed
@@ -84,9 +145,7 @@ def _tombstones(findings: DataFrame, counts: DataFrame, records: DataFrame) -> D
 
 
 def _outcomes(findings: DataFrame, counts: DataFrame, tombs: DataFrame) -> DataFrame:
-    first = tombs.groupBy(*RECORD).agg(F.min("no").alias("_tomb"))
-    alive = counts.join(first, RECORD, "left").where(F.col("_tomb").isNull() | (F.col("no") <= F.col("_tomb")))
-    done = alive.groupBy(F.col("no").alias("finding_no")).agg(F.sum("n").alias("_n"))
+    done = _alive(counts, tombs.groupBy(*RECORD).agg(F.min("no").alias("_tomb"))).groupBy(F.col("no").alias("finding_no")).agg(F.sum("n").alias("_n"))
     fell = tombs.select(F.col("no").alias("finding_no"), F.lit(True).alias("_fell"))
     return (findings.join(done, "finding_no", "left").join(fell, "finding_no", "left")
             .select("finding_no", "rel_path", "line_no", "rule",
