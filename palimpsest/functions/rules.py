@@ -118,6 +118,27 @@ def few_labels(pattern: str) -> str:
             .replace("(?:-[A-Za-z0-9_.]+)*--", "(?:-[A-Za-z0-9_.]++)*+--"))
 
 
+#: Rules that begin with a run of one class of characters.  Where the run starts does not decide whether they match.
+RUN_RULES = {"email", "private_term_compound", "private_user_compound", "ssh_remote"}
+#: A start is given up if an earlier one of the same run is at most so many characters before.
+NEAR_START = 64
+
+
+def one_start(category: str, pattern: str) -> str:
+    """The same matches, without a try from every word of a long run.
+
+    If a run rule fails at a word boundary, it fails at all later ones of that
+    run, so these are left out; each would read the rest of the run again.  The
+    place where the last match ended (``\\G``) is the first of what is left.
+    """
+    if category not in RUN_RULES:
+        return pattern
+    m = re.match(r"(?P<flags>(?:\(\?i\))?)(?P<at>(?:\(\?<!\\\\\))?\\b)(?:\(\?:)?(?P<run>\[[^\]]+\])", pattern)
+    at, run = m["at"], m["run"]
+    guard = rf"(?:\G|(?<!{run})|(?<!{at}{run})(?<!{at}{run}{{2,{NEAR_START}}}))"       # the first test is the cheap one
+    return m["flags"] + guard + pattern[len(m["flags"]):]
+
+
 @dataclass(frozen=True)
 class Rule:
     ordinal: int
@@ -197,7 +218,7 @@ def _build(entries, policy: Policy) -> list[Rule]:
             # Take the whole URL: otherwise host and path stay readable.
             pattern += r"[^\s'\"<>`)}\]]*"
             replacement = r"\1[SECRET:BASIC_AUTH]"
-        java = JAVA_FORMS.get(category) or java_regex(few_labels(pattern), trusted=True)
+        java = JAVA_FORMS.get(category) or java_regex(one_start(category, few_labels(pattern)), trusted=True)
         if category == "env_secret_default":
             java = java.replace("(?iu)", "(?iu)(?<![A-Z0-9_])", 1)
         guard = GUARDS.get(category) or _policy_guard(category, policy, written)

@@ -1,11 +1,13 @@
 """Text behind a JSON value, long runs and odd key names must not slip through."""
 
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.functions.fields import is_sensitive_key
+from palimpsest.functions.rules import RUN_RULES, redaction_rules, scan_rules
 from palimpsest.operators.json_records import redact_json, split_malformed
 from palimpsest.operators.scan import leftovers
 from palimpsest.operators.text import redact_text
@@ -41,6 +43,36 @@ def test_long_runs_of_labels(spark):
     assert time.time() - start < 120
 
 
+def test_run_rules_match_as_without_their_start_guard(spark, policy, monkeypatch):
+    def runs():
+        return {(kind, r.category): r.pattern for kind, rules in (("redact", redaction_rules(policy)), ("scan", scan_rules(policy)))
+                for r in rules if r.category in RUN_RULES}
+
+    guarded = runs()
+    monkeypatch.setattr("palimpsest.functions.rules.RUN_RULES", set())
+    plain = {(kind, r.category): r.pattern for kind, rules in (("redact", redaction_rules(policy)), ("scan", scan_rules(policy)))
+             for r in rules if (kind, r.category) in guarded}
+    assert len(guarded) == 5 and all(guarded[k] != plain[k] for k in guarded)
+    draw = random.Random(3)
+    parts = ["a", "bc", "Z9", ".", ".", "_", "-", "%", "+", "@", "@", ":", ":", "/", "\\", " ", "é", "ſ", ".git", ".git", "x.org", "app.", "canuser", "CANUSERLAB", "q" * 70]
+    texts = ["".join(draw.choices(parts, k=draw.randint(1, 30))) for _ in range(20_000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+    for key in guarded:
+        found = [F.regexp_extract_all("t", F.lit(p), F.lit(0)) for p in (guarded[key], plain[key])]
+        split = [F.split("t", p, -1) for p in (guarded[key], plain[key])]
+        got = rows.agg(F.count_if(F.size(found[0]) > 0).alias("hits"), F.count_if((found[0] != found[1]) | (split[0] != split[1])).alias("other")).first()
+        assert got["hits"] > 200 and got["other"] == 0, key
+
+
+def test_run_rules_take_linear_time(spark, policy):
+    texts = ["a." * 200_000, "a@b " + "a." * 200_000 + ":.git", "canuser " + "a." * 200_000]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    patterns = {r.pattern for r in [*redaction_rules(policy), *scan_rules(policy)] if r.category in RUN_RULES}
+    start = time.time()
+    rows.select(*[F.size(F.regexp_extract_all("t", F.lit(p), F.lit(0))) for p in patterns]).collect()
+    assert time.time() - start < 30
+
+
 def test_extra_keys_in_any_spelling(spark):
     policy = Policy("u", "/home/u", extra_sensitive_keys=("accessToken2", "X-Org-Id"))
     keys = ["accessToken2", "ACCESS_TOKEN2", "x_org_id", "xOrgId", "harmless"]
