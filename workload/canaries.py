@@ -62,6 +62,64 @@ CANARIES = {
     "ssh_remote": (f"concat('box:team/repo', {ID}, '.git')", "'box:team/repo'"),
 }
 
+P = f"lpad({ID}, 8, '0')"
+
+# (text, rules of the scan that find something in it, with what they find; None: the whole text)
+PLANTS = [
+    ("'~canuser'", {"home_path_content": None, "private_user_name": "'canuser'", "private_user_compound": "'canuser'"}),
+    (f"concat('/home/u', {P})", {"generic_home_path_content": None}),
+    ("'--home-canuser'", {"encoded_home_path_content": None, "private_user_name": "'canuser'", "private_user_compound": "'home-canuser'"}),
+    (f"concat('--p-', {P}, '--')", {"generic_pi_encoded_path": None}),
+    ("'canuser@box'", {"user_at_host": "'canuser@'", "private_user_name": "'canuser'", "private_user_compound": "'canuser'"}),
+    (f"concat('my_canuser_', {P})", {"private_user_compound": None}),
+    (f"concat('x', {P}, '.canuser.test')", {"private_user_domain": None, "private_user_compound": None, "private_user_name": "'canuser'"}),
+    (f"concat('https://opncd.ai/share/', {P})", {"opencode_share_url": None, "url": None}),
+    (f"concat('http://192.168.1.2/', {P})", {"private_rfc1918_url": None, "url": None, "ipv4": "'192.168.1.2'"}),
+    (f"concat('2001:db8:', substr({P}, 5, 4), ':1:2:3:4:5')", {"ipv6": None}),
+    (f"concat('/org/bluez/hci', {P})", {"bluetooth_path": None}),
+    (f"concat('ssh-', 'rsa ', repeat('A', 40), {P})", {"ssh_public_key": None}),
+    (f"concat('$2', 'b$10$', repeat('x', 45), {P})", {"password_hash": None}),
+    (f"concat('sk', '-', repeat('o', 16), {P})", {"openai_key": None, "short_sk_key": None}),
+    (f"concat('sk', '-', {P})", {"short_sk_key": None}),
+    (f"concat('sk', '-ant-', repeat('n', 16), {P})", {"openai_key": None, "short_sk_key": None, "anthropic_key": None}),
+    (f"concat('gh', 'p_', repeat('g', 16), {P})", {"github_token": None}),
+    (f"concat('h', 'f_', repeat('h', 16), {P})", {"hf_token": None}),
+    (f"concat('AI', 'za', repeat('z', 24), {P})", {"google_key": None}),
+    (f"concat('AK', 'IA', repeat('Q', 8), {P})", {"aws_key": None}),
+    (f"concat('BEGIN R', {P}, ' PRI', 'VATE KEY')", {"private_key": None}),
+    (f"concat('Bearer ', repeat('k', 16), {P})", {"long_bearer": None}),
+    (f"concat('m', {P}, '@example.org')", {"email": None}),
+    (f"concat('api', '_key = ', repeat('k9-', 4), {P})", {"api_key_field_value": None}),
+    (f"concat('\"encrypted_content\": \"', {P}, '\"')", {"encrypted_content_field": None}),
+    (f"concat('\"thinkingSignature\": \"', {P}, '\"')", {"thinking_signature_field": None}),
+    (f"concat('com.apple.quicktime.location.ISO6709: +10.', {P}, '+020.5678/')",
+     {"quicktime_location_iso6709": None, "iso6709_coordinates": f"concat('+10.', {P}, '+020.5678/')"}),
+    (f"concat('h', {P}, '.corp.test')", {"private_domain": None}),
+    # What the filters leave out: names as keys, short names, code, placeholders, clock times, local addresses.
+    ("'\"canuser\": 1'", {}),
+    ("'x@example.org'", {}),
+    (f"concat('m', {P}, '@app.example.org')", {}),
+    ("'api_key = process_env_value'", {}),
+    ("concat('api', '_key = ', repeat('k', 20))", {}),
+    ("'\"encrypted_content\": \"[REDACTED:X]\"'", {}),
+    ("'[PRIVATE_USER] [URL:0001:0123456789]'", {}),
+    ("'10:20:30 and 1:2:3:4'", {}),
+    ("'127.0.0.1 0.0.0.7'", {}),
+]
+
+
+def planted_text() -> str:
+    """SQL: every event gets one plant, by its number."""
+    branches = " ".join(f"when {i} then {text}" for i, (text, _) in enumerate(PLANTS))
+    return f"concat('row ', {ID}, ' ', case event_id % {len(PLANTS)} {branches} end, ' end')"
+
+
+def planted_hits() -> str:
+    """SQL: (event_id, name, match) of what must be found."""
+    return " UNION ALL ".join(
+        f"SELECT event_id, '{name}' AS name, {found or text} AS match FROM events WHERE event_id % {len(PLANTS)} = {i}"
+        for i, (text, hits) in enumerate(PLANTS) for name, found in hits.items())
+
 
 def canary_text(near_miss: bool = False) -> str:
     """SQL: every event gets one canary, by its number."""

@@ -19,7 +19,7 @@ from palimpsest.session import materialized, new_folder, spread
 from palimpsest.sources.logs import read_event_logs
 from palimpsest.sources.tree import write_tree
 from pyspark.sql import types as T
-from workload.canaries import CANARIES, canary_text
+from workload.canaries import CANARIES, canary_text, planted_hits, planted_text
 from workload.re2 import allowed_sql, chain, host_sql, placeholder_sql, quote, re2, weave_sql
 
 POLICY = Policy("canuser", "/home/canuser", private_terms=("canuserlab",), private_domains=("corp.test",))
@@ -820,6 +820,14 @@ def scan_leftovers(spark, sf):
     return scan.scan(_scanned(spark, sf), POLICY)
 
 
+@query(f"SELECT 'e' || (event_id % 7) || '.txt' AS rel_path, 'content' AS place, name, match FROM ({planted_hits()})")
+def scan_planted(spark, sf):
+    """The rules and filters that the tables' own texts do not reach, on values made from the event numbers."""
+    rows = table(spark, sf, "events").select(
+        F.concat(F.lit("e"), (F.col("event_id") % 7).cast("string"), F.lit(".txt")).alias("rel_path"), F.expr(planted_text()).alias("raw"))
+    return scan.scan(rows, POLICY)
+
+
 _SUMMARY_SQL = (f"per AS (SELECT name, rel_path, count(*) AS n, bool_or(place = 'path') AS in_path FROM hits GROUP BY ALL), "
                 "rn AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY string_split(rel_path, '/')) AS rn FROM per), "
                 "ex AS (SELECT name, string_agg(rel_path || CASE WHEN in_path THEN ' (path)' ELSE ' (content)' END, '; ' ORDER BY rn) AS examples FROM rn WHERE rn <= 5 GROUP BY name), "
