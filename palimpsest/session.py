@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,8 +66,35 @@ def local_session(cores: int | str = "*", name: str = "palimpsest", **settings)
     return builder.getOrCreate()
 
 
+#: Spark 4.1 and later: shuffle files go when their query ends; else they stay until the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def transient_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries inside are removed as each of them ends."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Like :func:`checkpointed`, as a Parquet table: for wide results that are read column-wise later."""
     path = new_folder(df.sparkSession, "table")
-    df.write.parquet(path)
+    with transient_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table of :func:`materialized` that nothing reads any more."""
+    context = table.sparkSession.sparkContext
+    for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
