@@ -3,21 +3,24 @@
 A token is a word (ASCII letters lower-cased) or the end of its text.  Every
 word seen ``LEAST_COUNT`` times, the end, and ``CLASSES`` classes of the words
 seen less or never (by a hash of their last three bytes) are the symbols that
-states emit; their number follows the vocabulary, and so does what is trained
-and broadcast: a number per state and symbol.  A word within its class has the
-probability (c + 1) / (C + V + 1), from the counts c of the word, C of the class
-and its V distinct words in the training texts; the + 1 leaves room for unseen
-words.  Every count comes from all training texts.
-
-Training is Baum-Welch: each task runs the scaled forward and backward
-recursions over its texts and adds up expected counts per symbol and state; one
-aggregation adds them over tasks, and the driver normalises a table of symbols
-by states.  Scoring is the scaled forward recursion alone, which is exact; the
-words within classes are looked up by a join, so no vocabulary is broadcast.
+states emit; their number follows the vocabulary.  A word within its class has
+the probability (c + 1) / (C + V + 1), from the counts c of the word, C of the
+class and its V distinct words in the training texts; the + 1 leaves room for
+unseen words.  Every count comes from all training texts.
+
+Emissions are a table, one row per symbol; neither the driver nor a broadcast
+ever holds the vocabulary.  Texts lie in blocks of about ``BLOCK`` tokens, and a
+block numbers its own symbols.  A round of Baum-Welch joins the emissions to the
+symbols of each block, runs the scaled forward and backward recursions there,
+and adds the expected counts per symbol with one aggregation.  Only states x
+states numbers pass through the driver.  Scoring is the scaled forward recursion
+alone, which is exact.
 
 Null texts are empty: one token, the end.  Without training texts all
 distributions are uniform and all counts 0.  Repeated rows and repeated ids are
-rows of their own.  Columns beside the id and the text are not read.
+rows of their own.  A text longer than a block is a block of its own; the way
+back over it keeps one forward vector every ``TOKENS`` tokens and computes the
+others again.  Columns beside the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -28,19 +31,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palimpsest.session import materialized
+from palimpsest.session import discard, materialized
 
 CLASSES, STATES, ROUNDS = 1024, 8, 6
 #: Weight of the prior in emissions (tokens per state) and transitions.
 PRIOR, SEED = 2000.0, 5
 #: Rarer words are always in classes, so that classes have the weight of words seen once or never.
 LEAST_COUNT = 3
-#: Words a task counts before it passes them on; tokens that are run through the recursions at a time.
-FLUSH, TOKENS = 1 << 19, 300_000
+#: Words a task counts before it passes them on; tokens of a block; tokens that are run through the recursions at a time.
+FLUSH, BLOCK, TOKENS = 1 << 19, 2_000_000, 400_000
 END = b""
+#: Keys of what is not an emission: row i of the transitions is MOVES - i.
+MOVES, FIRST = -1_000_000, -2_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -73,236 +78,323 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, c bigint").where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Symbols:
-    """Words with a symbol of their own; 0 is the end, classes follow the words."""
+# --------------------------------------------------------------------------- blocks
 
-    def __init__(self, words: list[tuple[bytes, int]], ends: int, total: int, distinct: int):
-        self.number = {END: 0} | {w: i + 1 for i, (w, _) in enumerate(words)}
-        self.counts = np.array([ends, *[c for _, c in words]], dtype=np.float64)
-        self.total, self.distinct = total, distinct
-        self.class_counts = np.zeros(CLASSES)
-        self.n = len(self.number) + CLASSES
+def _listed(values: pa.Array) -> pa.ListArray:
+    """A column with one row, the list of all values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    def base(self, counts):
-        """log10 of the base model's probability of tokens with such counts."""
-        return np.log10((counts + 1) / (self.total + self.distinct + 1))
 
+def blocks(rows: DataFrame) -> DataFrame:
+    """(block, ids, train, lengths, codes, words): texts of a split, as places in the list of the block's distinct words; the end is place 0."""
+    kind = rows.schema["id"].dataType.simpleString()
 
-def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
-    """All words seen LEAST_COUNT times or more, the most frequent first."""
-    table = counts.where((F.length("word") > 0) & (F.col("c") >= LEAST_COUNT)).select("word", "c").toArrow()
-    return sorted(zip(map(bytes, table.column("word").to_pylist()), table.column("c").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, ids, train, lengths, codes, size = {END: 0}, [], [], [], [], 0
 
-def encoded(rows: DataFrame, symbols: Symbols) -> DataFrame:
-    """(id, train, n_tokens, n_frequent, base, symbols, rare): a text as 32-bit symbols, and its words within classes."""
-    kind = rows.schema["id"].dataType.simpleString()
-    shared = rows.sparkSession.sparkContext.broadcast((symbols.number, symbols.base(symbols.counts), symbols.counts > 0))
-    rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [_listed(pa.concat_arrays(ids)), _listed(pa.array(train, pa.bool_())), _listed(pa.array(lengths, pa.int64())),
+                 pa.array([b"".join(codes)], pa.binary()), _listed(pa.array(list(number), pa.binary()))],
+                names=["ids", "train", "lengths", "codes", "words"])
 
-    def run(batches):
-        number, base, seen = shared.value
-        first_class = len(number)
         for batch in batches:
-            n, known, basis, codes, rare, edges = [], [], [], [], Counter(), [0]
-            words, times = [], []
-            for text in batch.column("text"):
+            column = batch.column("id")
+            for i, text in enumerate(batch.column("text")):
                 w = tokens(text.as_py())
-                got = [number.get(x, -1) for x in w]
-                a = np.array([*got, 0], dtype=np.int64)
-                own = a >= 0
-                n.append(len(a)), known.append(int(seen[a[own]].sum())), basis.append(float(base[a[own]].sum()))
-                if not own.all():
-                    others = [w[i] for i in np.flatnonzero(~own)]
-                    a[~own] = [first_class + zlib.crc32(x[-3:]) % CLASSES for x in others]
-                    rare = Counter(others)
-                    words += rare.keys()
-                    times += rare.values()
-                edges.append(len(words))
-                codes.append(a.astype(np.uint32).tobytes())
-            structs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int32())], names=["word", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("train"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(basis, pa.float64()),
-                 pa.array(codes, pa.binary()), pa.ListArray.from_arrays(pa.array(edges, pa.int32()), structs).cast(rare_kind)],
-                names=["id", "train", "n_tokens", "n_frequent", "base", "symbols", "rare"])
-
-    return rows.mapInArrow(run, f"id {kind}, train boolean, n_tokens bigint, n_frequent bigint, base double, symbols binary, "
-                                "rare array<struct<word: binary, n: int>>")
+                if size and size + len(w) + 1 > BLOCK:
+                    yield out()
+                    number, ids, train, lengths, codes, size = {END: 0}, [], [], [], [], 0
+                a = np.fromiter((number.setdefault(x, len(number)) for x in w), dtype=np.uint32, count=len(w))
+                ids.append(column.slice(i, 1)), train.append(batch.column("train")[i].as_py()), lengths.append(len(w) + 1)
+                codes.append(a.tobytes() + b"\0\0\0\0")
+                size += len(w) + 1
+        if size:
+            yield out()
 
+    return rows.mapInArrow(run, f"ids array<{kind}>, train array<boolean>, lengths array<bigint>, codes binary, words array<binary>").withColumn(
+        "block", F.monotonically_increasing_id())
 
-# --------------------------------------------------------------------------- recursions
 
-def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray, keep: bool = False):
-    """log10 probability of each text; with ``keep`` also what :func:`expected` needs.
+def together(left: DataFrame, right: DataFrame, parts: int, run, schema: str) -> DataFrame:
+    """``run`` on what both tables hold of each block."""
+    left = left.withColumnRenamed("block", "of_block")
+    return (left.repartition(parts, "of_block").groupBy("of_block").cogroup(right.repartition(parts, "block").groupBy("block"))
+            .applyInArrow(run, schema))
 
-    All texts go step by step together, longest first.
+
+def coded(texts: DataFrame, words: DataFrame, classes: DataFrame, total: int, distinct: int, parts: int) -> DataFrame:
+    """Blocks whose texts are places in the list ``symbols`` of the block, with what only words tell of each text.
+
+    ``words`` are (word, c, symbol), without a symbol for words within classes.  ``base`` is log10 of the base model; ``within`` log10 of the rare words within their classes.
     """
-    lengths = np.array([len(t) for t in texts])
-    order = np.argsort(-lengths, kind="stable")
-    flat = np.concatenate(texts).astype(np.int64) if len(texts) else np.zeros(0, dtype=np.int64)
-    begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])[order] if len(texts) else np.zeros(0, dtype=np.int64)
-    active = np.searchsorted(-lengths[order], -np.arange(lengths.max() if len(texts) else 0), side="left")
-    total, alphas, scales, emitted = np.zeros(len(texts)), [], [], []
-    alpha = None
-    for t, n in enumerate(active.tolist()):
-        b = emit[flat[begins[:n] + t]]
-        alpha = (start if t == 0 else alpha[:n] @ move) * b
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        total[:n] += np.log10(scale)
-        if keep:
-            alphas.append(alpha), scales.append(scale), emitted.append(b)
+    kind = texts.schema["ids"].dataType.simpleString()
+
+    def run(known: pa.Table, block: pa.Table) -> pa.Table:
+        place = known.column("place").to_numpy()
+        symbol, c, room = (np.zeros(len(place), dtype=t) for t in (np.int64, np.float64, np.float64))
+        for to, name in ((symbol, "symbol"), (c, "c"), (room, "room")):
+            to[place] = known.column(name).to_numpy()
+        base = np.log10((c + 1) / (total + distinct + 1))
+        within = np.where(room > 0, np.log10((c + 1) / np.maximum(room, 1)), 0.0)
+        lengths = block.column("lengths")[0].values.to_numpy()
+        codes = np.frombuffer(block.column("codes")[0].as_py(), dtype=np.uint32)
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        symbols, own = np.unique(symbol, return_inverse=True)
+        of_text = lambda x: np.add.reduceat(x[codes], starts)
+        return pa.table([block.column("block"), block.column("ids"), block.column("train"), block.column("lengths"),
+                         _listed(pa.array(of_text((c > 0).astype(np.int64)))), _listed(pa.array(of_text(base))), _listed(pa.array(of_text(within))),
+                         pa.array([own.astype(np.uint32)[codes].tobytes()], pa.binary()), _listed(pa.array(symbols))],
+                        names=["block", "ids", "train", "lengths", "known", "base", "within", "codes", "symbols"])
+
+    places = texts.select("block", F.posexplode("words").alias("place", "word")).join(words, "word", "left").withColumn("class", _class("word"))
+    known = places.join(F.broadcast(classes), "class").select(
+        "block", "place", F.coalesce("symbol", -1 - F.col("class")).alias("symbol"), F.coalesce("c", F.lit(0)).cast("double").alias("c"),
+        F.when(F.col("symbol").isNull(), F.col("class_c") + F.col("class_v") + 1.0).otherwise(0.0).alias("room"))
+    return together(known, texts.drop("words"), parts, run,
+                    f"block bigint, ids {kind}, train array<boolean>, lengths array<bigint>, known array<bigint>, base array<double>, "
+                    "within array<double>, codes binary, symbols array<bigint>")
+
+
+def _class(word: str) -> Column:
+    return F.crc32(F.expr(f"substring({word}, greatest(length({word}) - 2, 1), 3)")) % CLASSES
+
+
+# --------------------------------------------------------------------------- recursions
+
+class Steps:
+    """Texts side by side, longest first; token t of all of them lies together, so a step is a run of rows."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.order = np.argsort(-lengths, kind="stable")
+        ranked = lengths[self.order]
+        active = np.searchsorted(-ranked, -np.arange(ranked[0]), side="left")
+        self.edges = np.concatenate([[0], np.cumsum(active)])
+        begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])[self.order]
+        step = np.repeat(np.arange(len(active)), active)
+        rank = np.arange(self.edges[-1]) - self.edges[step]
+        self.symbols = np.concatenate(texts)[begins[rank] + step]
+
+    def parts(self) -> list[tuple[int, int]]:
+        """Runs of steps of at most TOKENS rows, or one step."""
+        out, low, last = [], 0, len(self.edges) - 1
+        while low < last:
+            high = max(low + 1, int(np.searchsorted(self.edges, self.edges[low] + TOKENS, side="right")) - 1)
+            out.append((low, high))
+            low = high
+        return out
+
+
+def _run_forward(edges: list[int], b: np.ndarray, alpha: np.ndarray | None, start: np.ndarray, move: np.ndarray):
+    """Scaled forward vectors and scales of a run of steps; ``alpha`` are those of the step before."""
+    a, scale, ones = np.empty_like(b), np.empty(len(b)), np.ones(len(start))
+    for low, high in zip(edges, edges[1:], strict=False):
+        own = a[low:high]
+        if alpha is None:
+            own[:] = start
+        else:
+            np.matmul(alpha[:high - low], move, out=own)
+        own *= b[low:high]
+        np.dot(own, ones, out=scale[low:high])
+        own /= scale[low:high, None]
+        alpha = own
+    return a, scale
+
+
+def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
+    """log10 probability of each text."""
     out = np.zeros(len(texts))
-    out[order] = total
-    return (out, flat, begins, active, alphas, scales, emitted) if keep else out
+    if not texts:
+        return out
+    steps, alpha = Steps(texts), None
+    for low, high in steps.parts():
+        edges = steps.edges[low:high + 1] - steps.edges[low]
+        a, scale = _run_forward(edges.tolist(), emit[steps.symbols[steps.edges[low]:steps.edges[high]]], alpha, start, move)
+        rank = np.arange(len(scale)) - np.repeat(edges[:-1], np.diff(edges))
+        out += np.bincount(rank, weights=np.log10(scale), minlength=len(out))
+        alpha = a[edges[-2]:].copy()
+    ordered = np.empty_like(out)
+    ordered[steps.order] = out
+    return ordered
 
 
 def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-    """Expected counts of first states, transitions and (symbol, state), and the log10 probability."""
-    total, flat, begins, active, alphas, scales, emitted = forward(texts, start, move, emit, True)
-    k = len(start)
-    moves, gammas, places = np.zeros((k, k)), [], []
-    beta = None
-    for t in range(len(alphas) - 1, -1, -1):
-        n = int(active[t])
-        full = np.ones((n, k))
-        if beta is not None:
-            m = len(beta)
-            w = emitted[t + 1] * beta / scales[t + 1][:, None]
-            moves += alphas[t][:m].T @ w
-            full[:m] = w @ move.T
-        beta = full
-        gammas.append(alphas[t] * beta), places.append(flat[begins[:n] + t])
-    gamma, place = np.concatenate(gammas), np.concatenate(places)
-    counts = np.stack([np.bincount(place, weights=gamma[:, i], minlength=len(emit)) for i in range(k)], axis=1)
-    return gammas[-1].sum(axis=0), moves * move, counts, float(total.sum())
-
-
-def chunks(codes: list[bytes]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
-    """Texts of similar length together, TOKENS tokens (or one text) at a time; with their places."""
-    order = np.argsort([-len(c) for c in codes], kind="stable")
-    part, size = [], 0
-    for i in order.tolist():
-        part.append(i)
-        size += len(codes[i]) // 4
-        if size >= TOKENS:
-            yield np.array(part), [np.frombuffer(codes[j], dtype=np.uint32) for j in part]
-            part, size = [], 0
-    if part:
-        yield np.array(part), [np.frombuffer(codes[j], dtype=np.uint32) for j in part]
-
-
-class Compact:
-    """Numbers the symbols of some texts anew, so that tables over them follow the texts and not the vocabulary."""
-
-    def __init__(self, n: int):
-        self.seen, self.number = np.zeros(n, dtype=bool), np.zeros(n, dtype=np.int64)
-
-    def __call__(self, texts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-        """The symbols that occur, and the texts as places among them."""
-        flat = np.concatenate(texts)
-        self.seen[flat] = True
-        used = np.flatnonzero(self.seen)
-        self.seen[used] = False
-        self.number[used] = np.arange(len(used))
-        return used, np.split(self.number[flat], np.cumsum([len(t) for t in texts])[:-1])
-
-
-def train(texts: DataFrame, symbols: Symbols, states: int = STATES, rounds: int = ROUNDS):
-    """(start, move, emit) after so many rounds over all texts (a column of symbols)."""
-    spark = texts.sparkSession
-    rng, symbols_n = np.random.default_rng(SEED), symbols.n
-
-    prior = np.concatenate([symbols.counts, symbols.class_counts]) + 1
-    prior /= prior.sum()
+    """Expected counts of first states, transitions and (symbol, state), and the log10 probability.
+
+    Of a run of steps only the vector before it is kept, unless it is the only one; on the way back its others are computed again.
+    """
+    k, steps = len(start), Steps(texts)
+    parts, kept, total = steps.parts(), [], 0.0
+
+    def onward(low: int, high: int, alpha: np.ndarray | None):
+        edges = steps.edges[low:high + 1] - steps.edges[low]
+        b = emit[steps.symbols[steps.edges[low]:steps.edges[high]]]
+        return edges, b, *_run_forward(edges.tolist(), b, alpha, start, move)
+
+    alpha = None
+    for low, high in parts:
+        kept.append(alpha)
+        run = onward(low, high, alpha)
+        total += float(np.log10(run[3]).sum())
+        alpha = run[2][run[0][-2]:].copy()
+    moves, counts, beta, first = np.zeros((k, k)), np.zeros((len(emit), k)), None, None
+    back = np.ascontiguousarray(move.T)
+    for (low, high), before in zip(reversed(parts), reversed(kept), strict=True):
+        edges, b, a, scale = run if len(parts) == 1 else onward(low, high, before)
+        b /= scale[:, None]                         # from here on: emission / scale, then times the backward vector
+        own = np.ones_like(a)
+        for at in range(len(edges) - 2, -1, -1):
+            at_low, at_high = edges[at], edges[at + 1]
+            if beta is not None:
+                np.matmul(beta, back, out=own[at_low:at_low + len(beta)])
+            beta = b[at_low:at_high]
+            beta *= own[at_low:at_high]
+        rank = np.arange(edges[1], len(a)) - np.repeat(edges[1:-1], np.diff(edges)[1:])
+        previous = np.repeat(edges[:-2], np.diff(edges)[1:]) + rank
+        moves += a[previous].T @ b[edges[1]:]
+        if before is not None:
+            moves += before[:edges[1]].T @ b[:edges[1]]
+        own *= a
+        place = steps.symbols[steps.edges[low]:steps.edges[high]]
+        for i in range(k):
+            counts[:, i] += np.bincount(place, weights=own[:, i], minlength=len(emit))
+        if low == 0:
+            first = own[:edges[1]].sum(axis=0)
+    return first, moves * move, counts, total
+
+
+def chunks(lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of texts of similar length, TOKENS tokens (or one text) at a time."""
+    order = np.argsort(-lengths, kind="stable")
+    size = np.cumsum(lengths[order])
+    low = 0
+    while low < len(order):
+        done = size[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(size, done + TOKENS, side="right")))
+        yield order[low:high]
+        low = high
+
+
+# --------------------------------------------------------------------------- training and scoring
+
+def _block_texts(block: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Texts, lengths and which of them are for training."""
+    lengths = block.column("lengths")[0].values.to_numpy()
+    codes = np.frombuffer(block.column("codes")[0].as_py(), dtype=np.uint32).astype(np.int64)
+    train = np.array(block.column("train")[0].values.to_pylist(), dtype=bool)
+    return np.split(codes, np.cumsum(lengths)[:-1]), lengths, train
+
+
+def _emissions(known: pa.Table, totals: np.ndarray) -> np.ndarray:
+    place = known.column("place").to_numpy()
+    emit = np.empty((len(place), len(totals)))
+    for i in range(len(totals)):
+        emit[place, i] = known.column(f"e{i}").to_numpy()
+    return emit / totals
+
+
+def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray, columns: list[str]):
+    """Expected counts of a block: a row per symbol, one per row of the transitions, one of the first states."""
+    states = len(start)
+
+    def run(known: pa.Table, block: pa.Table) -> pa.Table:
+        emit = _emissions(known, totals)
+        symbol = np.empty(len(emit), dtype=np.int64)
+        symbol[known.column("place").to_numpy()] = known.column("symbol").to_numpy()
+        all_texts, lengths, is_train = _block_texts(block)
+        first, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states))
+        own = np.flatnonzero(is_train)
+        for part in chunks(lengths[own]):
+            chosen = [all_texts[i] for i in own[part]]
+            used, place = np.unique(np.concatenate(chosen), return_inverse=True)
+            f, m, c, _ = expected(np.split(place, np.cumsum([len(t) for t in chosen])[:-1]), start, move, emit[used])
+            first += f
+            moves += m
+            counts[used] += c
+        seen = np.flatnonzero(counts.any(axis=1))
+        key = np.concatenate([symbol[seen], MOVES - np.arange(states), [FIRST]])
+        values = np.vstack([counts[seen], moves, first]).astype(np.float32)
+        return pa.table([pa.array(key), *[pa.array(np.ascontiguousarray(values[:, i])) for i in range(states)]], names=["symbol", *columns])
+
+    return run
+
+
+def train(spark: SparkSession, texts: DataFrame, symbols: DataFrame, parts: int, states: int = STATES, rounds: int = ROUNDS):
+    """(start, move, totals, emissions) after so many rounds; column i of the table (symbol, e0, ..) is divided by totals[i]."""
+    columns = [f"e{i}" for i in range(states)]
+    schema = "symbol bigint, " + ", ".join(f"{c} float" for c in columns)
     start = np.full(states, 1 / states)
     move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * (0.9 - (0.1 / max(1, states - 1)))
     move /= move.sum(axis=1, keepdims=True)
-    emit = prior[:, None] * rng.gamma(2.0, 0.5, (symbols_n, states))
-    emit /= emit.sum(axis=0)
-    columns = [f"g{i}" for i in range(states)]
+    # The first emissions differ by a factor of mean 1 that a hash of the symbol gives: half the sum of two exponential numbers.
+    draw = lambda i, j: F.log((F.pmod(F.xxhash64("name", F.lit(SEED), F.lit(i), F.lit(j)), F.lit(1 << 52)) + 0.5) / float(1 << 52))
+    emissions = materialized(symbols.select("symbol", *[(F.col("prior") * -0.5 * (draw(i, 0) + draw(i, 1))).alias(c) for i, c in enumerate(columns)]))
+    prior = symbols.select("symbol", *[(F.col("prior") * PRIOR).cast("float").alias(c) for c in columns])
+    sums = lambda table: np.array([x or 1.0 for x in table.agg(*[F.sum(c) for c in columns]).first()])
+    totals = sums(emissions)
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((start, move, emit))
-
-        def run(batches):
-            start, move, emit = shared.value
-            first, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((symbols_n, states))
-            compact = Compact(symbols_n)
-            for batch in batches:
-                for _, part in chunks(batch.column(0).to_pylist()):
-                    used, part = compact(part)
-                    f, m, c, _ = expected(part, start, move, emit[used])
-                    first += f
-                    moves += m
-                    counts[used] += c
-            at = np.flatnonzero(counts.any(axis=1))
-            key = np.concatenate([at, -1 - np.arange(states), [-1000]])
-            values = np.vstack([counts[at], moves, first])
-            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), *[pa.array(values[:, i]) for i in range(states)]], names=["key", *columns])
-
-        got = texts.mapInArrow(run, "key bigint, " + ", ".join(f"{c} double" for c in columns)).groupBy("key").agg(
-            *[F.sum(c).alias(c) for c in columns]).toArrow()                          # symbols x states
-        shared.unpersist()
-        key, values = got.column("key").to_numpy(), np.stack([got.column(c).to_numpy() for c in columns], axis=1)
-        table = dict(zip(key.tolist(), values, strict=True))
+        counts = together(_placed(texts, emissions), texts.select("block", "train", "lengths", "codes"), parts,
+                          _round(start, move, totals, columns), schema)
+        new = materialized(counts.unionByName(prior).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns]))
+        discard(emissions)
+        rest = {r["symbol"]: np.array(r[1:]) for r in new.where(F.col("symbol") <= MOVES).collect()}       # states + 1 rows
         zero = np.zeros(states)
-        start = table.get(-1000, zero) + 1.0
+        emissions = new.where(F.col("symbol") > MOVES)
+        totals = sums(emissions)
+        start = rest.get(FIRST, zero) + 1.0
         start = start / start.sum()
-        move = np.stack([table.get(-1 - i, zero) for i in range(states)]) + 1.0
+        move = np.stack([rest.get(MOVES - i, zero) for i in range(states)]) + 1.0
         move /= move.sum(axis=1, keepdims=True)
-        emit = prior[:, None] * np.full(states, PRIOR)
-        emit[key[key >= 0]] += values[key >= 0]
-        emit /= emit.sum(axis=0)
-    return start, move, emit
+    return start, move, totals, emissions
 
 
-def likelihoods(rows: DataFrame, model) -> DataFrame:
-    """``rows`` with ``path``, log10 of the probability of their symbols."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def _placed(texts: DataFrame, emissions: DataFrame) -> DataFrame:
+    """(block, place, symbol, e0, ..): what a block needs of the emissions."""
+    return texts.select("block", F.posexplode("symbols").alias("place", "symbol")).join(
+        emissions.select("symbol", *[F.col(c).cast("float").alias(c) for c in emissions.columns[1:]]), "symbol")
 
-    def run(batches):
-        start, move, emit = shared.value
-        for batch in batches:
-            codes = batch.column("symbols").to_pylist()
-            out = np.zeros(len(codes))
-            for at, part in chunks(codes):
-                out[at] = forward(part, start, move, emit)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "id", "train", "n_tokens", "n_frequent", "base")], pa.array(out)],
-                                             names=["row", "id", "train", "n_tokens", "n_frequent", "base", "path"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("row", "id", "train", "n_tokens", "n_frequent", "base", "symbols").mapInArrow(
-        run, f"row bigint, id {kind}, train boolean, n_tokens bigint, n_frequent bigint, base double, path double")
+def likelihoods(texts: DataFrame, model, parts: int) -> DataFrame:
+    """A row per text: id, train, n_tokens, n_known, base, score."""
+    start, move, totals, emissions = model
+    kind = texts.schema["ids"].dataType.elementType.simpleString()
+
+    def run(known: pa.Table, block: pa.Table) -> pa.Table:
+        emit = _emissions(known, totals)
+        all_texts, lengths, _ = _block_texts(block)
+        out = np.zeros(len(lengths))
+        for part in chunks(lengths):
+            out[part] = forward([all_texts[i] for i in part], start, move, emit)
+        values = lambda c: block.column(c)[0].values
+        return pa.table([values("ids"), values("train"), values("lengths"), values("known"), values("base"),
+                         pa.array(out + values("within").to_numpy())], names=["id", "train", "n_tokens", "n_known", "base", "score"])
+
+    return together(_placed(texts, emissions), texts.drop("symbols"), parts, run,
+                    f"id {kind}, train boolean, n_tokens bigint, n_known bigint, base double, score double")
 
 
 def language_model(docs: DataFrame, is_train: Column, id_col: str = "doc_id", text_col: str = "text", states: int = STATES,
                    rounds: int = ROUNDS) -> DataFrame:
     """Per row: id, train, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(is_train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
-    counts = materialized(word_counts(rows.where("train").select("text")))
-    sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.length("word") == 0, F.col("c"))).alias("ends")).first()
+    counts = materialized(word_counts(rows.where("train").select("text")).withColumn("symbol", F.monotonically_increasing_id()))
+    own = (F.col("c") >= LEAST_COUNT) | (F.length("word") == 0)
+    sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(own).alias("own")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
-    symbols = Symbols(frequent_words(counts), sums["ends"] or 0, total, distinct)
-    least = float(symbols.counts[1:].min()) if len(symbols.counts) > 1 else float("inf")
-    own_class = F.crc32(F.expr("substring(word, greatest(length(word) - 2, 1), 3)")) % CLASSES
-    rest = counts.where((F.length("word") > 0) & (F.col("c") < least)).withColumn("class", own_class)
-    classes = materialized(rest.groupBy("class").agg(F.sum("c").alias("class_c"), F.count(F.lit(1)).alias("class_v")))   # CLASSES rows
-    for r in classes.collect():
-        symbols.class_counts[r["class"]] = r["class_c"]
-    coded = materialized(encoded(rows, symbols).withColumn("row", F.monotonically_increasing_id()))
-    model = train(coded.where("train").select("symbols"), symbols, states, rounds)
-
-    # Words within classes: counts by a join on the word, then sums per text.
-    rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
-    found = (rare.join(rest.select("word", "c"), "word", "left").withColumn("c", F.coalesce("c", F.lit(0))).withColumn("class", own_class)
-             .join(F.broadcast(classes), "class", "left"))
-    room = F.coalesce(F.col("class_c"), F.lit(0)) + F.coalesce(F.col("class_v"), F.lit(0)) + 1
-    of_text = found.groupBy("row").agg(
-        F.sum(F.col("n") * F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))).alias("rare_base"),
-        F.sum(F.col("n") * F.log10((F.col("c") + 1) / room)).alias("rare_path"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return likelihoods(coded, model).join(of_text, "row", "left").select(
-        F.col("id").alias(id_col), "train", "n_tokens", (F.col("n_frequent") + zero("rare_known")).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + zero("rare_base")).alias("base_score"),
-        (F.col("path") + zero("rare_path")).alias("score"))
+    classes = materialized(counts.where(~own).groupBy(_class("word").alias("class")).agg(F.sum("c").alias("class_c"), F.count(F.lit(1)).alias("class_v")))
+    everyone = spark.range(CLASSES).select(F.col("id").alias("class")).join(F.broadcast(classes), "class", "left").na.fill(0)   # CLASSES rows
+    prior = (F.col("c") + 1) / F.lit(float(total + sums["own"] + CLASSES))
+    symbols = materialized(counts.where(own).select("symbol", F.col("word").alias("name"), prior.alias("prior")).unionByName(
+        everyone.select((-1 - F.col("class")).alias("symbol"), F.concat(F.lit(" "), F.col("class").cast("string")).cast("binary").alias("name"),
+                        F.col("class_c").alias("c")).select("symbol", "name", prior.alias("prior"))))
+    words = counts.select("word", "c", F.when(own, F.col("symbol")).alias("symbol"))
+    raw = materialized(blocks(rows))
+    parts = max(1, min(2 * raw.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    texts = materialized(coded(raw, words, everyone, total, distinct, parts))
+    discard(raw)
+    model = train(spark, texts, symbols, parts, states, rounds)
+    return likelihoods(texts, model, parts).select(
+        F.col("id").alias(id_col), "train", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
+        F.col("base").alias("base_score"), "score")

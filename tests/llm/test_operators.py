@@ -245,15 +245,41 @@ def test_language_model(spark, sf, nothing):
     assert hmm.language_model(nothing, F.lit(True), rounds=1).count() == 0
 
 
-def test_every_repeated_word_has_a_symbol(spark):
-    n = 70_000
-    counts = spark.range(n).select(F.concat(F.lit("w"), F.col("id").cast("string")).cast("binary").alias("word"), F.lit(3).cast("bigint").alias("c"))
-    words = hmm.frequent_words(counts)
-    assert len(words) == n
-    symbols = hmm.Symbols(words, 1, 3 * n + 1, n + 1)
-    text = " ".join(w.decode() for w, _ in words)
-    row = hmm.encoded(spark.createDataFrame([(1, True, text)], "id long, train boolean, text string"), symbols).first()
-    assert np.frombuffer(row["symbols"], np.uint32).tolist() == [*range(1, n + 1), 0] and row["rare"] == []
+def test_baum_welch_step_against_enumeration(monkeypatch):
+    rng = np.random.default_rng(2)
+    start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
+    texts = [np.array(t) for t in ([3], [1, 2, 3, 0], [4, 4, 0, 1, 2, 2], [2, 0])]
+    first, moves, counts, total = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)), 0.0
+    for t in texts:
+        paths = list(itertools.product(range(3), repeat=len(t)))
+        p = np.array([start[q[0]] * emit[t[0], q[0]] * np.prod([move[a, b] * emit[x, b] for a, b, x in zip(q, q[1:], t[1:], strict=False)]) for q in paths])
+        total += np.log10(p.sum())
+        for q, w in zip(paths, p / p.sum(), strict=True):
+            first[q[0]] += w
+            for x, i in zip(t, q, strict=True):
+                counts[x, i] += w
+            for i, j in zip(q, q[1:], strict=False):
+                moves[i, j] += w
+    for limit in (hmm.TOKENS, 4, 1):               # also with vectors computed again on the way back
+        monkeypatch.setattr(hmm, "TOKENS", limit)
+        got = hmm.expected(texts, start, move, emit)
+        for have, want in zip(got, (first, moves, counts, total), strict=True):
+            assert np.allclose(have, want)
+        assert hmm.forward(texts, start, move, emit).sum() == pytest.approx(total)
+    # A step never lowers the likelihood.
+    a, b, c = first / first.sum(), moves / moves.sum(axis=1, keepdims=True), counts / counts.sum(axis=0)
+    assert hmm.expected(texts, a, b, c)[3] > total
+
+
+def test_blocks_do_not_change_scores(spark, odd, monkeypatch):
+    """Odd rows; a symbol for every word seen three times, whatever the blocks."""
+    def scores():
+        return sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 3), round(r["score"], 2))
+                      for r in hmm.language_model(odd, F.col("doc_id") != 7, rounds=2).collect())
+    whole = scores()
+    assert len(whole) == odd.count() and all(s[4] <= 0 for s in whole)
+    monkeypatch.setattr(hmm, "BLOCK", 3)
+    assert scores() == whole
 
 
 # --------------------------------------------------------------------------- 6
