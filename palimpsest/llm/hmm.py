@@ -188,7 +188,8 @@ class Steps:
 
 def _run_forward(edges: list[int], b: np.ndarray, alpha: np.ndarray | None, start: np.ndarray, move: np.ndarray):
     """Scaled forward vectors and scales of a run of steps; ``alpha`` are those of the step before."""
-    a, scale, ones = np.empty_like(b), np.empty(len(b)), np.ones(len(start))
+    start, move = start.astype(b.dtype), move.astype(b.dtype)
+    a, scale, ones = np.empty_like(b), np.empty(len(b), b.dtype), np.ones(len(start), b.dtype)
     for low, high in zip(edges, edges[1:], strict=False):
         own = a[low:high]
         if alpha is None:
@@ -212,7 +213,7 @@ def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
         edges = steps.edges[low:high + 1] - steps.edges[low]
         a, scale = _run_forward(edges.tolist(), emit[steps.symbols[steps.edges[low]:steps.edges[high]]], alpha, start, move)
         rank = np.arange(len(scale)) - np.repeat(edges[:-1], np.diff(edges))
-        out += np.bincount(rank, weights=np.log10(scale), minlength=len(out))
+        out += np.bincount(rank, weights=np.log10(scale, dtype=np.float64), minlength=len(out))
         alpha = a[edges[-2]:].copy()
     ordered = np.empty_like(out)
     ordered[steps.order] = out
@@ -236,10 +237,10 @@ def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
     for low, high in parts:
         kept.append(alpha)
         run = onward(low, high, alpha)
-        total += float(np.log10(run[3]).sum())
+        total += float(np.log10(run[3], dtype=np.float64).sum())
         alpha = run[2][run[0][-2]:].copy()
     moves, counts, beta, first = np.zeros((k, k)), np.zeros((len(emit), k)), None, None
-    back = np.ascontiguousarray(move.T)
+    back = np.ascontiguousarray(move.T, dtype=emit.dtype)
     for (low, high), before in zip(reversed(parts), reversed(kept), strict=True):
         edges, b, a, scale = run if len(parts) == 1 else onward(low, high, before)
         b /= scale[:, None]                         # from here on: emission / scale, then times the backward vector
@@ -286,12 +287,12 @@ def _block_texts(block: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndar
     return np.split(codes, np.cumsum(lengths)[:-1]), lengths, train
 
 
-def _emissions(known: pa.Table, totals: np.ndarray) -> np.ndarray:
+def _emissions(known: pa.Table, totals: np.ndarray, kind=np.float64) -> np.ndarray:
     place = known.column("place").to_numpy()
-    emit = np.empty((len(place), len(totals)))
+    emit = np.empty((len(place), len(totals)), dtype=kind)
     for i in range(len(totals)):
         emit[place, i] = known.column(f"e{i}").to_numpy()
-    return emit / totals
+    return emit / totals.astype(kind)
 
 
 def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray, columns: list[str]):
@@ -299,7 +300,7 @@ def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray, columns: lis
     states = len(start)
 
     def run(known: pa.Table, block: pa.Table) -> pa.Table:
-        emit = _emissions(known, totals)
+        emit = _emissions(known, totals, np.float32)         # counts need no more; scores are taken in double precision
         symbol = np.empty(len(emit), dtype=np.int64)
         symbol[known.column("place").to_numpy()] = known.column("symbol").to_numpy()
         all_texts, lengths, is_train = _block_texts(block)
@@ -307,8 +308,10 @@ def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray, columns: lis
         own = np.flatnonzero(is_train)
         for part in chunks(lengths[own]):
             chosen = [all_texts[i] for i in own[part]]
-            used, place = np.unique(np.concatenate(chosen), return_inverse=True)
-            f, m, c, _ = expected(np.split(place, np.cumsum([len(t) for t in chosen])[:-1]), start, move, emit[used])
+            flat, here = np.concatenate(chosen), np.zeros(len(emit), dtype=bool)
+            here[flat] = True
+            used, place = np.flatnonzero(here), np.cumsum(here) - 1
+            f, m, c, _ = expected(np.split(place[flat], np.cumsum([len(t) for t in chosen])[:-1]), start, move, emit[used])
             first += f
             moves += m
             counts[used] += c
