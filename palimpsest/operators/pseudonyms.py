@@ -29,23 +29,34 @@ def first_appearances(values: DataFrame, order: list[str]) -> DataFrame:
 
 
 def assign_ordinals(values: DataFrame, order: list[str], salt: str = "",
-                    keep_values: bool = False) -> DataFrame:
+                    keep_values: bool = False, known: DataFrame | None = None) -> DataFrame:
     """``dictionary(category, digest, ordinal, token, placeholder, n)``.
 
     ``token`` is what the row-local pass wrote (without the closing bracket),
     ``placeholder`` what it becomes.  Values that contain placeholders of
     earlier rules are digested with those placeholders in their final form.
+    With a dictionary of ``known`` values only new ones come back, numbered
+    after those of their category.
     """
-    ranks = ranked(first_appearances(values, order), ["category"], ["first"], "ordinal")
-    entries = checkpointed(ranks.select(
-        "category", "value", "ordinal", "n",
-        F.concat(F.lit("["), F.upper("category"), F.lit(f":{NO_ORDINAL}:"), digest(F.col("value"), salt)).alias("token")))
+    firsts = first_appearances(values, order).withColumn(
+        "token", F.concat(F.lit("["), F.upper("category"), F.lit(f":{NO_ORDINAL}:"), digest(F.col("value"), salt)))
+    if known is not None:
+        firsts = firsts.join(known.select("token"), "token", "left_anti")
+    ranks = ranked(firsts, ["category"], ["first"], "ordinal")
+    if known is not None:
+        highest = known.groupBy("category").agg(F.max("ordinal").alias("_highest"))        # a row per category of the rules
+        ranks = (ranks.join(F.broadcast(highest), "category", "left")
+                 .withColumn("ordinal", F.col("ordinal") + F.coalesce("_highest", F.lit(0))))
+    entries = checkpointed(ranks.select("category", "value", "ordinal", "n", "token"))
     done = _finished(entries.where(~F.col("value").rlike(OPEN_PLACEHOLDER)), "value", salt)
     waiting = entries.where(F.col("value").rlike(OPEN_PLACEHOLDER))
     # A value can only hold placeholders of earlier rules, so depth is bounded
     # by the number of stable rules; most corpora need no round at all.
     while not waiting.isEmpty():
-        numbered = number_placeholders(waiting.withColumn("final", F.col("value")), ["token"], "final", done)
+        names = done.select("token", "placeholder")
+        if known is not None:
+            names = names.unionByName(known.select("token", "placeholder"))
+        numbered = number_placeholders(waiting.withColumn("final", F.col("value")), ["token"], "final", names)
         numbered = checkpointed(numbered)
         missing = F.col("final").rlike(OPEN_PLACEHOLDER)
         ready = numbered.where(~missing)

@@ -1,9 +1,8 @@
 """The row-local operators on streams.
 
 Redaction, field handling, candidate selection and the leftover scan need one
-row at a time, so they take streaming DataFrames as they are.  Corpus ordinals
-need the whole corpus and stay a batch step; streamed placeholders carry the
-digest only.
+row at a time, so they take streaming DataFrames as they are.  Their
+placeholders carry the digest only; ``streaming.ordinals`` numbers them.
 """
 
 from __future__ import annotations

@@ -18,6 +18,7 @@ from palimpsest.policy import Policy
 from palimpsest.session import materialized, new_folder, spread
 from palimpsest.sources.logs import read_event_logs
 from palimpsest.sources.tree import write_tree
+from palimpsest.streaming import ordinals
 from pyspark.sql import types as T
 from workload.canaries import CANARIES, canary_text, planted_hits, planted_text
 from workload.re2 import allowed_sql, chain, host_sql, placeholder_sql, quote, re2, weave_sql
@@ -239,6 +240,18 @@ def assign_ordinals(spark, sf):
     return _canary_dictionary(_canary_pass(spark, sf)).select("category", "digest", "ordinal", "n")
 
 
+@query(f"WITH {_DICTIONARY} SELECT category, digest, ordinal FROM dict")
+def stream_ordinals(spark, sf):
+    """Two runs of one stream, the second over what came later: the numbers are those of the whole."""
+    source, folder = materialized(canaries(spark, sf)), new_folder(spark, "stream")
+    middle = source.agg(F.avg("event_id")).first()[0] or 0
+    for rows in (source.where(F.col("event_id") <= middle), source.where(F.col("event_id") > middle)):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(source.schema).parquet(f"{folder}/in")
+        ordinals.number_stream(stream, "text", POLICY, ["event_id"], folder).awaitTermination()
+    return ordinals.dictionary(spark, folder).select("category", "digest", "ordinal")
+
+
 @query(f"WITH {_DICTIONARY} SELECT category, CAST(count(*) AS BIGINT) AS n FROM dict GROUP BY category")
 def distinct_counts(spark, sf):
     return pseudonyms.distinct_counts(_canary_dictionary(_canary_pass(spark, sf)))
