@@ -1,8 +1,11 @@
 """Toxicity by the nearest labelled examples.
 
 Learning.  Of labelled training texts the terms that tell the labels apart are
-kept (chi-squared of at least ``LEAST_CHI`` and ``LEAST_LIFT`` times as frequent
-with one label; the ``TERMS`` strongest at most).  Inverse document frequencies
+kept: those ``LEAST_LIFT`` times as frequent with one label whose counts chance
+would hardly give.  The limit is relative to the table: chance is to pass
+``FALSE_TERMS`` terms at most, among those frequent enough to pass at all (see
+:func:`least_evidence`); a handful of labelled rows can do.  The ``TERMS``
+strongest are the most that are kept.  Inverse document frequencies
 count all documents.  Examples are a sample of at most ``EXAMPLES`` distinct
 vectors per label over such terms, drawn by a hash of the vector and weighted
 with the training texts that have it; the index is therefore bounded and
@@ -26,6 +29,7 @@ that are null are none.  Columns beside those named are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -39,7 +43,9 @@ from pyspark.sql import functions as F
 from palimpsest.llm.files import maybe_in
 from palimpsest.session import materialized
 
-TERMS, LEAST_CHI, LEAST_LIFT = 4096, 40.0, 3.0
+TERMS, FALSE_TERMS, LEAST_LIFT = 4096, 1.0, 3.0
+#: Supports that are counted apart when the limit is set; higher ones count together.
+SUPPORTS = 4096
 #: The bound of the labelled sample: so many examples of either label.
 EXAMPLES = 4096
 NEIGHBOURS, BLOCK = 15, 64
@@ -86,12 +92,32 @@ def term_counts(train: DataFrame) -> DataFrame:
     return train.mapInArrow(run, "term string, n0 bigint, n1 bigint").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
+def least_evidence(supports: dict[int, int], share: float) -> float:
+    """Evidence (natural logarithms) from which a term counts, so that chance passes FALSE_TERMS terms at most.
+
+    ``supports`` says how many terms are in so many texts; ``share`` is that of the rarer label.  A term in m texts has at most the
+    evidence of m texts of that label, so terms that cannot reach the limit need no allowance (Tarone's correction).
+    """
+    left, below = sum(supports.values()), 0.0
+    for m in sorted(supports):
+        reach = m * -math.log(share)
+        if reach >= math.log(left / FALSE_TERMS):
+            return max(below + 1e-6, math.log(left / FALSE_TERMS))           # out of reach for those not counted
+        left, below = left - supports[m], reach
+    return math.inf
+
+
 def telling_terms(train: DataFrame, n0: int, n1: int) -> list[str]:
-    a, b, n = F.col("n1").cast("double"), F.col("n0").cast("double"), float(n0 + n1)
-    chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (F.lit(float(n0)) * n1 * (a + b) * (n - a - b + 1e-9))
+    counts = materialized(term_counts(train))
+    support = F.least(F.col("n0") + F.col("n1"), F.lit(SUPPORTS)).alias("m")
+    supports = {r["m"]: r["count"] for r in counts.groupBy(support).count().collect()}                       # SUPPORTS rows at most
+    a, b, q = F.col("n1").cast("double"), F.col("n0").cast("double"), n1 / (n0 + n1)
+    # Chernoff's bound of the chance that of a + b texts so many have one label.
+    part = lambda x, p: F.when(x > 0, x * F.log(x / ((a + b) * p))).otherwise(0.0)
     lift = F.greatest(a * n0 / (b * n1 + 1e-9), b * n1 / (a * n0 + 1e-9))
-    best = term_counts(train).withColumn("chi", chi).where((F.col("chi") >= LEAST_CHI) & (lift >= LEAST_LIFT))
-    return [r["term"] for r in best.orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect()]
+    best = counts.withColumn("evidence", part(a, q) + part(b, 1 - q)).where(
+        (F.col("evidence") >= least_evidence(supports, min(q, 1 - q)) - 1e-9) & (lift >= LEAST_LIFT))
+    return [r["term"] for r in best.orderBy(F.desc("evidence"), "term").limit(TERMS).select("term").collect()]
 
 
 def document_frequencies(docs: DataFrame, text_col: str, vocabulary: list[str]) -> tuple[np.ndarray, int]:

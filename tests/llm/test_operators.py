@@ -216,6 +216,20 @@ def _normal(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
 
 
+def test_term_limit_follows_the_table(spark):
+    """A brute-force Tarone limit, and telling words that a handful of labelled texts give."""
+    rng = np.random.default_rng(4)
+    for share in (0.05, 0.3, 0.5):
+        of = Counter(rng.geometric(0.2, 500).tolist())
+        least = toxicity.least_evidence(of, share)
+        fits = [x for x in np.arange(0, 60, 1e-3) if toxicity.FALSE_TERMS * np.exp(x) >= sum(n for m, n in of.items() if m * -np.log(share) >= x)]
+        assert least == pytest.approx(fits[0], abs=2e-3)
+    assert toxicity.least_evidence({}, 0.5) == float("inf")
+    texts = [(f"w{i} w{i + 1} common", 0) for i in range(30)] + [(f"w{i} nasty common", 1) for i in range(6)]
+    train = spark.createDataFrame(texts, "text string, label int")
+    assert toxicity.telling_terms(train, 30, 6) == ["nasty"]
+
+
 # --------------------------------------------------------------------------- 5
 
 def test_forward_is_exact():
