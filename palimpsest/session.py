@@ -43,15 +43,31 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a table that arrives in fewer pieces than there are cores.
+#: Rows of a task that redacts, a minute of work at most: rows of the larger tables take up to a millisecond.
+ROWS_PER_TASK = 50_000
 
-    Redaction is bound by CPU, so one small file is worth a shuffle; tables of
-    many files come back as they are.
-    """
+
+def _pieces(rows: int) -> int:
+    return -(-rows // ROWS_PER_TASK)
+
+
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """Deal about ``rows`` rows evenly, for work that is bound by CPU: the number of tasks grows with the rows."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     # Several pieces per core even out rows of very different length.
-    return df.repartition(4 * cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(4 * cores, _pieces(rows)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a stored table that arrives in too few pieces for its rows or for the cores.
+
+    Redaction is bound by CPU, so a file is worth a shuffle: compressed rows are
+    short, and a split of a file holds whole row groups, so pieces by size may
+    hold a million rows each, or none.  Rows are counted from the files' footers.
+    Tables of many files come back as they are.
+    """
+    cores, rows = df.sparkSession.sparkContext.defaultParallelism, df.count()
+    return dealt(df, rows) if df.rdd.getNumPartitions() < max(cores, _pieces(rows)) else df
 
 
 def local_session(cores: int | str = "*", name: str = "palimpsest", **settings) -> SparkSession:
