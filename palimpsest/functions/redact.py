@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from palimpsest.functions.expr import apply_sql, sql_text
-from palimpsest.functions.rules import Rule, active_rules, redaction_rules
+from palimpsest.functions.rules import Rule, active_rules, redaction_rules, word_literals
 from palimpsest.functions.urls import allowed_sql
 from palimpsest.policy import Policy
 
@@ -52,8 +52,26 @@ def _replaced_sql(rule: Rule, policy: Policy, text: str) -> str:
 
 
 def _fold_sql(rules, step, otherwise: str = "acc") -> str:
-    cases = " ".join(f"WHEN {r.ordinal} THEN {step(r)}" for r in rules)
-    return f"(acc, no) -> CASE no {cases} ELSE {otherwise} END"
+    def choice(some) -> str:
+        """Halving: a chain of cases would compare a late rule's number with all before it."""
+        if len(some) > 3:
+            middle = len(some) // 2
+            return f"if(no < {some[middle].ordinal}, {choice(some[:middle])}, {choice(some[middle:])})"
+        cases = " ".join(f"WHEN {r.ordinal} THEN {step(r)}" for r in some)
+        return f"CASE no {cases} ELSE {otherwise} END"
+    rules = sorted(rules, key=lambda r: r.ordinal)
+    return f"(acc, no) -> {choice(rules) if rules else otherwise}"
+
+
+def _worth(text: Column, rules: list[Rule], active: Column) -> Column:
+    """The rules of a row's guard, none for a plain word in which no rule can find anything (most JSON keys are)."""
+    words = word_literals(rules)
+    if words is None:
+        return active
+    plain = ~text.rlike("[^A-Za-z_]")
+    if words:
+        plain = plain & ~text.rlike("(?i)" + "|".join(words))
+    return F.when(plain, F.array().cast("array<int>")).otherwise(active)
 
 
 def redacted(text: Column, policy: Policy, rules: list[Rule] | None = None,
@@ -65,7 +83,7 @@ def redacted(text: Column, policy: Policy, rules: list[Rule] | None = None,
     """
     rules = redaction_rules(policy) if rules is None else rules
     fold = _fold_sql(rules, lambda r: _replaced_sql(r, policy, "acc"))
-    return F.call_function("aggregate", active_rules(text, rules) if active is None else active, text, F.expr(fold))
+    return F.call_function("aggregate", active_rules(text, rules) if active is None else _worth(text, rules, active), text, F.expr(fold))
 
 
 def redacted_with_hits(text: Column, policy: Policy, rules: list[Rule] | None = None,
@@ -87,7 +105,7 @@ def redacted_with_hits(text: Column, policy: Policy, rules: list[Rule] | None =
                 f"'category', {sql_text(rule.category)}, 'n', cast(size(f) AS bigint), 'values', {values})))) END)[0]")
 
     start = F.struct(text.alias("text"), F.array().cast(HITS_TYPE).alias("hits"))
-    return F.call_function("aggregate", active_rules(text, rules) if active is None else active,
+    return F.call_function("aggregate", active_rules(text, rules) if active is None else _worth(text, rules, active),
                            start, F.expr(_fold_sql(rules, step)))
 
 

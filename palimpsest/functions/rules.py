@@ -317,6 +317,21 @@ def active_rules(text: Column, rules: list[Rule]) -> Column:
     return apply_sql(apply_sql(text, view), _active_sql(tuple(_hashable(r) for r in rules)))
 
 
+def word_literals(rules: list[Rule]) -> list[str] | None:
+    """What a text of ASCII letters and underscores must hold, in any case, for one of the rules to match; None if that is unknown.
+
+    Guards that are expressions need a digit or another mark, so their rules never match such a text.
+    """
+    found = set()
+    for rule in rules:
+        clauses = [[x for x in arg if re.fullmatch("[A-Za-z_]+", x)] if kind in ("has", "low") else [] for kind, arg in rule.guard]
+        if not clauses:
+            return None
+        if all(clauses):
+            found.update(x.lower() for x in clauses[0])
+    return sorted(found)
+
+
 def _hashable(rule: Rule) -> Rule:
     return replace(rule, guard=tuple((k, tuple(x) if isinstance(x, list) else x) for k, x in rule.guard))
 
