@@ -52,7 +52,7 @@ PARITY = 512
 #: Documents from whose coordinates the order of rarity is taken.  Any order gives the same result.
 ORDER_SAMPLE = 20_000
 #: Shingles hashed at a time, words kept in a worker's table.
-CHUNK, KNOWN_WORDS = 1 << 14, 1 << 20
+CHUNK, KNOWN_WORDS = 1 << 14, 1 << 17
 
 _RNG = np.random.default_rng(8)
 _MULTIPLY = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -37,8 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 BLANK = "▁"
-#: Characters of words kept in a task's table; characters of text encoded between two batches of results.
-KNOWN_CHARS, SLICE = 1 << 22, 1 << 20
+#: Characters of words kept in a task's table (some 35 bytes each, with all that is known of the word); characters of text encoded
+#: between two batches of results.
+KNOWN_CHARS, SLICE = 1 << 20, 1 << 20
 #: Spreads the keys of the trie's steps.
 _SPREAD = 0x9E3779B97F4A7C15
 #: Words up to this length are searched together, so many characters at a time; longer ones by themselves.
@@ -392,6 +393,8 @@ def encode(df: DataFrame, text_col: str, vocabulary: Vocabulary, n: int = 1, out
                     encoder.learn(words)
                     yield made(batch, low, at + 1, [None if t is None else encoder.encode(t, w) for t, w in zip(texts, words, strict=True)])
                     texts, low, size = [], at + 1, 0
+            if batch.num_rows:
+                del batch, column, text, words           # or they stay until the next batch has been read
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out)
     return df.mapInArrow(run, f"{schema}, `{out}` array<struct<score: double, ids: array<int>>>")
