@@ -8,11 +8,15 @@ the probability (c + 1) / (C + V + 1), from the counts c of the word, C of the
 class and its V distinct words in the training texts; the + 1 leaves room for
 unseen words.  Every count comes from all training texts.
 
-Emissions are a table, one row per symbol; neither the driver nor a broadcast
-ever holds the vocabulary.  Texts lie in blocks of about ``BLOCK`` tokens, and a
-block numbers its own symbols.  A round of Baum-Welch joins the emissions to the
-symbols of each block, runs the scaled forward and backward recursions there,
-and adds the expected counts per symbol with one aggregation.  Only states x
+Emissions are a table; neither the driver nor a broadcast ever holds the
+vocabulary.  A row of it is a shard, the matrix of some thousand symbols, and a
+symbol is a slot in its shard, so what travels are arrays of slots and of
+numbers, not rows of single symbols.  Texts lie in blocks of about ``BLOCK``
+tokens, and a block numbers its own symbols in the order of shards and slots.  A
+round of Baum-Welch sends each block its part of every shard, runs the scaled
+forward and backward recursions there, and adds the expected counts shard by
+shard.  It does so for one of ``PASSES`` parts of the blocks after another, so
+the shuffle files of one part only lie on the disks at a time.  Only states x
 states numbers pass through the driver.  Scoring is the scaled forward recursion
 alone, which is exact.
 
@@ -28,10 +32,11 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.session import discard, materialized
@@ -44,8 +49,12 @@ LEAST_COUNT = 3
 #: Words a task counts before it passes them on; tokens of a block; tokens that are run through the recursions at a time.
 FLUSH, BLOCK, TOKENS = 1 << 19, 2_000_000, 400_000
 END = b""
-#: Keys of what is not an emission: row i of the transitions is MOVES - i.
-MOVES, FIRST = -1_000_000, -2_000_000
+#: Parts of the blocks that a round, like the coding and the scoring, takes one after another.
+PASSES = 3
+#: Distinct words of all blocks that ask one shard; symbols are shard << SLOT_BITS | slot, those of classes lie in negative shards.
+SHARD_PLACES, SLOT_BITS, CLASS_SLOTS = 1 << 19, 33, 64
+#: The shard of what is not an emission: a row per state of the transitions, then the first states.
+MOVES = -1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -57,8 +66,8 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, c) of a column of texts; the end is the empty word."""
+def word_counts(texts: DataFrame, shards: int) -> DataFrame:
+    """(word, c) of a column of texts, in so many partitions; the end is the empty word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counter()
 
@@ -75,7 +84,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
             counts[END] += batch.num_rows
         yield out()
 
-    return texts.mapInArrow(run, "word binary, c bigint").where("c > 0").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(run, "word binary, c bigint").where("c > 0").repartition(shards, "word").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 # --------------------------------------------------------------------------- blocks
@@ -86,7 +95,7 @@ def _listed(values: pa.Array) -> pa.ListArray:
 
 
 def blocks(rows: DataFrame) -> DataFrame:
-    """(block, ids, train, lengths, codes, words): texts of a split, as places in the list of the block's distinct words; the end is place 0."""
+    """(block, ids, train, lengths, codes, words, distinct): texts of a split, as places in the list of the block's distinct words; the end is place 0."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,8 +104,8 @@ def blocks(rows: DataFrame) -> DataFrame:
         def out():
             return pa.RecordBatch.from_arrays(
                 [_listed(pa.concat_arrays(ids)), _listed(pa.array(train, pa.bool_())), _listed(pa.array(lengths, pa.int64())),
-                 pa.array([b"".join(codes)], pa.binary()), _listed(pa.array(list(number), pa.binary()))],
-                names=["ids", "train", "lengths", "codes", "words"])
+                 pa.array([b"".join(codes)], pa.binary()), _listed(pa.array(list(number), pa.binary())), pa.array([len(number)], pa.int64())],
+                names=["ids", "train", "lengths", "codes", "words", "distinct"])
 
         for batch in batches:
             column = batch.column("id")
@@ -112,7 +121,7 @@ def blocks(rows: DataFrame) -> DataFrame:
         if size:
             yield out()
 
-    return rows.mapInArrow(run, f"ids array<{kind}>, train array<boolean>, lengths array<bigint>, codes binary, words array<binary>").withColumn(
+    return rows.mapInArrow(run, f"ids array<{kind}>, train array<boolean>, lengths array<bigint>, codes binary, words array<binary>, distinct bigint").withColumn(
         "block", F.monotonically_increasing_id())
 
 
@@ -124,9 +133,9 @@ def together(left: DataFrame, right: DataFrame, parts: int, run, schema: str) ->
 
 
 def coded(texts: DataFrame, words: DataFrame, classes: DataFrame, total: int, distinct: int, parts: int) -> DataFrame:
-    """Blocks whose texts are places in the list ``symbols`` of the block, with what only words tell of each text.
+    """Blocks whose texts are places in the block's list of symbols, with what only words tell of each text.
 
-    ``words`` are (word, c, symbol), without a symbol for words within classes.  ``base`` is log10 of the base model; ``within`` log10 of the rare words within their classes.
+    The list is ``slots``, in shard ``shards[i]`` up to place ``edges[i]``.  ``words`` are (word, c, symbol), without a symbol for words within classes.  ``base`` is log10 of the base model; ``within`` log10 of the rare words within their classes.
     """
     kind = texts.schema["ids"].dataType.simpleString()
 
@@ -141,25 +150,31 @@ def coded(texts: DataFrame, words: DataFrame, classes: DataFrame, total: int, di
         codes = np.frombuffer(block.column("codes")[0].as_py(), dtype=np.uint32)
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         symbols, own = np.unique(symbol, return_inverse=True)
+        shards, counts = np.unique(symbols >> SLOT_BITS, return_counts=True)
         of_text = lambda x: np.add.reduceat(x[codes], starts)
         return pa.table([block.column("block"), block.column("ids"), block.column("train"), block.column("lengths"),
                          _listed(pa.array(of_text((c > 0).astype(np.int64)))), _listed(pa.array(of_text(base))), _listed(pa.array(of_text(within))),
-                         pa.array([own.astype(np.uint32)[codes].tobytes()], pa.binary()), _listed(pa.array(symbols))],
-                        names=["block", "ids", "train", "lengths", "known", "base", "within", "codes", "symbols"])
+                         pa.array([own.astype(np.uint32)[codes].tobytes()], pa.binary()), _listed(pa.array(shards)), _listed(pa.array(np.cumsum(counts))),
+                         pa.array([(symbols & ((1 << SLOT_BITS) - 1)).astype(np.uint32).tobytes()], pa.binary())],
+                        names=["block", "ids", "train", "lengths", "known", "base", "within", "codes", "shards", "edges", "slots"])
 
     places = texts.select("block", F.posexplode("words").alias("place", "word")).join(words, "word", "left").withColumn("class", _class("word"))
     known = places.join(F.broadcast(classes), "class").select(
-        "block", "place", F.coalesce("symbol", -1 - F.col("class")).alias("symbol"), F.coalesce("c", F.lit(0)).cast("double").alias("c"),
+        "block", "place", F.coalesce("symbol", _class_symbol()).alias("symbol"), F.coalesce("c", F.lit(0)).cast("double").alias("c"),
         F.when(F.col("symbol").isNull(), F.col("class_c") + F.col("class_v") + 1.0).otherwise(0.0).alias("room"))
-    return together(known, texts.drop("words"), parts, run,
+    return together(known, texts.drop("words", "distinct"), parts, run,
                     f"block bigint, ids {kind}, train array<boolean>, lengths array<bigint>, known array<bigint>, base array<double>, "
-                    "within array<double>, codes binary, symbols array<bigint>")
+                    "within array<double>, codes binary, shards array<bigint>, edges array<bigint>, slots binary")
 
 
 def _class(word: str) -> Column:
     return F.crc32(F.expr(f"substring({word}, greatest(length({word}) - 2, 1), 3)")) % CLASSES
 
 
+def _class_symbol() -> Column:
+    return F.expr(f"shiftleft(-1 - class div {CLASS_SLOTS}, {SLOT_BITS}) + class % {CLASS_SLOTS}")
+
+
 # --------------------------------------------------------------------------- recursions
 
 class Steps:
@@ -288,21 +303,19 @@ def _block_texts(block: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndar
 
 
 def _emissions(known: pa.Table, totals: np.ndarray, kind=np.float64) -> np.ndarray:
-    place = known.column("place").to_numpy()
-    emit = np.empty((len(place), len(totals)), dtype=kind)
-    for i in range(len(totals)):
-        emit[place, i] = known.column(f"e{i}").to_numpy()
+    """A row for each of the block's symbols."""
+    order = np.argsort(known.column("shard").to_numpy())
+    values = known.column("data").to_pylist()
+    emit = np.frombuffer(b"".join([values[i] for i in order]), dtype=np.float32).reshape(-1, len(totals)).astype(kind)
     return emit / totals.astype(kind)
 
 
-def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray, columns: list[str]):
-    """Expected counts of a block: a row per symbol, one per row of the transitions, one of the first states."""
+def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray):
+    """Expected counts of a block: (shard, slots, values), and those of transitions and first states as the shard ``MOVES``."""
     states = len(start)
 
     def run(known: pa.Table, block: pa.Table) -> pa.Table:
         emit = _emissions(known, totals, np.float32)         # counts need no more; scores are taken in double precision
-        symbol = np.empty(len(emit), dtype=np.int64)
-        symbol[known.column("place").to_numpy()] = known.column("symbol").to_numpy()
         all_texts, lengths, is_train = _block_texts(block)
         first, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states))
         own = np.flatnonzero(is_train)
@@ -315,47 +328,140 @@ def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray, columns: lis
             first += f
             moves += m
             counts[used] += c
-        seen = np.flatnonzero(counts.any(axis=1))
-        key = np.concatenate([symbol[seen], MOVES - np.arange(states), [FIRST]])
-        values = np.vstack([counts[seen], moves, first]).astype(np.float32)
-        return pa.table([pa.array(key), *[pa.array(np.ascontiguousarray(values[:, i])) for i in range(states)]], names=["symbol", *columns])
+        shards, slots, values = [MOVES], [np.arange(states + 1, dtype=np.uint32)], [np.vstack([moves, first])]
+        for shard, low, high, of_shard in _shards(block, 0):
+            seen = np.flatnonzero(counts[low:high].any(axis=1))
+            if len(seen):
+                shards.append(shard), slots.append(of_shard[seen]), values.append(counts[low:high][seen])
+        return pa.table([pa.array(shards, pa.int64()), pa.array([x.tobytes() for x in slots], pa.binary()),
+                         pa.array([x.astype(np.float32).tobytes() for x in values], pa.binary())], names=["shard", "slots", "values"])
 
     return run
 
 
-def train(spark: SparkSession, texts: DataFrame, symbols: DataFrame, parts: int, states: int = STATES, rounds: int = ROUNDS):
-    """(start, move, totals, emissions) after so many rounds; column i of the table (symbol, e0, ..) is divided by totals[i]."""
+def _shards(blocks: pa.Table | pa.RecordBatch, i: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(shard, its first place, the place behind its last, its slots) of a block."""
+    edges = blocks.column("edges")[i].values.to_numpy().tolist()
+    slots = np.frombuffer(blocks.column("slots")[i].as_py(), dtype=np.uint32)
+    for shard, low, high in zip(blocks.column("shards")[i].values.to_numpy().tolist(), [0, *edges], edges, strict=False):
+        yield shard, low, high, slots[low:high]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each shard of a sorted partition."""
+    held, last = [], None
+    for batch in batches:
+        keys = batch.column("shard").to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if low == high:
+                continue
+            if held and keys[low] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = int(keys[low])
+            held.append(batch.slice(low, high - low))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+def _matrix(data: bytes, states: int, kind) -> np.ndarray:
+    return np.frombuffer(data, dtype=kind).reshape(-1, states)
+
+
+def in_shards(symbols: DataFrame, columns: list[str], parts: int) -> DataFrame:
+    """(shard, values, sums): the columns of (symbol, ..) as a matrix a shard, in double precision, and its sums."""
+    def run(batches):
+        for shard, rows in _runs(batches):
+            yield _shard_row(shard, np.stack([rows.column(c).to_numpy() for c in columns], axis=1))
+
+    rows = symbols.select(F.shiftright("symbol", SLOT_BITS).alias("shard"), "symbol", *[F.col(c).cast("double").alias(c) for c in columns])
+    return rows.repartition(parts, "shard").sortWithinPartitions("shard", "symbol").mapInArrow(run, _SHARDS)
+
+
+_SHARDS = "shard bigint, values binary, sums array<double>"
+
+
+def _shard_row(shard: int, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([np.ascontiguousarray(values, dtype=np.float64).tobytes()], pa.binary()),
+                                       _listed(pa.array(values.sum(axis=0), pa.float64()))], names=["shard", "values", "sums"])
+
+
+def added(shards: DataFrame, counts: DataFrame, parts: int, states: int) -> DataFrame:
+    """The shards with the counts (shard, slots, values) added."""
+    def run(batches):
+        for shard, rows in _runs(batches):
+            total, more = None, []
+            for slots, values in zip(rows.column("slots").to_pylist(), rows.column("values").to_pylist(), strict=True):
+                if slots is None:
+                    total = _matrix(values, states, np.float64).copy()
+                else:
+                    more.append((np.frombuffer(slots, dtype=np.uint32), _matrix(values, states, np.float32)))
+            if total is None:                   # only MOVES has no prior
+                total = np.zeros((states + 1, states))
+            for slots, values in more:
+                total[slots] += values
+            yield _shard_row(shard, total)
+
+    rows = counts.unionByName(shards.select("shard", F.lit(None).cast("binary").alias("slots"), "values"))
+    return rows.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(run, _SHARDS)
+
+
+def train(parted: list[DataFrame], symbols: DataFrame, parts: int, states: int = STATES, rounds: int = ROUNDS):
+    """(start, move, totals, emissions) after so many rounds; column i of the matrices (shard, values) is divided by totals[i]."""
     columns = [f"e{i}" for i in range(states)]
-    schema = "symbol bigint, " + ", ".join(f"{c} float" for c in columns)
     start = np.full(states, 1 / states)
     move = np.full((states, states), 0.1 / max(1, states - 1)) + np.eye(states) * (0.9 - (0.1 / max(1, states - 1)))
     move /= move.sum(axis=1, keepdims=True)
     # The first emissions differ by a factor of mean 1 that a hash of the symbol gives: half the sum of two exponential numbers.
     draw = lambda i, j: F.log((F.pmod(F.xxhash64("name", F.lit(SEED), F.lit(i), F.lit(j)), F.lit(1 << 52)) + 0.5) / float(1 << 52))
-    emissions = materialized(symbols.select("symbol", *[(F.col("prior") * -0.5 * (draw(i, 0) + draw(i, 1))).alias(c) for i, c in enumerate(columns)]))
-    prior = symbols.select("symbol", *[(F.col("prior") * PRIOR).cast("float").alias(c) for c in columns])
-    sums = lambda table: np.array([x or 1.0 for x in table.agg(*[F.sum(c) for c in columns]).first()])
+    emissions = materialized(in_shards(symbols.select("symbol", *[(F.col("prior") * -0.5 * (draw(i, 0) + draw(i, 1))).alias(c) for i, c in enumerate(columns)]),
+                                       columns, parts))
+    prior = materialized(in_shards(symbols.select("symbol", *[(F.col("prior") * PRIOR).cast("float").alias(c) for c in columns]), columns, parts))
+    sums = lambda table: np.array([x or 1.0 for x in table.agg(*[F.sum(F.col("sums")[i]) for i in range(states)]).first()])
     totals = sums(emissions)
     for _ in range(rounds):
-        counts = together(_placed(texts, emissions), texts.select("block", "train", "lengths", "codes"), parts,
-                          _round(start, move, totals, columns), schema)
-        new = materialized(counts.unionByName(prior).groupBy("symbol").agg(*[F.sum(c).alias(c) for c in columns]))
+        new = prior
+        for texts in parted:
+            counts = together(_placed(texts, emissions, parts, states), texts.select("block", "train", "lengths", "codes", "shards", "edges", "slots"), parts,
+                              _round(start, move, totals), "shard bigint, slots binary, values binary")
+            before, new = new, materialized(added(new, counts, parts, states))
+            if before is not prior:
+                discard(before)
         discard(emissions)
-        rest = {r["symbol"]: np.array(r[1:]) for r in new.where(F.col("symbol") <= MOVES).collect()}       # states + 1 rows
-        zero = np.zeros(states)
-        emissions = new.where(F.col("symbol") > MOVES)
+        rest = new.where(F.col("shard") == MOVES).first()                  # states + 1 rows
+        rest = _matrix(bytes(rest["values"]), states, np.float64) if rest else np.zeros((states + 1, states))
+        emissions = new.where(F.col("shard") != MOVES)
         totals = sums(emissions)
-        start = rest.get(FIRST, zero) + 1.0
+        start = rest[states] + 1.0
         start = start / start.sum()
-        move = np.stack([rest.get(MOVES - i, zero) for i in range(states)]) + 1.0
+        move = rest[:states] + 1.0
         move /= move.sum(axis=1, keepdims=True)
     return start, move, totals, emissions
 
 
-def _placed(texts: DataFrame, emissions: DataFrame) -> DataFrame:
-    """(block, place, symbol, e0, ..): what a block needs of the emissions."""
-    return texts.select("block", F.posexplode("symbols").alias("place", "symbol")).join(
-        emissions.select("symbol", *[F.col(c).cast("float").alias(c) for c in emissions.columns[1:]]), "symbol")
+def _placed(texts: DataFrame, emissions: DataFrame, parts: int, states: int) -> DataFrame:
+    """(block, shard, data): what a block needs of a shard of the emissions, a row of numbers for each of its slots."""
+    def ask(batches):
+        for batch in batches:
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                rows = [(shard, slots.tobytes()) for shard, _, _, slots in _shards(batch, i)]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.int64()), pa.array([block] * len(rows), pa.int64()),
+                                                  pa.array([x for _, x in rows], pa.binary())], names=["shard", "block", "data"])
+
+    def answer(batches):
+        for shard, rows in _runs(batches):
+            blocks, data = rows.column("block").to_pylist(), rows.column("data").to_pylist()
+            at = blocks.index(-1)
+            values = _matrix(data[at], states, np.float64).astype(np.float32)
+            asked = [i for i in range(len(blocks)) if i != at]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([blocks[i] for i in asked], pa.int64()), pa.array([shard] * len(asked), pa.int64()),
+                 pa.array([values[np.frombuffer(data[i], dtype=np.uint32)].tobytes() for i in asked], pa.binary())], names=["block", "shard", "data"])
+
+    wanted = texts.select("block", "shards", "edges", "slots").mapInArrow(ask, "shard bigint, block bigint, data binary")
+    both = wanted.unionByName(emissions.select("shard", F.lit(-1).cast("bigint").alias("block"), F.col("values").alias("data")))
+    return both.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(answer, "block bigint, shard bigint, data binary")
 
 
 def likelihoods(texts: DataFrame, model, parts: int) -> DataFrame:
@@ -373,7 +479,7 @@ def likelihoods(texts: DataFrame, model, parts: int) -> DataFrame:
         return pa.table([values("ids"), values("train"), values("lengths"), values("known"), values("base"),
                          pa.array(out + values("within").to_numpy())], names=["id", "train", "n_tokens", "n_known", "base", "score"])
 
-    return together(_placed(texts, emissions), texts.drop("symbols"), parts, run,
+    return together(_placed(texts, emissions, parts, len(start)), texts.drop("shards", "edges", "slots"), parts, run,
                     f"id {kind}, train boolean, n_tokens bigint, n_known bigint, base double, score double")
 
 
@@ -382,22 +488,26 @@ def language_model(docs: DataFrame, is_train: Column, id_col: str = "doc_id", te
     """Per row: id, train, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(is_train, F.lit(False)).alias("train"), F.col(text_col).cast("string").alias("text"))
-    counts = materialized(word_counts(rows.where("train").select("text")).withColumn("symbol", F.monotonically_increasing_id()))
+    raw = materialized(blocks(rows))
+    sizes = raw.agg(F.count(F.lit(1)).alias("n"), F.sum("distinct").alias("places")).first()
+    parts = max(1, min(2 * sizes["n"], int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    shards = max(parts, -(-(sizes["places"] or 0) // SHARD_PLACES))
     own = (F.col("c") >= LEAST_COUNT) | (F.length("word") == 0)
+    # A shard is a partition of the counts; its own symbols come first, so their slots are 0, 1, ..
+    counts = materialized(word_counts(rows.where("train").select("text"), shards).sortWithinPartitions(~own).withColumn("symbol", F.monotonically_increasing_id()))
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(own).alias("own")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
     classes = materialized(counts.where(~own).groupBy(_class("word").alias("class")).agg(F.sum("c").alias("class_c"), F.count(F.lit(1)).alias("class_v")))
     everyone = spark.range(CLASSES).select(F.col("id").alias("class")).join(F.broadcast(classes), "class", "left").na.fill(0)   # CLASSES rows
     prior = (F.col("c") + 1) / F.lit(float(total + sums["own"] + CLASSES))
     symbols = materialized(counts.where(own).select("symbol", F.col("word").alias("name"), prior.alias("prior")).unionByName(
-        everyone.select((-1 - F.col("class")).alias("symbol"), F.concat(F.lit(" "), F.col("class").cast("string")).cast("binary").alias("name"),
+        everyone.select(_class_symbol().alias("symbol"), F.concat(F.lit(" "), F.col("class").cast("string")).cast("binary").alias("name"),
                         F.col("class_c").alias("c")).select("symbol", "name", prior.alias("prior"))))
     words = counts.select("word", "c", F.when(own, F.col("symbol")).alias("symbol"))
-    raw = materialized(blocks(rows))
-    parts = max(1, min(2 * raw.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    texts = materialized(coded(raw, words, everyone, total, distinct, parts))
+    parted = [materialized(coded(raw.where(F.pmod("block", F.lit(PASSES)) == i), words, everyone, total, distinct, parts)) for i in range(PASSES)]
     discard(raw)
-    model = train(spark, texts, symbols, parts, states, rounds)
-    return likelihoods(texts, model, parts).select(
+    model = train(parted, symbols, parts, states, rounds)
+    scored = [materialized(likelihoods(texts, model, parts)) for texts in parted]
+    return reduce(DataFrame.unionByName, scored).select(
         F.col("id").alias(id_col), "train", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
         F.col("base").alias("base_score"), "score")

@@ -2,7 +2,9 @@
 
 import tracemalloc
 
-from palimpsest.llm import pieces
+from pyspark.sql import functions as F
+
+from palimpsest.llm import hmm, pieces
 from palimpsest.llm.queries import MODEL
 
 
@@ -20,3 +22,23 @@ def test_table_of_known_words_is_bounded():
         most = max(most, tracemalloc.get_traced_memory()[0])
     tracemalloc.stop()
     assert most < 48 << 20
+
+
+# --------------------------------------------------------------------------- 5
+
+def test_emissions_travel_as_shards(spark, odd, monkeypatch):
+    """A block gets a row a shard, not one a symbol; shards and parts of a round do not change scores."""
+    sent, together = [], hmm.together
+    monkeypatch.setattr(hmm, "together", lambda left, *rest: sent.append(left.count()) or together(left, *rest))
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([(100 + i, " ".join(f"w{j}" for j in range(i, i + 300))) for i in range(20)], "doc_id long, text string"))
+
+    def scores():
+        sent.clear()
+        return sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 3), round(r["score"], 2))
+                      for r in hmm.language_model(docs, F.col("doc_id") != 107, rounds=1).collect())
+    whole = scores()
+    distinct = 319 + 10                               # words seen three times, and some classes
+    assert len(whole) == docs.count() and min(sent) * 4 < distinct
+    monkeypatch.setattr(hmm, "SHARD_PLACES", 16)
+    monkeypatch.setattr(hmm, "PASSES", 1)
+    assert scores() == whole and max(sent[1:]) > 100
