@@ -10,11 +10,13 @@ only these are posted, rarest first; the others are compared without merging
 their lists.  Candidates are confirmed on the full sets of words themselves.
 
 Lists of thousands of near copies must not become all pairs.  The first round
-links each document to one centre.  Later rounds look only into lists that
-hold several components and try documents against members of other ones, the
-``TRIES`` most alike at first and sixteen times as many every round, until no
-untried candidate between two components is left.  So every link between
-components is found, while links inside a component need not be listed.
+links each document to one centre; documents that may be similar to no other of
+a list leave it there.  Later rounds look only into lists that hold several
+components and try documents against members of other ones, about the ``TRIES``
+most alike at first and sixteen times as many every round, until no untried candidate
+between two components is left.  So every link between components is found,
+while links inside a component need not be listed.  Near copies share many
+lists; a pair belongs to one of those it shares, which alone gives it.
 
 Before texts are compared, candidates must pass a bound that loses nothing: a
 document's parity sketch has a bit for each of ``PARITY`` buckets, set if an
@@ -36,7 +38,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.expr import fresh
@@ -165,37 +168,39 @@ def frequent_tokens(classes: DataFrame, n_classes: int) -> DataFrame:
     return sample.mapInArrow(run, "token bigint").groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 2")
 
 
-def postings(classes: DataFrame, frequent: dict[int, int]) -> DataFrame:
-    """(token, node, n, bits) under the K - T + 1 rarest pairs; for bits see :func:`packed`."""
+#: Pairs under which a document is posted.
+_POSTED = COORDINATES - MATCHES + 1
+
+
+def rarity(spark: SparkSession, frequent: dict[int, int]) -> Broadcast:
     keys = np.array(sorted(frequent), dtype=np.int64)
-    counts = np.array([frequent[k] for k in keys.tolist()], dtype=np.int64)
-    shared = classes.sparkSession.sparkContext.broadcast((keys, counts))
-    length = COORDINATES - MATCHES + 1
+    return spark.sparkContext.broadcast((keys, np.array([frequent[k] for k in keys.tolist()], dtype=np.int64)))
+
+
+def _rarest(tokens: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The coordinates of the K - T + 1 rarest pairs of each document."""
+    often = np.zeros(tokens.shape, dtype=np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
+        often = np.where(keys[at] == tokens, counts[at], 0)
+    # Rarest first; ties in the order of a hash of the pair, the same for all documents.
+    tie = _mixed(tokens.astype(np.uint64)) >> np.uint64(33)
+    return np.argsort((often.astype(np.uint64) << np.uint64(31)) | tie, axis=1, kind="stable")[:, :_POSTED]
+
 
+def postings(classes: DataFrame, rare: Broadcast) -> DataFrame:
+    """(token, node) under the K - T + 1 rarest pairs, of the lists that hold several documents."""
     def run(batches):
-        keys, counts = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            signatures, parities = _stacked(batch.column("signature"))
-            tokens = _tokens(signatures)
-            often = np.zeros(tokens.shape, dtype=np.int64)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, tokens), len(keys) - 1)
-                often = np.where(keys[at] == tokens, counts[at], 0)
-            # Rarest first; ties in the order of a hash of the pair, the same for all documents.
-            tie = _mixed(tokens.astype(np.uint64)) >> np.uint64(33)
-            first = np.argsort((often.astype(np.uint64) << np.uint64(31)) | tie, axis=1, kind="stable")[:, :length]
-            bits = packed(signatures, parities)
-            pick = np.repeat(np.arange(batch.num_rows), length)
-            for at in range(0, len(pick), 1 << 16):
-                rows = pick[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.take_along_axis(tokens, first, 1).ravel()[at:at + (1 << 16)]),
-                     batch.column("node").take(pa.array(rows)), batch.column("n").take(pa.array(rows)),
-                     pa.array([bits[i].tobytes() for i in rows], pa.binary())], names=["token", "node", "n", "bits"])
+            if batch.num_rows:
+                tokens = _tokens(_stacked(batch.column("signature"))[0])
+                first = np.take_along_axis(tokens, _rarest(tokens, *rare.value), 1)
+                yield pa.RecordBatch.from_arrays([pa.array(first.ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), _POSTED))],
+                                                 names=["token", "node"])
 
-    return classes.select("node", "n", "signature").mapInArrow(run, "token bigint, node bigint, n bigint, bits binary")
+    # Most rare pairs are those of one document: what else a posting holds follows only to the others.
+    posted = classes.select("node", "signature").mapInArrow(run, "token bigint, node bigint")
+    return posted.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("size > 1").select("token", "node")
 
 
 def _lists(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
@@ -205,7 +210,7 @@ def _lists(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[li
     for batch in batches:
         if not batch.num_rows:
             continue
-        arrays = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) if c == "bits"
+        arrays = [np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1) if c in ("bits", "posted")
                   else batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
         tokens = batch.column("token").to_numpy()
         starts = [0, *(np.flatnonzero(tokens[1:] != tokens[:-1]) + 1).tolist(), len(tokens)]
@@ -249,35 +254,62 @@ def _batches(rows: Iterator[tuple], names: list[str], size: int = 1 << 15) -> It
 
 
 def first_round(posted: DataFrame, share: int) -> DataFrame:
-    """(token, a, b): every document of a list with its centre a, the first document it agrees with; a = b for centres."""
+    """(token, a, b): documents of a list with their centre a, the first document they agree with; a = b for centres.
+
+    Documents that agree with no other of the list are left out.
+    """
     def run(batches):
         def rows():
             for token, node, n, bits in _lists(batches, ["node", "n", "bits"]):
                 left = np.arange(len(node))
-                out = []
+                centre_of = np.full(len(node), -1)
                 while len(left) > 1:
                     centre, left = left[0], left[1:]
                     near, _ = _agree(bits, n, centre, left, share)
-                    out.append((token[0], node[centre], node[centre]))
-                    out += [(token[0], node[centre], node[i]) for i in near]
-                    left = left[~np.isin(left, near)] if len(near) else left
-                if any(a != b for _, a, b in out):
-                    yield from out
-                    yield from [(token[0], node[i], node[i]) for i in left]
+                    if len(near):
+                        centre_of[near] = centre_of[centre] = centre
+                        left = left[centre_of[left] < 0]
+                members = np.flatnonzero(centre_of >= 0)
+                # The others were not compared with those that had found a centre before them.
+                others = members[centre_of[members] != members]
+                for i in np.flatnonzero(centre_of < 0) if len(others) else ():
+                    if len(_agree(bits, n, i, others, share)[0]):
+                        centre_of[i] = i
+                for i in np.flatnonzero(centre_of >= 0):
+                    yield token[0], node[centre_of[i]], node[i]
         yield from _batches(rows(), ["token", "a", "b"])
 
     return posted.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, "token bigint, a bigint, b bigint")
 
 
+def _unposted(posted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which coordinates each document is posted under, and the values there."""
+    among = np.unpackbits(posted[:, :COORDINATES // 8], axis=1).astype(bool)
+    values = np.zeros(among.shape, dtype=np.uint32)
+    values[among] = np.ascontiguousarray(posted[:, COORDINATES // 8:]).view(np.uint32).ravel()
+    return among, values
+
+
+def _list_of_pair(among: np.ndarray, values: np.ndarray, node: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+    """The coordinate of the list that gives the pairs of i, the same in all lists that a pair shares.
+
+    It is the first shared one from a place on that the pair gives, so that the pairs of a crowd spread over its lists.
+    """
+    shared = among[others] & among[i] & (values[others] == values[i])
+    place = (np.arange(COORDINATES) - ((node[others] + node[i]) % COORDINATES)[:, None]) % COORDINATES
+    return np.where(shared, place, COORDINATES).argmin(axis=1)
+
+
 def between_components(lists: DataFrame, share: int, tries: int) -> DataFrame:
-    """(token, a, b, more): candidates of different components.
+    """(token, a, b, more): candidates of different components, each from one of the lists that it shares.
 
     Of each document at most ``tries`` per list, those whose sketches differ least; ``more`` says that some were left for a
     later round.
     """
     def run(batches):
         def rows():
-            for token, node, n, bits, label in _lists(batches, ["node", "n", "bits", "label"]):
+            for token, node, n, bits, posted, label in _lists(batches, ["node", "n", "bits", "posted", "label"]):
+                among, values = _unposted(posted)
                 # Members of the largest component are only partners: a pair needs one end outside it.
                 names, counts = np.unique(label, return_counts=True)
                 largest = names[counts.argmax()]
@@ -285,6 +317,8 @@ def between_components(lists: DataFrame, share: int, tries: int) -> DataFrame:
                 for i in np.flatnonzero(label != largest):
                     others = everyone[(label != label[i]) & ((label == largest) | (everyone > i))]
                     near, apart = _agree(bits, n, i, others, share)
+                    own = _list_of_pair(among, values, node, i, near) == token[0] >> 32
+                    near, apart = near[own], apart[own]
                     more = int(len(near) > tries)
                     for j in near[np.lexsort((node[near], apart))[:tries]]:
                         yield token[0], min(node[i], node[j]), max(node[i], node[j]), more
@@ -323,7 +357,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = sketch.where("n > 0").groupBy("sequence").agg(first, F.first("n").alias("n"), F.first("signature").alias("signature"))
     classes = materialized(grouped.withColumn("node", F.monotonically_increasing_id()))
     frequent = {r["token"]: r["count"] for r in frequent_tokens(classes, classes.count()).collect()}
-    posted = postings(classes, frequent)
+    rare = rarity(docs.sparkSession, frequent)
+    posted = materialized(postings(classes, rare))
     placed = classes.select("node", F.col("first.locator").alias("locator"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -331,23 +366,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = materialized(placed.join(ends, "node", "left_semi"))
         return maybe_in(rows, wanted).join(wanted, "locator").select("node", "text")
 
-    lists = materialized(first_round(posted, share))
+    lists = materialized(first_round(posted.join(low_bits(classes.select("node", "n", "signature"), rare).drop("posted"), "node"), share))
     pairs = materialized(lists.where("a <> b").groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     tried = pairs
     links = materialized(confirmed(pairs, texts_of(pairs), size, share))
     labels = components(links)
     members = lists.select("token", F.col("b").alias("node"))
-    tries = TRIES
+    tries = -(-TRIES // _POSTED)                    # of a list: a document's pairs are spread over the lists that it shares
     while True:
         known = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        open_lists = known.groupBy("token").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("token")
-        members = materialized(known.join(open_lists, "token", "left_semi"))
+        of_list = Window.partitionBy("token")
+        several = known.withColumn("l", F.min("label").over(of_list)).withColumn("h", F.max("label").over(of_list)).where("l < h")
+        members = materialized(several.select("token", "node", "label"))
         if members.isEmpty():
             break
-        bits = low_bits(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "signature"))
+        bits = low_bits(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "signature"), rare)
         candidates = materialized(between_components(
-            members.join(bits, "node").select("token", "node", "n", "bits", "label"), share, tries))
-        new = materialized(candidates.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+            members.join(bits, "node").select("token", "node", "n", "bits", "posted", "label"), share, tries))
+        new = materialized(candidates.select("a", "b").join(tried, ["a", "b"], "left_anti"))
         if not new.isEmpty():
             links = materialized(links.unionByName(confirmed(new, texts_of(new), size, share)))
             labels = components(links)
@@ -366,16 +402,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (alone | (F.col("locator") == F.col("head.locator"))).alias("first"))
 
 
-def low_bits(classes: DataFrame) -> DataFrame:
-    """(node, n, bits) of (node, n, signature)."""
+def low_bits(classes: DataFrame, rare: Broadcast) -> DataFrame:
+    """(node, n, bits, posted) of (node, n, signature).
+
+    ``posted`` has a bit for each coordinate, set if the document is posted under it, then the values of these.
+    """
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                bits = packed(*_stacked(batch.column("signature")))
-                yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array([x.tobytes() for x in bits], pa.binary())],
-                                                 names=["node", "n", "bits"])
+                signatures, parities = _stacked(batch.column("signature"))
+                among = np.zeros(signatures.shape, dtype=bool)
+                np.put_along_axis(among, _rarest(_tokens(signatures), *rare.value), True, axis=1)
+                posted = np.hstack([np.packbits(among, axis=1), signatures[among].reshape(-1, _POSTED).view(np.uint8)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node"), batch.column("n"), *[pa.array([x.tobytes() for x in rows], pa.binary()) for rows in (packed(signatures, parities), posted)]],
+                    names=["node", "n", "bits", "posted"])
 
-    return classes.mapInArrow(run, "node bigint, n bigint, bits binary")
+    return classes.mapInArrow(run, "node bigint, n bigint, bits binary, posted binary")
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, share: int = 80) -> DataFrame:

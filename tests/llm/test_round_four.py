@@ -2,10 +2,12 @@
 
 import tracemalloc
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from palimpsest.llm import hmm, pieces
+from palimpsest.llm import hmm, minhash, pieces
 from palimpsest.llm.queries import MODEL
+from palimpsest.session import materialized
 
 
 def test_table_of_known_words_is_bounded():
@@ -42,3 +44,27 @@ def test_emissions_travel_as_shards(spark, odd, monkeypatch):
     monkeypatch.setattr(hmm, "SHARD_PLACES", 16)
     monkeypatch.setattr(hmm, "PASSES", 1)
     assert scores() == whole and max(sent[1:]) > 100
+
+
+# --------------------------------------------------------------------------- 8
+
+def test_a_pair_comes_from_one_of_its_lists(spark, monkeypatch):
+    """Near copies share many lists; a round gave a pair once for each of them."""
+    rng, found, between = np.random.default_rng(6), [], minhash.between_components
+
+    def seen(*rest):
+        rows = materialized(between(*rest))
+        found.append([(r["a"], r["b"]) for r in rows.collect()])
+        return rows
+
+    monkeypatch.setattr(minhash, "between_components", seen)
+    texts = []
+    for _ in range(80):
+        t = [f"c{i}" for i in range(80)]
+        for i in rng.choice(80, rng.integers(2, 6), replace=False):
+            t[i] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(t))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert minhash.near_duplicates(docs, size=2).count() == 80
+    assert sum(map(len, found)) > 50
+    assert all(len(pairs) == len(set(pairs)) for pairs in found)
