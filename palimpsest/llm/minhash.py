@@ -56,6 +56,8 @@ PARITY = 512
 ORDER_SAMPLE = 20_000
 #: Shingles hashed at a time, words kept in a worker's table.
 CHUNK, KNOWN_WORDS = 1 << 14, 1 << 17
+#: Texts, or signatures with what is worked out from them, that a Python worker gets at a time.
+BATCH_ROWS = 1000
 
 _RNG = np.random.default_rng(8)
 _MULTIPLY = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -352,13 +354,13 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, share: int) -> Data
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, share: int = 80) -> DataFrame:
     """One row per row of ``docs``: id, locator, n_shingles, component_id, first (whether this row is the one to keep)."""
     rows = located(docs, id_col, text_col)
-    sketch = materialized(sketches(rows, size))
+    sketch = materialized(sketches(rows, size), BATCH_ROWS)
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "locator")).alias("first")
     grouped = sketch.where("n > 0").groupBy("sequence").agg(first, F.first("n").alias("n"), F.first("signature").alias("signature"))
     classes = materialized(grouped.withColumn("node", F.monotonically_increasing_id()))
     frequent = {r["token"]: r["count"] for r in frequent_tokens(classes, classes.count()).collect()}
     rare = rarity(docs.sparkSession, frequent)
-    posted = materialized(postings(classes, rare))
+    posted = materialized(postings(classes, rare), BATCH_ROWS)
     placed = classes.select("node", F.col("first.locator").alias("locator"))
 
     def texts_of(pairs: DataFrame) -> DataFrame:
@@ -366,10 +368,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         wanted = materialized(placed.join(ends, "node", "left_semi"))
         return maybe_in(rows, wanted).join(wanted, "locator").select("node", "text")
 
-    lists = materialized(first_round(posted.join(low_bits(classes.select("node", "n", "signature"), rare).drop("posted"), "node"), share))
+    lists = materialized(first_round(posted.join(low_bits(classes.select("node", "n", "signature"), rare).drop("posted"), "node"), share), BATCH_ROWS)
     pairs = materialized(lists.where("a <> b").groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     tried = pairs
-    links = materialized(confirmed(pairs, texts_of(pairs), size, share))
+    links = materialized(confirmed(pairs, texts_of(pairs), size, share), BATCH_ROWS)
     labels = components(links)
     members = lists.select("token", F.col("b").alias("node"))
     tries = -(-TRIES // _POSTED)                    # of a list: a document's pairs are spread over the lists that it shares
@@ -382,10 +384,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         bits = low_bits(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "signature"), rare)
         candidates = materialized(between_components(
-            members.join(bits, "node").select("token", "node", "n", "bits", "posted", "label"), share, tries))
+            members.join(bits, "node").select("token", "node", "n", "bits", "posted", "label"), share, tries), BATCH_ROWS)
         new = materialized(candidates.select("a", "b").join(tried, ["a", "b"], "left_anti"))
         if not new.isEmpty():
-            links = materialized(links.unionByName(confirmed(new, texts_of(new), size, share)))
+            links = materialized(links.unionByName(confirmed(new, texts_of(new), size, share)), BATCH_ROWS)
             labels = components(links)
             tried = materialized(tried.unionByName(new))
         # A list that gave all its candidates is finished; merged components only take candidates away.

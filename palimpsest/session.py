@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,24 +86,37 @@ def local_session(cores: int | str = "*", name: str = "palimpsest", **settings)
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Rows that a Python worker gets at a time.
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 @contextmanager
-def transient_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of the queries inside are removed as each of them ends."""
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(_CLEANUP, before)
+            spark.conf.set(key, before)
+
+
+def transient_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of the queries inside are removed as each of them ends."""
+    return _set(spark, _CLEANUP, "true")
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Like :func:`checkpointed`, as a Parquet table: for wide results that are read column-wise later."""
-    path = new_folder(df.sparkSession, "table")
-    with transient_shuffles(df.sparkSession):
+def materialized(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """Like :func:`checkpointed`, as a Parquet table: for wide results that are read column-wise later.
+
+    ``batch_rows`` bounds the rows that a Python worker of the query gets at a time: for long rows, of which the session's
+    number takes much memory on both sides.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "table")
+    with transient_shuffles(spark), _set(spark, _BATCH_ROWS, str(batch_rows)) if batch_rows else nullcontext():
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -3,6 +3,7 @@
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from palimpsest.llm import hmm, minhash, pieces
@@ -68,3 +69,14 @@ def test_a_pair_comes_from_one_of_its_lists(spark, monkeypatch):
     assert minhash.near_duplicates(docs, size=2).count() == 80
     assert sum(map(len, found)) > 50
     assert all(len(pairs) == len(set(pairs)) for pairs in found)
+
+
+def test_long_rows_reach_workers_in_small_batches(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = [r["n"] for r in materialized(spark.range(300, numPartitions=1).mapInArrow(run, "n bigint"), 100).collect()]
+    assert sum(sizes) == 300 and max(sizes) <= 100
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
