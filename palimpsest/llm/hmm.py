@@ -8,7 +8,8 @@ the probability (c + 1) / (C + V + 1), from the counts c of the word, C of the
 class and its V distinct words in the training texts; the + 1 leaves room for
 unseen words.  Every count comes from all training texts.
 
-Emissions are a table; neither the driver nor a broadcast ever holds the
+Texts are read and cut into tokens once: a block counts the words of its
+training texts, and asks for its words a row for each shard of them.  Emissions are a table; neither the driver nor a broadcast ever holds the
 vocabulary.  A row of it is a shard, the matrix of some thousand symbols, and a
 symbol is a slot in its shard, so what travels are arrays of slots and of
 numbers, not rows of single symbols.  Texts lie in blocks of about ``BLOCK``
@@ -30,7 +31,7 @@ others again.  Columns beside the id and the text are not read.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -46,8 +47,8 @@ CLASSES, STATES, ROUNDS = 1024, 8, 6
 PRIOR, SEED = 2000.0, 5
 #: Rarer words are always in classes, so that classes have the weight of words seen once or never.
 LEAST_COUNT = 3
-#: Words a task counts before it passes them on; tokens of a block; tokens that are run through the recursions at a time.
-FLUSH, BLOCK, TOKENS = 1 << 19, 2_000_000, 400_000
+#: Tokens of a block; tokens that are run through the recursions at a time; rows whose expected counts are turned to columns at a time.
+BLOCK, TOKENS, TURNED = 2_000_000, 400_000, 1 << 13
 END = b""
 #: Parts of the blocks that a round, like the coding and the scoring, takes one after another.
 PASSES = 3
@@ -66,25 +67,15 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
-def word_counts(texts: DataFrame, shards: int) -> DataFrame:
-    """(word, c) of a column of texts, in so many partitions; the end is the empty word."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
-
-        def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
-            counts.clear()
-            return batch
+def _numbering() -> defaultdict:
+    """Numbers 0, 1, .. for words as they come."""
+    number = defaultdict()
+    number.default_factory = number.__len__
+    return number
 
-        for batch in batches:
-            for text in batch.column(0):
-                counts.update(tokens(text.as_py()))
-                if len(counts) > FLUSH:
-                    yield out()
-            counts[END] += batch.num_rows
-        yield out()
 
-    return texts.mapInArrow(run, "word binary, c bigint").where("c > 0").repartition(shards, "word").groupBy("word").agg(F.sum("c").alias("c"))
+def _numbers(number: defaultdict, words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(number.__getitem__, words), dtype=np.uint32, count=len(words))
 
 
 # --------------------------------------------------------------------------- blocks
@@ -95,17 +86,25 @@ def _listed(values: pa.Array) -> pa.ListArray:
 
 
 def blocks(rows: DataFrame) -> DataFrame:
-    """(block, ids, train, lengths, codes, words, distinct): texts of a split, as places in the list of the block's distinct words; the end is place 0."""
+    """(block, ids, train, lengths, codes, words, counts, distinct): texts of a split, as places in the list of the block's distinct words; the end is place 0.
+
+    ``words`` are joined by blanks; ``counts`` say how often the training texts hold each.
+    """
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids, train, lengths, codes, size = {END: 0}, [], [], [], [], 0
+        number, ids, train, lengths, codes, size = _numbering(), [], [], [], [], 0
 
         def out():
-            return pa.RecordBatch.from_arrays(
+            own = b"".join(codes)
+            counts = np.bincount(np.frombuffer(own, dtype=np.uint32)[np.repeat(train, lengths)], minlength=len(number)).astype(np.uint32)
+            batch = pa.RecordBatch.from_arrays(
                 [_listed(pa.concat_arrays(ids)), _listed(pa.array(train, pa.bool_())), _listed(pa.array(lengths, pa.int64())),
-                 pa.array([b"".join(codes)], pa.binary()), _listed(pa.array(list(number), pa.binary())), pa.array([len(number)], pa.int64())],
-                names=["ids", "train", "lengths", "codes", "words", "distinct"])
+                 pa.array([own], pa.binary()), pa.array([b" ".join(number)], pa.binary()), pa.array([counts.tobytes()], pa.binary()),
+                 pa.array([len(number)], pa.int64())], names=["ids", "train", "lengths", "codes", "words", "counts", "distinct"])
+            for kept in (number, ids, train, lengths, codes):
+                kept.clear()
+            return batch
 
         for batch in batches:
             column = batch.column("id")
@@ -113,18 +112,68 @@ def blocks(rows: DataFrame) -> DataFrame:
                 w = tokens(text.as_py())
                 if size and size + len(w) + 1 > BLOCK:
                     yield out()
-                    number, ids, train, lengths, codes, size = {END: 0}, [], [], [], [], 0
-                a = np.fromiter((number.setdefault(x, len(number)) for x in w), dtype=np.uint32, count=len(w))
+                    size = 0
+                number[END]
                 ids.append(column.slice(i, 1)), train.append(batch.column("train")[i].as_py()), lengths.append(len(w) + 1)
-                codes.append(a.tobytes() + b"\0\0\0\0")
+                codes.append(_numbers(number, w).tobytes() + b"\0\0\0\0")
                 size += len(w) + 1
         if size:
             yield out()
 
-    return rows.mapInArrow(run, f"ids array<{kind}>, train array<boolean>, lengths array<bigint>, codes binary, words array<binary>, distinct bigint").withColumn(
+    return rows.mapInArrow(run, f"ids array<{kind}>, train array<boolean>, lengths array<bigint>, codes binary, words binary, counts binary, distinct bigint").withColumn(
         "block", F.monotonically_increasing_id())
 
 
+def word_counts(raw: DataFrame, shards: int, parts: int) -> DataFrame:
+    """What the blocks ask of so many shards of the words, and the shards themselves as block -1.
+
+    A block gets (shard, block, places, slots, counts) for its words: the place in its list, the slot among the shard's own
+    symbols or -1 - class, and the count in all training texts.  A shard is (shard, names, name_counts) of its own symbols, the
+    counts (classes, class_c, class_v) of its words within classes, and its tokens and distinct words, n and v.
+    """
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, joined, seen in zip(*[batch.column(c).to_pylist() for c in ("block", "words", "counts")], strict=True):
+                words, seen = joined.split(b" "), np.frombuffer(seen, dtype=np.uint32)
+                of = np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words)) % shards
+                order = np.argsort(of, kind="stable")
+                used, low = np.unique(of[order], return_index=True)
+                places = np.split(order.astype(np.uint32), low[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used, pa.int64()), pa.array([block] * len(used), pa.int64()), pa.array([p.tobytes() for p in places], pa.binary()),
+                     pa.array([b" ".join([words[i] for i in p.tolist()]) for p in places], pa.binary()),
+                     pa.array([seen[p].tobytes() for p in places], pa.binary())], names=["shard", "block", "places", "words", "counts"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, rows in _runs(batches):
+            number = _numbering()
+            asked = [_numbers(number, joined.as_py().split(b" ")) for joined in rows.column("words")]
+            names, c = list(number), np.zeros(len(number), dtype=np.int64)
+            for places, seen in zip(asked, rows.column("counts"), strict=True):
+                c[places] += np.frombuffer(seen.as_py(), dtype=np.uint32)         # a block holds a word once
+            own = (c >= LEAST_COUNT) | ((c > 0) & (number.get(END, -1) == np.arange(len(c))))
+            within = np.fromiter(map(word_class, names), dtype=np.int32, count=len(names))
+            slots = np.where(own, np.cumsum(own) - 1, -1 - within).astype(np.int32)
+            rare = np.flatnonzero(~own & (c > 0))
+            classes, place = np.unique(within[rare], return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard] * len(asked), pa.int64()), rows.column("block").combine_chunks(), rows.column("places").combine_chunks(),
+                 pa.array([slots[x].tobytes() for x in asked], pa.binary()), pa.array([c[x].tobytes() for x in asked], pa.binary()),
+                 *[pa.nulls(len(asked), kind) for kind in (pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 4, pa.int64(), pa.int64())]], names=columns)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int64()), pa.array([-1], pa.int64()), *[pa.nulls(1, pa.binary())] * 3,
+                 _listed(pa.array([names[i] for i in np.flatnonzero(own)], pa.binary())), _listed(pa.array(c[own], pa.int64())),
+                 _listed(pa.array(classes, pa.int64())), _listed(pa.array(np.bincount(place, weights=c[rare], minlength=len(classes)).astype(np.int64))),
+                 _listed(pa.array(np.bincount(place, minlength=len(classes)).astype(np.int64))), pa.array([int(c.sum())], pa.int64()),
+                 pa.array([int((c > 0).sum())], pa.int64())], names=columns)
+
+    columns = ["shard", "block", "places", "slots", "counts", "names", "name_counts", "classes", "class_c", "class_v", "n", "v"]
+    asks = raw.select("block", "words", "counts").mapInArrow(ask, "shard bigint, block bigint, places binary, words binary, counts binary")
+    return asks.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(
+        answer, "shard bigint, block bigint, places binary, slots binary, counts binary, names array<binary>, name_counts array<bigint>, "
+                "classes array<bigint>, class_c array<bigint>, class_v array<bigint>, n bigint, v bigint")
+
+
 def together(left: DataFrame, right: DataFrame, parts: int, run, schema: str) -> DataFrame:
     """``run`` on what both tables hold of each block."""
     left = left.withColumnRenamed("block", "of_block")
@@ -132,18 +181,22 @@ def together(left: DataFrame, right: DataFrame, parts: int, run, schema: str) ->
             .applyInArrow(run, schema))
 
 
-def coded(texts: DataFrame, words: DataFrame, classes: DataFrame, total: int, distinct: int, parts: int) -> DataFrame:
+def coded(texts: DataFrame, words: DataFrame, rooms: np.ndarray, total: int, distinct: int, parts: int) -> DataFrame:
     """Blocks whose texts are places in the block's list of symbols, with what only words tell of each text.
 
-    The list is ``slots``, in shard ``shards[i]`` up to place ``edges[i]``.  ``words`` are (word, c, symbol), without a symbol for words within classes.  ``base`` is log10 of the base model; ``within`` log10 of the rare words within their classes.
+    The list is ``slots``, in shard ``shards[i]`` up to place ``edges[i]``.  ``words`` are the answers of :func:`word_counts`, ``rooms`` C + V + 1 of each class.  ``base`` is log10 of the base model; ``within`` log10 of the rare words within their classes.
     """
     kind = texts.schema["ids"].dataType.simpleString()
 
     def run(known: pa.Table, block: pa.Table) -> pa.Table:
-        place = known.column("place").to_numpy()
-        symbol, c, room = (np.zeros(len(place), dtype=t) for t in (np.int64, np.float64, np.float64))
-        for to, name in ((symbol, "symbol"), (c, "c"), (room, "room")):
-            to[place] = known.column(name).to_numpy()
+        distinct_here = block.column("distinct")[0].as_py()
+        symbol, c, room = (np.zeros(distinct_here, dtype=t) for t in (np.int64, np.float64, np.float64))
+        for shard, places, slots, counts in zip(*[known.column(x).to_pylist() for x in ("shard", "places", "slots", "counts")], strict=True):
+            place, slot = np.frombuffer(places, dtype=np.uint32), np.frombuffer(slots, dtype=np.int32).astype(np.int64)
+            within = np.maximum(-1 - slot, 0)
+            symbol[place] = np.where(slot >= 0, (shard << SLOT_BITS) + slot, _class_symbol(within))
+            c[place] = np.frombuffer(counts, dtype=np.int64)
+            room[place] = np.where(slot >= 0, 0.0, rooms[within])
         base = np.log10((c + 1) / (total + distinct + 1))
         within = np.where(room > 0, np.log10((c + 1) / np.maximum(room, 1)), 0.0)
         lengths = block.column("lengths")[0].values.to_numpy()
@@ -154,25 +207,31 @@ def coded(texts: DataFrame, words: DataFrame, classes: DataFrame, total: int, di
         of_text = lambda x: np.add.reduceat(x[codes], starts)
         return pa.table([block.column("block"), block.column("ids"), block.column("train"), block.column("lengths"),
                          _listed(pa.array(of_text((c > 0).astype(np.int64)))), _listed(pa.array(of_text(base))), _listed(pa.array(of_text(within))),
-                         pa.array([own.astype(np.uint32)[codes].tobytes()], pa.binary()), _listed(pa.array(shards)), _listed(pa.array(np.cumsum(counts))),
+                         pa.array([_packed(own.astype(np.uint32)[codes], len(symbols))], pa.binary()), _listed(pa.array(shards)), _listed(pa.array(np.cumsum(counts))),
                          pa.array([(symbols & ((1 << SLOT_BITS) - 1)).astype(np.uint32).tobytes()], pa.binary())],
                         names=["block", "ids", "train", "lengths", "known", "base", "within", "codes", "shards", "edges", "slots"])
 
-    places = texts.select("block", F.posexplode("words").alias("place", "word")).join(words, "word", "left").withColumn("class", _class("word"))
-    known = places.join(F.broadcast(classes), "class").select(
-        "block", "place", F.coalesce("symbol", _class_symbol()).alias("symbol"), F.coalesce("c", F.lit(0)).cast("double").alias("c"),
-        F.when(F.col("symbol").isNull(), F.col("class_c") + F.col("class_v") + 1.0).otherwise(0.0).alias("room"))
-    return together(known, texts.drop("words", "distinct"), parts, run,
+    return together(words.select("block", "shard", "places", "slots", "counts"), texts.drop("words", "counts"), parts, run,
                     f"block bigint, ids {kind}, train array<boolean>, lengths array<bigint>, known array<bigint>, base array<double>, "
                     "within array<double>, codes binary, shards array<bigint>, edges array<bigint>, slots binary")
 
 
-def _class(word: str) -> Column:
-    return F.crc32(F.expr(f"substring({word}, greatest(length({word}) - 2, 1), 3)")) % CLASSES
+def _packed(codes: np.ndarray, most: int) -> bytes:
+    """Numbers below ``most``, in three bytes if that is enough, else in four."""
+    return np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3 if most <= 1 << 24 else 4]).tobytes()
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    out, data = np.zeros((count, 4), dtype=np.uint8), np.frombuffer(data, dtype=np.uint8).reshape(count, -1)
+    out[:, :data.shape[1]] = data
+    return out.reshape(-1).view("<u4")
 
 
-def _class_symbol() -> Column:
-    return F.expr(f"shiftleft(-1 - class div {CLASS_SLOTS}, {SLOT_BITS}) + class % {CLASS_SLOTS}")
+def _class_symbol(of):
+    """The symbol of a class, of numbers or of a column."""
+    if isinstance(of, Column):
+        return F.shiftleft(F.lit(-1) - F.floor(of / CLASS_SLOTS), SLOT_BITS) + of % CLASS_SLOTS
+    return ((-1 - of // CLASS_SLOTS) << SLOT_BITS) + of % CLASS_SLOTS
 
 
 # --------------------------------------------------------------------------- recursions
@@ -189,7 +248,7 @@ class Steps:
         begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])[self.order]
         step = np.repeat(np.arange(len(active)), active)
         rank = np.arange(self.edges[-1]) - self.edges[step]
-        self.symbols = np.concatenate(texts)[begins[rank] + step]
+        self.symbols = np.concatenate(texts)[begins[rank] + step].astype(np.int64)
 
     def parts(self) -> list[tuple[int, int]]:
         """Runs of steps of at most TOKENS rows, or one step."""
@@ -201,32 +260,52 @@ class Steps:
         return out
 
 
-def _run_forward(edges: list[int], b: np.ndarray, alpha: np.ndarray | None, start: np.ndarray, move: np.ndarray):
+class Room:
+    """Arrays that are used again for the next texts: fresh memory costs as much time as the sums in it."""
+
+    def __init__(self):
+        self.held = {}
+
+    def __call__(self, name: str, kind, *shape: int) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < size or self.held[name].dtype != kind:
+            self.held[name] = None
+            self.held[name] = np.empty(size, kind)
+        return self.held[name][:size].reshape(shape)
+
+
+def _run_forward(edges: list[int], b: np.ndarray, alpha: np.ndarray | None, start: np.ndarray, move: np.ndarray, room: Room):
     """Scaled forward vectors and scales of a run of steps; ``alpha`` are those of the step before."""
     start, move = start.astype(b.dtype), move.astype(b.dtype)
-    a, scale, ones = np.empty_like(b), np.empty(len(b), b.dtype), np.ones(len(start), b.dtype)
-    for low, high in zip(edges, edges[1:], strict=False):
+    a, scale, ones = room("a", b.dtype, *b.shape), room("scale", b.dtype, len(b)), np.ones(len(start), b.dtype)
+    column, low = scale[:, None], edges[0]
+    for high in edges[1:]:
         own = a[low:high]
         if alpha is None:
             own[:] = start
         else:
-            np.matmul(alpha[:high - low], move, out=own)
-        own *= b[low:high]
-        np.dot(own, ones, out=scale[low:high])
-        own /= scale[low:high, None]
-        alpha = own
+            np.matmul(alpha[:high - low], move, own)
+        np.multiply(own, b[low:high], own)
+        np.dot(own, ones, scale[low:high])
+        np.divide(own, column[low:high], own)
+        alpha, low = own, high
     return a, scale
 
 
-def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
+def _emitted(emit: np.ndarray, symbols: np.ndarray, room: Room) -> np.ndarray:
+    """The rows of the symbols, all of which are places in ``emit``."""
+    return np.take(emit, symbols, axis=0, out=room("b", emit.dtype, len(symbols), emit.shape[1]), mode="clip")
+
+
+def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray, room: Room | None = None) -> np.ndarray:
     """log10 probability of each text."""
-    out = np.zeros(len(texts))
+    out, room = np.zeros(len(texts)), room or Room()
     if not texts:
         return out
     steps, alpha = Steps(texts), None
     for low, high in steps.parts():
         edges = steps.edges[low:high + 1] - steps.edges[low]
-        a, scale = _run_forward(edges.tolist(), emit[steps.symbols[steps.edges[low]:steps.edges[high]]], alpha, start, move)
+        a, scale = _run_forward(edges.tolist(), _emitted(emit, steps.symbols[steps.edges[low]:steps.edges[high]], room), alpha, start, move, room)
         rank = np.arange(len(scale)) - np.repeat(edges[:-1], np.diff(edges))
         out += np.bincount(rank, weights=np.log10(scale, dtype=np.float64), minlength=len(out))
         alpha = a[edges[-2]:].copy()
@@ -235,18 +314,18 @@ def forward(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
     return ordered
 
 
-def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray):
+def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray, room: Room | None = None):
     """Expected counts of first states, transitions and (symbol, state), and the log10 probability.
 
     Of a run of steps only the vector before it is kept, unless it is the only one; on the way back its others are computed again.
     """
     k, steps = len(start), Steps(texts)
-    parts, kept, total = steps.parts(), [], 0.0
+    parts, kept, total, room = steps.parts(), [], 0.0, room or Room()
 
     def onward(low: int, high: int, alpha: np.ndarray | None):
         edges = steps.edges[low:high + 1] - steps.edges[low]
-        b = emit[steps.symbols[steps.edges[low]:steps.edges[high]]]
-        return edges, b, *_run_forward(edges.tolist(), b, alpha, start, move)
+        b, edges = _emitted(emit, steps.symbols[steps.edges[low]:steps.edges[high]], room), edges.tolist()
+        return edges, b, *_run_forward(edges, b, alpha, start, move, room)
 
     alpha = None
     for low, high in parts:
@@ -254,30 +333,35 @@ def expected(texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit:
         run = onward(low, high, alpha)
         total += float(np.log10(run[3], dtype=np.float64).sum())
         alpha = run[2][run[0][-2]:].copy()
-    moves, counts, beta, first = np.zeros((k, k)), np.zeros((len(emit), k)), None, None
+    moves, counts, beta, first = np.zeros((k, k)), np.zeros((k, len(emit))), None, None
     back = np.ascontiguousarray(move.T, dtype=emit.dtype)
     for (low, high), before in zip(reversed(parts), reversed(kept), strict=True):
         edges, b, a, scale = run if len(parts) == 1 else onward(low, high, before)
         b /= scale[:, None]                         # from here on: emission / scale, then times the backward vector
-        own = np.ones_like(a)
-        for at in range(len(edges) - 2, -1, -1):
-            at_low, at_high = edges[at], edges[at + 1]
+        own, at_high = room("own", a.dtype, *a.shape), edges[-1]
+        own.fill(1)
+        for at_low in edges[-2::-1]:
+            here = own[at_low:at_high]
             if beta is not None:
-                np.matmul(beta, back, out=own[at_low:at_low + len(beta)])
-            beta = b[at_low:at_high]
-            beta *= own[at_low:at_high]
-        rank = np.arange(edges[1], len(a)) - np.repeat(edges[1:-1], np.diff(edges)[1:])
-        previous = np.repeat(edges[:-2], np.diff(edges)[1:]) + rank
-        moves += a[previous].T @ b[edges[1]:]
-        if before is not None:
-            moves += before[:edges[1]].T @ b[:edges[1]]
+                np.matmul(beta, back, here[:len(beta)])
+            beta, at_high = b[at_low:at_high], at_low
+            np.multiply(beta, here, beta)
+        beta = beta.copy() if low else None         # the next run takes its place
+        sizes = np.diff(edges)
+        previous = np.arange(edges[1], len(a)) - np.repeat(sizes[:-1], sizes[1:])
         own *= a
         place = steps.symbols[steps.edges[low]:steps.edges[high]]
+        moves += np.take(a, previous, axis=0, out=room("previous", a.dtype, len(previous), k), mode="clip").T @ b[edges[1]:]
+        if before is not None:
+            moves += before[:edges[1]].T @ b[:edges[1]]
+        weights = room("b", own.dtype, k, len(own))      # in place of b, which is not needed any more
+        for at in range(0, len(own), TURNED):
+            weights[:, at:at + TURNED] = own[at:at + TURNED].T
         for i in range(k):
-            counts[:, i] += np.bincount(place, weights=own[:, i], minlength=len(emit))
+            counts[i] += np.bincount(place, weights=weights[i], minlength=len(emit))
         if low == 0:
             first = own[:edges[1]].sum(axis=0)
-    return first, moves * move, counts, total
+    return first, moves * move, counts.T, total
 
 
 def chunks(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -297,7 +381,7 @@ def chunks(lengths: np.ndarray) -> Iterator[np.ndarray]:
 def _block_texts(block: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Texts, lengths and which of them are for training."""
     lengths = block.column("lengths")[0].values.to_numpy()
-    codes = np.frombuffer(block.column("codes")[0].as_py(), dtype=np.uint32).astype(np.int64)
+    codes = _unpacked(block.column("codes")[0].as_py(), lengths.sum())
     train = np.array(block.column("train")[0].values.to_pylist(), dtype=bool)
     return np.split(codes, np.cumsum(lengths)[:-1]), lengths, train
 
@@ -318,16 +402,12 @@ def _round(start: np.ndarray, move: np.ndarray, totals: np.ndarray):
         emit = _emissions(known, totals, np.float32)         # counts need no more; scores are taken in double precision
         all_texts, lengths, is_train = _block_texts(block)
         first, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((len(emit), states))
-        own = np.flatnonzero(is_train)
+        own, room = np.flatnonzero(is_train), Room()
         for part in chunks(lengths[own]):
-            chosen = [all_texts[i] for i in own[part]]
-            flat, here = np.concatenate(chosen), np.zeros(len(emit), dtype=bool)
-            here[flat] = True
-            used, place = np.flatnonzero(here), np.cumsum(here) - 1
-            f, m, c, _ = expected(np.split(place[flat], np.cumsum([len(t) for t in chosen])[:-1]), start, move, emit[used])
+            f, m, c, _ = expected([all_texts[i] for i in own[part]], start, move, emit, room)
             first += f
             moves += m
-            counts[used] += c
+            counts += c
         shards, slots, values = [MOVES], [np.arange(states + 1, dtype=np.uint32)], [np.vstack([moves, first])]
         for shard, low, high, of_shard in _shards(block, 0):
             seen = np.flatnonzero(counts[low:high].any(axis=1))
@@ -370,10 +450,10 @@ def _matrix(data: bytes, states: int, kind) -> np.ndarray:
 
 
 def in_shards(symbols: DataFrame, columns: list[str], parts: int) -> DataFrame:
-    """(shard, values, sums): the columns of (symbol, ..) as a matrix a shard, in double precision, and its sums."""
+    """(shard, values, sums): the columns of (symbol, ..) as a matrix a shard, in single precision, and its sums in double."""
     def run(batches):
         for shard, rows in _runs(batches):
-            yield _shard_row(shard, np.stack([rows.column(c).to_numpy() for c in columns], axis=1))
+            yield _shard_row(shard, np.stack([rows.column(c).to_numpy() for c in columns], axis=1), np.float32)
 
     rows = symbols.select(F.shiftright("symbol", SLOT_BITS).alias("shard"), "symbol", *[F.col(c).cast("double").alias(c) for c in columns])
     return rows.repartition(parts, "shard").sortWithinPartitions("shard", "symbol").mapInArrow(run, _SHARDS)
@@ -382,26 +462,30 @@ def in_shards(symbols: DataFrame, columns: list[str], parts: int) -> DataFrame:
 _SHARDS = "shard bigint, values binary, sums array<double>"
 
 
-def _shard_row(shard: int, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([np.ascontiguousarray(values, dtype=np.float64).tobytes()], pa.binary()),
+def _shard_row(shard: int, values: np.ndarray, kind) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([np.ascontiguousarray(values, dtype=kind).tobytes()], pa.binary()),
                                        _listed(pa.array(values.sum(axis=0), pa.float64()))], names=["shard", "values", "sums"])
 
 
-def added(shards: DataFrame, counts: DataFrame, parts: int, states: int) -> DataFrame:
-    """The shards with the counts (shard, slots, values) added."""
+def added(shards: DataFrame, counts: DataFrame, parts: int, states: int, first: bool, last: bool) -> DataFrame:
+    """The shards with the counts (shard, slots, values) added.
+
+    The first shards are the prior, one column in single precision for all states; the last are emissions, also in single
+    precision; those between and ``MOVES`` are in double precision.
+    """
     def run(batches):
         for shard, rows in _runs(batches):
             total, more = None, []
             for slots, values in zip(rows.column("slots").to_pylist(), rows.column("values").to_pylist(), strict=True):
                 if slots is None:
-                    total = _matrix(values, states, np.float64).copy()
+                    total = np.repeat(_matrix(values, 1, np.float32).astype(np.float64), states, axis=1) if first else _matrix(values, states, np.float64).copy()
                 else:
                     more.append((np.frombuffer(slots, dtype=np.uint32), _matrix(values, states, np.float32)))
             if total is None:                   # only MOVES has no prior
                 total = np.zeros((states + 1, states))
             for slots, values in more:
                 total[slots] += values
-            yield _shard_row(shard, total)
+            yield _shard_row(shard, total, np.float32 if last and shard != MOVES else np.float64)
 
     rows = counts.unionByName(shards.select("shard", F.lit(None).cast("binary").alias("slots"), "values"))
     return rows.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(run, _SHARDS)
@@ -417,15 +501,15 @@ def train(parted: list[DataFrame], symbols: DataFrame, parts: int, states: int =
     draw = lambda i, j: F.log((F.pmod(F.xxhash64("name", F.lit(SEED), F.lit(i), F.lit(j)), F.lit(1 << 52)) + 0.5) / float(1 << 52))
     emissions = materialized(in_shards(symbols.select("symbol", *[(F.col("prior") * -0.5 * (draw(i, 0) + draw(i, 1))).alias(c) for i, c in enumerate(columns)]),
                                        columns, parts))
-    prior = materialized(in_shards(symbols.select("symbol", *[(F.col("prior") * PRIOR).cast("float").alias(c) for c in columns]), columns, parts))
+    prior = materialized(in_shards(symbols.select("symbol", (F.col("prior") * PRIOR).cast("float").alias("prior")), ["prior"], parts))
     sums = lambda table: np.array([x or 1.0 for x in table.agg(*[F.sum(F.col("sums")[i]) for i in range(states)]).first()])
     totals = sums(emissions)
     for _ in range(rounds):
         new = prior
-        for texts in parted:
+        for at, texts in enumerate(parted):
             counts = together(_placed(texts, emissions, parts, states), texts.select("block", "train", "lengths", "codes", "shards", "edges", "slots"), parts,
                               _round(start, move, totals), "shard bigint, slots binary, values binary")
-            before, new = new, materialized(added(new, counts, parts, states))
+            before, new = new, materialized(added(new, counts, parts, states, at == 0, at == len(parted) - 1))
             if before is not prior:
                 discard(before)
         discard(emissions)
@@ -453,7 +537,7 @@ def _placed(texts: DataFrame, emissions: DataFrame, parts: int, states: int) ->
         for shard, rows in _runs(batches):
             blocks, data = rows.column("block").to_pylist(), rows.column("data").to_pylist()
             at = blocks.index(-1)
-            values = _matrix(data[at], states, np.float64).astype(np.float32)
+            values = _matrix(data[at], states, np.float32)
             asked = [i for i in range(len(blocks)) if i != at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([blocks[i] for i in asked], pa.int64()), pa.array([shard] * len(asked), pa.int64()),
@@ -472,9 +556,9 @@ def likelihoods(texts: DataFrame, model, parts: int) -> DataFrame:
     def run(known: pa.Table, block: pa.Table) -> pa.Table:
         emit = _emissions(known, totals)
         all_texts, lengths, _ = _block_texts(block)
-        out = np.zeros(len(lengths))
+        out, room = np.zeros(len(lengths)), Room()
         for part in chunks(lengths):
-            out[part] = forward([all_texts[i] for i in part], start, move, emit)
+            out[part] = forward([all_texts[i] for i in part], start, move, emit, room)
         values = lambda c: block.column(c)[0].values
         return pa.table([values("ids"), values("train"), values("lengths"), values("known"), values("base"),
                          pa.array(out + values("within").to_numpy())], names=["id", "train", "n_tokens", "n_known", "base", "score"])
@@ -492,19 +576,23 @@ def language_model(docs: DataFrame, is_train: Column, id_col: str = "doc_id", te
     sizes = raw.agg(F.count(F.lit(1)).alias("n"), F.sum("distinct").alias("places")).first()
     parts = max(1, min(2 * sizes["n"], int(spark.conf.get("spark.sql.shuffle.partitions"))))
     shards = max(parts, -(-(sizes["places"] or 0) // SHARD_PLACES))
-    own = (F.col("c") >= LEAST_COUNT) | (F.length("word") == 0)
-    # A shard is a partition of the counts; its own symbols come first, so their slots are 0, 1, ..
-    counts = materialized(word_counts(rows.where("train").select("text"), shards).sortWithinPartitions(~own).withColumn("symbol", F.monotonically_increasing_id()))
-    sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(own).alias("own")).first()
+    counted = materialized(word_counts(raw, shards, parts))
+    found = counted.where("block = -1")
+    sums = found.agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum(F.size("names")).alias("own")).first()
     total, distinct = sums["n"] or 0, sums["v"] or 0
-    classes = materialized(counts.where(~own).groupBy(_class("word").alias("class")).agg(F.sum("c").alias("class_c"), F.count(F.lit(1)).alias("class_v")))
-    everyone = spark.range(CLASSES).select(F.col("id").alias("class")).join(F.broadcast(classes), "class", "left").na.fill(0)   # CLASSES rows
-    prior = (F.col("c") + 1) / F.lit(float(total + sums["own"] + CLASSES))
-    symbols = materialized(counts.where(own).select("symbol", F.col("word").alias("name"), prior.alias("prior")).unionByName(
-        everyone.select(_class_symbol().alias("symbol"), F.concat(F.lit(" "), F.col("class").cast("string")).cast("binary").alias("name"),
-                        F.col("class_c").alias("c")).select("symbol", "name", prior.alias("prior"))))
-    words = counts.select("word", "c", F.when(own, F.col("symbol")).alias("symbol"))
-    parted = [materialized(coded(raw.where(F.pmod("block", F.lit(PASSES)) == i), words, everyone, total, distinct, parts)) for i in range(PASSES)]
+    classes = found.select(F.explode(F.arrays_zip("classes", "class_c", "class_v")).alias("x")).groupBy("x.classes").agg(
+        F.sum("x.class_c").alias("class_c"), F.sum("x.class_v").alias("class_v"))
+    everyone = materialized(spark.range(CLASSES).select(F.col("id").alias("classes")).join(F.broadcast(classes), "classes", "left").na.fill(0))   # CLASSES rows
+    rooms = np.ones(CLASSES)
+    for row in everyone.collect():
+        rooms[row["classes"]] += row["class_c"] + row["class_v"]
+    prior = (F.col("c") + 1) / F.lit(float(total + (sums["own"] or 0) + CLASSES))
+    symbols = found.select("shard", F.posexplode(F.arrays_zip("names", "name_counts")).alias("slot", "x")).select(
+        (F.shiftleft("shard", SLOT_BITS) + F.col("slot")).alias("symbol"), F.col("x.names").alias("name"), F.col("x.name_counts").alias("c")).unionByName(
+        everyone.select(_class_symbol(F.col("classes")).alias("symbol"), F.concat(F.lit(" "), F.col("classes").cast("string")).cast("binary").alias("name"),
+                        F.col("class_c").alias("c"))).select("symbol", "name", prior.alias("prior"))
+    of_part = lambda table, i: table.where((F.col("block") >= 0) & (F.pmod("block", F.lit(PASSES)) == i))
+    parted = [materialized(coded(of_part(raw, i), of_part(counted, i), rooms, total, distinct, parts)) for i in range(PASSES)]
     discard(raw)
     model = train(parted, symbols, parts, states, rounds)
     scored = [materialized(likelihoods(texts, model, parts)) for texts in parted]
